@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalized
@@ -12,6 +14,9 @@ from ..sources.scratch import stage
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
 
+# Characters of normalised text, roughly from rare to common in prose; any order gives the same links.
+RARE_FIRST = "0123456789xqjwkzyvbfpghmcduloatrsine"
+
 
 def link_entities(
     facts: DataFrame,
@@ -41,7 +46,8 @@ def link_entities(
     a piece that is found is a match without further checks. Titles shorter than ``gram`` go
     through the same steps with a shorter probe.
     """
-    titles = (
+    # Read several times below, so computed once; its size decides how it is joined.
+    titles = stage(
         lookup.select(normalized(lookup_text).alias("_title"), F.col(lookup_id))
         .where(F.length("_title") >= max(min_len, 1))
         .groupBy("_title")
@@ -56,12 +62,19 @@ def link_entities(
     ).first()
     small = stats.n <= broadcast_rows and (stats.chars or 0) <= broadcast_bytes
 
+    classes = []
+    if stats.short is not None:
+        classes.append((titles.where(size < gram), stats.short))
+    if stats.n_long or not classes:
+        classes.append((titles.where(size >= gram), gram))
+
     if text is None:
         keys = facts.select(fact_key).dropna().distinct()
         body = normalized(fact_key)
     else:
-        keys = facts.select(fact_key, F.col(text).alias("_text")).dropna()
         body = normalized("_text")
+        keys = facts.select(fact_key, F.col(text).alias("_text")).dropna()
+        keys = _texts_with_anchor(keys, fact_key, body, classes, small, salts)
 
     def pieces(part: DataFrame, probe: int) -> DataFrame:
         """(fact_key, _piece) for each place where a title of ``part`` may start."""
@@ -76,18 +89,11 @@ def link_entities(
             fact_key, "_at", F.explode("_lengths").alias("_len")
         )
         if text is not None:
-            # Long texts do not travel with their grams. The places are few and go to a table whose
-            # size the planner then knows: it broadcasts them to the texts, or shuffles if large.
-            places = stage(places).join(keys, on=fact_key)
+            places = places.join(keys, on=fact_key)
         piece = F.substring(body, F.col("_at") + 1, F.col("_len"))
         return places.select(fact_key, piece.alias("_title"))
 
-    parts = []
-    if stats.short is not None:
-        parts.append(pieces(titles.where(size < gram), stats.short))
-    if stats.n_long or not parts:
-        parts.append(pieces(titles.where(size >= gram), gram))
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    found = reduce(DataFrame.unionByName, [pieces(part, probe) for part, probe in classes])
     return (
         _lookup_join(found, titles, "_title", small, salts, [fact_key])
         .groupBy(fact_key)
@@ -95,6 +101,33 @@ def link_entities(
     )
 
 
+def _texts_with_anchor(
+    keys: DataFrame, fact_key: str, body: Column, classes: list[tuple[DataFrame, int]], small: bool, salts: int
+) -> DataFrame:
+    """The texts that may contain a title, as a staged table: a cheap test before the exact search.
+
+    Cutting every position of a long text is costly, and its text must not travel with the grams.
+    A text that contains a title contains each of the title's grams, also the one that starts at
+    the title's rarest letter, its anchor. So only the grams that start with an anchor letter are
+    cut and looked up. The ids found are few and are staged, so the planner knows their size when
+    they select the texts.
+    """
+    found = []
+    for part, probe in classes:
+        starts = F.substring("_title", F.lit(1), F.length("_title") - (probe - 1))
+        at = F.coalesce(*[F.nullif(F.instr(starts, letter), F.lit(0)) for letter in RARE_FIRST])
+        anchors = part.select(F.substring("_title", at, F.lit(probe)).alias("_gram"))
+        letters = anchors.agg(F.array_sort(F.collect_set(F.substring("_gram", 1, 1)))).first()[0]
+        start = "".join(letters) or "a"
+        cuts = F.regexp_extract_all(body, F.lit(f"(?=([{start}].{{{probe - 1}}}))"), F.lit(1))
+        grams = keys.select(fact_key, F.explode(cuts).alias("_gram"))
+        hashed = grams.select(fact_key, F.xxhash64("_gram").alias("_probe"))
+        probes = anchors.select(F.xxhash64("_gram").alias("_probe")).distinct()
+        found.append(_lookup_join(hashed, probes, "_probe", small, salts, [fact_key]).select(fact_key))
+    ids = stage(reduce(DataFrame.unionByName, found).distinct())
+    return stage(keys.join(ids, on=fact_key, how="left_semi"))
+
+
 def _lookup_join(
     rows: DataFrame, lookup: DataFrame, on: str, small: bool, salts: int, spread_by: list[str]
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import Scd2Columns, dedupe_latest, link_entities, scd2_snapshot
+from ..operators import Scd2Columns, dedupe_latest, scd2_snapshot
 
 TRACKED = ("status", "priority")
 
@@ -22,14 +22,23 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(_product_id().alias("product_id"))
+
+
+def _product_id() -> Column:
+    """Product name without blanks, product type, part number."""
+    name = F.replace("p_name", F.lit(" "), F.lit(""))
+    return F.concat_ws("_", name, F.lower("p_type"), _text("p_partkey"))
+
+
 def _lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    product_id = F.concat(F.replace("p_name", F.lit(" "), F.lit("")), F.lit("_"), F.lower("p_type"), F.lit("_"), _text("p_partkey"))
     return (
         table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == status)
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("line_id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-        .withColumn("product_id", product_id)
+        .withColumn("product_id", _product_id())
     )
 
 
@@ -57,14 +66,6 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deduped_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_latest(sales(spark, sf_dir), ["transaction_id"], ["ingestion_ts"])
-
-
-def deduped_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_latest(deliveries(spark, sf_dir), ["delivery_id"], ["ingestion_ts"])
-
-
 def _screen_events(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     number = F.get_json_object("props", "$.k").cast("bigint")
     hall = F.concat(F.replace("p_name", F.lit(" "), F.lit("")), F.lit("_hall_"), _text("p_partkey"))
@@ -118,20 +119,6 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue(F.col("p_name"), "name-").unionByName(catalogue(F.get(F.split("p_name", " "), F.lit(1)), "noun-"))
 
 
-def product_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    products = part.select(
-        F.concat(F.replace("p_name", F.lit(" "), F.lit("")), F.lit("_"), F.lower("p_type"), F.lit("_"), _text("p_partkey")).alias("product_id")
-    )
-    return link_entities(products, "product_id", titles(spark, sf_dir), "anime_id", "title")
-
-
-def screening_links(spark: SparkSession, sf_dir: str, min_len: int = 3) -> DataFrame:
-    return link_entities(
-        bookings(spark, sf_dir), "screening_id", titles(spark, sf_dir), "anime_id", "title", min_len
-    )
-
-
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(

@@ -2,16 +2,91 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as X
 from .. import operators as ops
+from ..sources import stage
 from ..streaming import late_events as mark_late
 from ..streaming import parse_json_events, split_events
 from . import adapters as src
 
 
+class Shop:
+    """Intermediate results that several steps of one query share.
+
+    The links are staged: each use would repeat the search. The rest stays lazy, and Spark reuses
+    the shuffles of repeated parts of a plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def titles(self) -> DataFrame:
+        return src.titles(self.spark, self.sf_dir)
+
+    @cached_property
+    def links(self) -> DataFrame:
+        products = src.products(self.spark, self.sf_dir)
+        return stage(ops.link_entities(products, "product_id", self.titles, "anime_id", "title"))
+
+    @cached_property
+    def bookings(self) -> DataFrame:
+        return src.bookings(self.spark, self.sf_dir)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return ops.dedupe_latest(src.sales(self.spark, self.sf_dir), ["transaction_id"], ["ingestion_ts"])
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        return ops.dedupe_latest(src.deliveries(self.spark, self.sf_dir), ["delivery_id"], ["ingestion_ts"])
+
+    @cached_property
+    def clean_sales(self) -> DataFrame:
+        return ops.clean_transactions(
+            src.sales(self.spark, self.sf_dir), "transaction_id", "product_id", self.links, "anime_id",
+            "transaction_ts",
+        )
+
+    def screening_links(self, min_len: int) -> DataFrame:
+        return ops.link_entities(self.bookings, "screening_id", self.titles, "anime_id", "title", min_len)
+
+    @cached_property
+    def clean_bookings(self) -> DataFrame:
+        return ops.clean_transactions(
+            self.bookings, "booking_id", "screening_id", self.screening_links(3), "anime_id", "booking_ts"
+        )
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return ops.inventory_position(self.sales, self.deliveries, self.links)
+
+    @cached_property
+    def concessions(self) -> DataFrame:
+        return ops.revenue_summary(
+            src.concessions(self.spark, self.sf_dir), "screening_id", "item_quantity", "item_unit_price",
+            "purchase_id",
+        )
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return ops.fact_sales(self.clean_sales, self.inventory)
+
+    @cached_property
+    def fact_screenings(self) -> DataFrame:
+        return ops.fact_screenings(self.clean_bookings, self.concessions)
+
+    @cached_property
+    def named_products(self) -> DataFrame:
+        names = self.titles.select("anime_id", F.col("title").alias("name"))
+        return self.links.join(names, on="anime_id").select("product_id", "name")
+
+
 # --- primitives ---------------------------------------------------------------------------------
 
 def line_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,24 +154,27 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.deduped_sales(spark, sf_dir)
+    return Shop(spark, sf_dir).sales
 
 
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.latest_by_key(
-        src.deduped_sales(spark, sf_dir), "product_id", "ingestion_ts", ["transaction_id"], "last_price_update"
-    ).select("product_id", "transaction_id", "unit_price_at_sale", "last_price_update")
+    latest = ops.latest_by_key(
+        Shop(spark, sf_dir).sales, "product_id", "ingestion_ts", ["transaction_id"], "last_price_update"
+    )
+    return latest.select("product_id", "transaction_id", "unit_price_at_sale", "last_price_update")
 
 
 # --- links --------------------------------------------------------------------------------------
 
 def link_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.product_links(spark, sf_dir)
+    return ops.link_entities(
+        src.products(spark, sf_dir), "product_id", src.titles(spark, sf_dir), "anime_id", "title"
+    )
 
 
 def link_min_len(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Screenings link only to titles of at least 5 characters."""
-    return src.screening_links(spark, sf_dir, 5)
+    return Shop(spark, sf_dir).screening_links(5)
 
 
 def link_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,23 +188,16 @@ def link_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver -------------------------------------------------------------------------------------
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.clean_transactions(
-        src.sales(spark, sf_dir), "transaction_id", "product_id", src.product_links(spark, sf_dir),
-        "anime_id", "transaction_ts",
-    )
+    return Shop(spark, sf_dir).clean_sales
 
 
 def clean_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.clean_transactions(
-        src.bookings(spark, sf_dir), "booking_id", "screening_id", src.screening_links(spark, sf_dir),
-        "anime_id", "booking_ts",
-    )
+    return Shop(spark, sf_dir).clean_bookings
 
 
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.product_master(
-        src.deduped_deliveries(spark, sf_dir), src.deduped_sales(spark, sf_dir), src.product_links(spark, sf_dir)
-    )
+    shop = Shop(spark, sf_dir)
+    return ops.product_master(shop.deliveries, shop.sales, shop.links)
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,19 +205,16 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.movement_ledger(src.deduped_sales(spark, sf_dir), src.deduped_deliveries(spark, sf_dir))
+    shop = Shop(spark, sf_dir)
+    return ops.movement_ledger(shop.sales, shop.deliveries)
 
 
 def inventory_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.inventory_position(
-        src.deduped_sales(spark, sf_dir), src.deduped_deliveries(spark, sf_dir), src.product_links(spark, sf_dir)
-    )
+    return Shop(spark, sf_dir).inventory
 
 
 def revenue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.revenue_summary(
-        src.concessions(spark, sf_dir), "screening_id", "item_quantity", "item_unit_price", "purchase_id"
-    )
+    return Shop(spark, sf_dir).concessions
 
 
 # --- versions -----------------------------------------------------------------------------------
@@ -230,7 +298,7 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gold ---------------------------------------------------------------------------------------
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.fact_sales(clean_sales(spark, sf_dir), inventory_position(spark, sf_dir))
+    return Shop(spark, sf_dir).fact_sales
 
 
 def level_at_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,15 +306,15 @@ def level_at_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_screenings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.fact_screenings(clean_bookings(spark, sf_dir), revenue_summary(spark, sf_dir))
+    return Shop(spark, sf_dir).fact_screenings
 
 
 def screening_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.screening_totals(fact_screenings(spark, sf_dir))
+    return ops.screening_totals(Shop(spark, sf_dir).fact_screenings)
 
 
 def screening_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.screening_rollup(fact_screenings(spark, sf_dir))
+    return ops.screening_rollup(Shop(spark, sf_dir).fact_screenings)
 
 
 def activity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,33 +337,27 @@ def segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_entities(src.titles(spark, sf_dir), clean_sales(spark, sf_dir), clean_bookings(spark, sf_dir))
+    shop = Shop(spark, sf_dir)
+    return ops.top_entities(shop.titles, shop.clean_sales, shop.clean_bookings)
 
 
 def top_entities_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.top_entities(
-        src.titles(spark, sf_dir), clean_sales(spark, sf_dir), clean_bookings(spark, sf_dir), measure="total"
-    )
+    shop = Shop(spark, sf_dir)
+    return ops.top_entities(shop.titles, shop.clean_sales, shop.clean_bookings, measure="total")
 
 
 def inventory_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.inventory_status(inventory_position(spark, sf_dir))
-
-
-def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = src.titles(spark, sf_dir).select("anime_id", F.col("title").alias("name"))
-    return src.product_links(spark, sf_dir).join(names, on="anime_id").select("product_id", "name")
+    return ops.inventory_status(Shop(spark, sf_dir).inventory)
 
 
 def sales_by_dim_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.sales_by_name(fact_sales(spark, sf_dir), _products(spark, sf_dir))
+    shop = Shop(spark, sf_dir)
+    return ops.sales_by_name(shop.fact_sales, shop.named_products)
 
 
 def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.title_features(
-        src.titles(spark, sf_dir), fact_sales(spark, sf_dir), fact_screenings(spark, sf_dir),
-        _products(spark, sf_dir),
-    )
+    shop = Shop(spark, sf_dir)
+    return ops.title_features(shop.titles, shop.fact_sales, shop.fact_screenings, shop.named_products)
 
 
 # --- quality ------------------------------------------------------------------------------------
@@ -356,7 +418,7 @@ def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliveries that are more than a year behind their supplier's latest earlier arrival."""
     return mark_late(
-        src.deduped_deliveries(spark, sf_dir).select("delivery_id", "supplier_id", "event_ts", "ingestion_ts"),
+        Shop(spark, sf_dir).deliveries.select("delivery_id", "supplier_id", "event_ts", "ingestion_ts"),
         "supplier_id", "delivery_id", delay_seconds=365 * 86400, chunk="quarter",
     )
 
