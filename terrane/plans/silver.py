@@ -20,6 +20,7 @@ CONCESSIONS = "bronze.bronze_concession_purchase_events"
 TITLES = "bronze.bronze_anime_broadcast_schedule"
 REGISTRATIONS = "bronze.bronze_customer_registration_events"
 
+TITLES_SCD2 = "silver.silver_anime_broadcast_schedule_scd2"
 TITLE_TRACKED = ("title", "genre", "studio", "broadcast_start_ts", "broadcast_end_ts", "season")
 TITLE_VALIDITY = scd2.Scd2Columns(current="is_current_broadcast", open_end="9999-12-31 23:59:59")
 # Fixed value: a screening links only to titles of at least this many characters.
@@ -90,7 +91,7 @@ def refresh_customers(lake: Lake) -> None:
 
 def refresh_titles(lake: Lake) -> None:
     """Versions of the broadcast schedule; rows that come too late go to a table of their own."""
-    table = "silver.silver_anime_broadcast_schedule_scd2"
+    table = TITLES_SCD2
     latest = clean.latest_by_key(lake.load_or_empty(TITLES), "anime_id", "ingestion_ts", ts_as="effective_start_date")
     current = lake.load_or_empty(table)
     changes = stage(scd2.scd2_apply(current, latest, "anime_id", TITLE_TRACKED, TITLE_VALIDITY))

@@ -16,6 +16,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Mapping
+from copy import copy
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,15 +43,20 @@ class Lake:
     def name(self, table: str) -> str:
         return self.prefix + table
 
-    def create(self, table: str | None = None) -> None:
-        """Create one table, or all; existing tables and their rows stay."""
+    def on(self, spark: SparkSession) -> Lake:
+        """The same lake in another session, such as the one of a micro-batch."""
+        other = copy(self)
+        other.spark = spark
+        return other
+
+    def create(self, table: str | None = None, columns: str | None = None) -> None:
+        """Create one table, or all declared ones; existing tables and their rows stay."""
         for each in [table] if table else self.tables:
             layer = each.split(".")[0]
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.prefix}{layer}")
             place = "" if self.v2 else f" LOCATION '{self._new_folder(each)}'"
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(each)} ({self.tables[each]}) USING {self.fmt}{place}"
-            )
+            declared = self.tables.get(each, columns)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(each)} ({declared}) USING {self.fmt}{place}")
 
     def drop(self, table: str) -> None:
         """Remove a table from the catalog; only ever called by name, never as part of set-up."""
@@ -62,20 +68,20 @@ class Lake:
     def load(self, table: str) -> DataFrame | None:
         """The table, or None (logged) when it does not exist."""
         if self.exists(table):
-            return self.spark.table(self.name(table))
+            return self._table(table)
         log.warning("table %s does not exist", self.name(table))
         return None
 
     def load_or_empty(self, table: str) -> DataFrame:
         """The table, or an empty frame with its declared schema."""
         if self.exists(table):
-            return self.spark.table(self.name(table))
+            return self._table(table)
         return self.spark.createDataFrame([], self.tables[table])
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows, matched by column name and cast to the declared types."""
-        self.create(table)
         rows = self._shaped(table, df)
+        self.create(table, _ddl(rows))
         if self.v2:
             rows.writeTo(self.name(table)).append()
         else:
@@ -87,7 +93,7 @@ class Lake:
         if self.v2:
             rows.writeTo(self.name(table)).using(self.fmt).createOrReplace()
             return
-        self.create(table)
+        self.create(table, _ddl(rows))
         folder = self._new_folder(table)
         rows.write.format(self.fmt).save(folder)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
@@ -101,6 +107,12 @@ class Lake:
         """Column names and types."""
         return self.spark.sql(f"DESCRIBE TABLE {self.name(table)}")
 
+    def _table(self, table: str) -> DataFrame:
+        if not self.v2:
+            # A session remembers the files of a table; streams append to it from sessions of their own.
+            self.spark.catalog.refreshTable(self.name(table))
+        return self.spark.table(self.name(table))
+
     def _new_folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
@@ -108,3 +120,7 @@ class Lake:
         if table not in self.tables:
             return df
         return df.to(self.spark.createDataFrame([], self.tables[table]).schema)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema)

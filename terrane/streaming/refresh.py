@@ -25,7 +25,8 @@ def refresh_stream(
     A micro-batch that is repeated after a failure finds its rows in the table and adds nothing.
     """
     def write(batch: DataFrame, _: int) -> None:
-        lake.append(table, new_rows_only(transform(batch), lake.load_or_empty(table), keys))
+        here = lake.on(batch.sparkSession)
+        here.append(table, new_rows_only(transform(batch), here.load_or_empty(table), keys))
 
     return (
         events.writeStream.option("checkpointLocation", checkpoint)

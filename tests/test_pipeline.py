@@ -1,0 +1,190 @@
+"""The whole refresh on hand-made inputs: first run, idempotent second run, changed third run."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrane import operators as ops
+from terrane.plans import bronze, gold, silver
+from terrane.schemas import TABLES
+from terrane.sources import file_source
+
+from .helpers import rows, ts
+
+TITLES = """broadcast_id,anime_id,title,season_name,season_number,genre,studio,broadcast_start_ts,broadcast_end_ts,season
+1,101,Red Harbor,NULL,1,Action,S1,2020-12-07 00:00:00,2021-03-29 00:00:00,W21
+2,102,Red Harbor 2,Second,NULL,Action,S1,2022-12-07 00:00:00,NULL,W23
+3,103,Lone,NULL,1,Drama,S2,2021-01-07 00:00:00,2021-03-29 00:00:00,S21
+"""
+CUSTOMERS = """registration_id,customer_id,name,email
+r1,501,Ann,a@x
+r2,502,Bo,b@x
+r3, 502 ,Bo New,b2@x
+"""
+
+
+def event(kind, n, minute, **fields):
+    at = f"2024-01-01T10:{minute:02d}:00+00:00"
+    return json.dumps({kind: str(n), "event_ts": at, "ingestion_ts": at, **fields})
+
+
+def sale(n, minute, customer, product, qty, price):
+    return event("transaction_id", n, minute, customer_id=customer, product_id=product,
+                 quantity_purchased=qty, unit_price_at_sale=price)
+
+
+def delivery(n, minute, supplier, product, qty, cost):
+    return event("delivery_id", n, minute, supplier_id=supplier, product_id=product,
+                 quantity_delivered=qty, unit_cost=cost)
+
+
+def booking(n, minute, customer, screening, qty, price):
+    return event("booking_id", n, minute, customer_id=customer, screening_id=screening,
+                 quantity_purchased=qty, unit_price_at_sale=price)
+
+
+def concession(n, minute, screening, qty, price):
+    return event("purchase_id", n, minute, screening_id=screening, item_id="CONC004",
+                 item_quantity=qty, item_unit_price=price)
+
+
+class World:
+    def __init__(self, lake, folder):
+        self.lake, self.folder, self.files = lake, folder, 0
+        for topic in bronze.STREAMS:
+            (folder / topic).mkdir(parents=True)
+
+    def send(self, topic, *lines):
+        self.files += 1
+        (self.folder / topic / f"{self.files}.json").write_text("\n".join(lines) + "\n")
+
+    def load(self, name, text, loader):
+        self.files += 1
+        path = self.folder / f"{name}{self.files}.csv"
+        path.write_text(text)
+        loader(self.lake, str(path))
+
+    def refresh(self, as_of):
+        spark = self.lake.spark
+        queries = bronze.ingest_all(
+            self.lake, lambda topic: file_source(spark, str(self.folder / topic)), str(self.folder / "ck")
+        )
+        for query in queries:
+            assert query.awaitTermination(120) and query.exception() is None
+        silver.run_bronze_to_silver(self.lake)
+        gold.run_silver_to_gold(self.lake, F.lit(as_of).cast("timestamp"))
+
+    def state(self):
+        return {
+            table: rows(self.lake.load(table))
+            for table in TABLES
+            if not table.startswith("bronze") and table != "gold.gold_inventory_summary"
+        }
+
+
+@pytest.fixture
+def world(lake, tmp_path):
+    world = World(lake, tmp_path / "world")
+    world.load("titles", TITLES, bronze.load_titles)
+    world.load("customers", CUSTOMERS, bronze.load_customers)
+    world.send("POS_topic",
+               sale(1, 1, "501", "RedHarbor_mug_001", 2, 4.0), sale(1, 2, "501", "RedHarbor_mug_001", 3, 4.0),
+               sale(2, 1, " 502", "RedHarbor2_cup_002", 1, 10.0), "broken")
+    world.send("supllier_topic",
+               delivery(1, 0, "s1", "RedHarbor_mug_001", 20, 2.0), delivery(2, 3, "s2", "RedHarbor_mug_001", 40, 2.5),
+               delivery(3, 0, "s1", "Other_hat_003", 5, 1.0))
+    world.send("bookings_topic",
+               booking(1, 1, "501", "Lone_Part1_701", 2, 15.0), booking(2, 1, "502", "Lone_Part1_701", 1, 15.0))
+    world.send("concession_topic", concession(1, 1, "Lone_Part1_701", 2, 3.5), concession(1, 2, "Lone_Part1_701", 2, 3.5))
+    return world
+
+
+def test_refresh_three_times(world):
+    lake = world.lake
+    world.refresh("2024-01-02 00:00:00")
+    first = world.state()
+    assert all(lake.exists(t) for t in TABLES)
+    assert rows(lake.load("silver.silver_pos_transactions_clean"), "transaction_id", "total_price", "linked_anime_id") == [
+        ("1", 12.0, "101"), ("2", 10.0, "102"),
+    ]
+    assert rows(lake.load("silver.silver_inventory_movements_clean"), "product_id", "current_quantity", "supplier_id") == [
+        ("Other_hat_003", 5, "s1"), ("RedHarbor2_cup_002", -1, None), ("RedHarbor_mug_001", 57, "s2"),
+    ]
+    assert rows(lake.load("silver.silver_customer_master_data"), "customer_id", "name") == [("501", "Ann"), ("502", "Bo New")]
+    assert rows(lake.load("silver.silver_concession_sales_summary")) == [("Lone_Part1_701", 2, 7.0)]
+    assert rows(lake.load("gold.fact_screenings"), "booking_id", "ticket_revenue", "concession_revenue") == [
+        ("1", 30.0, 7.0), ("2", 15.0, 7.0),
+    ]
+    assert rows(lake.load("gold.gold_top_anime_performance_tiles"), "anime_id", "total_sales", "total_attendance") == [
+        ("101", 12.0, 0), ("102", 10.0, 0), ("103", 0.0, 3),
+    ]
+    assert rows(lake.load("gold.ML_features_upcoming_titles"), "title", "historical_sales", "avg_views") == [
+        ("Lone", 52.0, 22.5), ("Red Harbor 2", 10.0, 0.0), ("Red Harbor", 12.0, 0.0),
+    ]
+    assert rows(lake.load("gold.gold_inventory_summary"), "product_id", "status") == [
+        ("Other_hat_003", "Low Stock – Reorder Needed"), ("RedHarbor2_cup_002", "Low Stock – Reorder Needed"),
+        ("RedHarbor_mug_001", "Stock OK"),
+    ]
+
+    world.refresh("2024-01-03 00:00:00")
+    assert world.state() == first
+
+    world.send("POS_topic", sale(3, 30, "501", "RedHarbor_mug_001", 1, 5.0))
+    world.load("titles", TITLES.replace("Lone,NULL,1,Drama", "Lone,NULL,1,Comedy"), bronze.load_titles)
+    world.refresh("2024-01-04 00:00:00")
+    assert len(rows(lake.load("gold.fact_sales"))) == 3
+    mug = lake.load("gold.dim_product").where("product_id = 'RedHarbor_mug_001'")
+    assert rows(mug, "price", "is_current", "effective_end_date") == [
+        (4.0, False, ts("2024-01-01 10:30:00")), (5.0, True, None),
+    ]
+    for table, flag in (
+        ("silver.silver_anime_broadcast_schedule_scd2", "is_current_broadcast"),
+        ("gold.dim_anime_title_scd2", "is_current"),
+    ):
+        lone = lake.load(table).where("anime_id = '103'")
+        assert rows(lone, "genre", flag) == [("Comedy", True), ("Drama", False)]
+        ends = {r.genre: r.effective_end_date for r in lone.collect()}
+        starts = {r.genre: r.effective_start_date for r in lone.collect()}
+        assert ends["Drama"] == starts["Comedy"]
+    third = world.state()
+    world.refresh("2024-01-05 00:00:00")
+    assert world.state() == third
+
+
+def test_bad_facts_abort_or_go_to_quarantine(lake, frame):
+    at = ts("2024-01-01 10:00:00")
+    lake.append("silver.silver_pos_transactions_clean", frame(
+        TABLES["silver.silver_pos_transactions_clean"],
+        ("1", at, "501", "p", 1, 4.0, None), ("7", at, None, "p", 1, 4.0, None),
+    ))
+    lake.create("silver.silver_inventory_movements_clean")
+    with pytest.raises(ops.QualityError, match="customer_id: 1"):
+        gold.refresh_fact_sales(lake)
+    assert lake.load("gold.fact_sales") is None
+    gold.refresh_fact_sales(lake, on_fail="quarantine")
+    assert rows(lake.load("gold.fact_sales"), "sale_id") == [("1",)]
+    assert rows(lake.load("gold.fact_sales_rejects"), "sale_id", "failed_rules") == [("7", ["customer_id present"])]
+    gold.refresh_fact_sales(lake, on_fail="warn")
+    assert rows(lake.load("gold.fact_sales"), "sale_id") == [("1",), ("7",)]
+
+
+def test_late_title_versions_are_set_aside(lake, tmp_path):
+    world = World(lake, tmp_path / "world")
+    world.load("titles", TITLES, bronze.load_titles)
+    silver.refresh_titles(lake)
+    before = rows(lake.load(silver.TITLES_SCD2))
+    assert {r[-2] for r in before} == {ts("9999-12-31 23:59:59")}
+    old = lake.load("bronze.bronze_anime_broadcast_schedule").where("anime_id = '103'")
+    late = old.withColumn("genre", F.lit("Horror")).withColumn("ingestion_ts", F.lit("2001-01-01").cast("timestamp"))
+    lake.publish("bronze.bronze_anime_broadcast_schedule", late)
+    silver.refresh_titles(lake)
+    assert rows(lake.load(silver.TITLES_SCD2)) == before
+    assert rows(lake.load(f"{silver.TITLES_SCD2}_late"), "genre") == [("Horror",)]
+
+
+def test_missing_inputs_are_skipped(lake):
+    gold.refresh_fact_sales(lake)
+    gold.refresh_dim_customer(lake)
+    gold.refresh_segments(lake)
+    assert not lake.exists("gold.fact_sales") and not lake.exists("gold.customer_segments")
