@@ -39,9 +39,17 @@ def latest_by_key(
     return latest.withColumnRenamed(ts, ts_as) if ts_as else latest
 
 
-def new_rows_only(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``target``; only the key columns of it are read."""
-    return df.join(target.select(*keys), on=list(keys), how="left_anti").select(*df.columns)
+def new_rows_only(df: DataFrame, target: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``target``; only the key columns of it are read.
+
+    ``small`` is for a batch of known, small size (a staged one) against a large table: the table
+    is first cut down to the batch's keys, which the planner broadcasts if their size allows, so
+    the table is scanned but not shuffled. The result is the same.
+    """
+    known = target.select(*keys)
+    if small:
+        known = known.join(df.select(*keys), on=list(keys), how="left_semi")
+    return df.join(known, on=list(keys), how="left_anti").select(*df.columns)
 
 
 def replace_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

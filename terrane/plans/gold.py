@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, inventory, marts, quality, scd2
 from ..sources.lake import Lake
 from ..sources.scratch import stage
+from . import silver
 
 log = logging.getLogger(__name__)
 
@@ -48,15 +49,21 @@ def append_facts(
     lake.append(table, batch)
 
 
-def refresh_fact_sales(lake: Lake, on_fail: str = "abort", salts: int = 1) -> None:
+def refresh_fact_sales(
+    lake: Lake, on_fail: str = "abort", salts: int = 1, level_as_of_sale: bool = False
+) -> None:
+    """New sales with the present stock level, or the level right after the sale."""
     table = "gold.fact_sales"
     sales, stock = lake.load(SALES), lake.load(STOCK)
     if sales is None or stock is None:
         return
     known = lake.load_or_empty(table).select(F.col("sale_id").alias("transaction_id"))
     fresh = clean.new_rows_only(sales, known, ["transaction_id"])
+    levels = None
+    if level_as_of_sale:
+        levels = inventory.level_at_sale(inventory.movement_ledger(silver.sold(lake), silver.delivered(lake)))
     append_facts(
-        lake, table, marts.fact_sales(fresh, stock, salts=salts), "sale_id",
+        lake, table, marts.fact_sales(fresh, stock, levels, salts), "sale_id",
         ["sale_id", "product_id", "customer_id"],
         {f"{c} not positive": F.col(c) <= 0 for c in ("inventory_level_at_sale", "revenue", "quantity")},
         on_fail,

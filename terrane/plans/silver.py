@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,16 +39,21 @@ def append_new(lake: Lake, table: str, rows: DataFrame, id_col: str, not_null: l
 
 
 def refresh_transactions(
-    lake: Lake, events: str, table: str, id_col: str, link_key: str, ts_as: str, links: DataFrame
+    lake: Lake, events: str, table: str, id_col: str, link_key: str, ts_as: str, links: DataFrame,
+    since: datetime | str | None = None,
 ) -> None:
     """Clean the events whose id is not in ``table`` yet and append them.
 
-    Known ids leave before the de-duplication, so its shuffle carries new events only.
+    Known ids leave before the de-duplication, so its shuffle carries new events only. With
+    ``since`` only events that arrived then or later are looked at, and older files are skipped.
     """
     source = lake.load(events)
     if source is None:
         return
-    fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col])
+    if since is not None:
+        arrived = F.col("ingestion_ts") >= F.lit(since).cast("timestamp")
+        source = stage(source.where(arrived))
+    fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col], small=since is not None)
     rows = clean.clean_transactions(fresh, id_col, link_key, links, "anime_id", ts_as)
     append_new(lake, table, rows, id_col, [id_col, link_key])
 
@@ -68,11 +74,29 @@ def screening_links(lake: Lake) -> DataFrame:
     )
 
 
-def refresh_products(lake: Lake, sales: DataFrame, deliveries: DataFrame, links: DataFrame) -> None:
-    """Product master and stock balances: fresh values replace those of the same product."""
+def sold(lake: Lake) -> DataFrame:
+    """The cleaned sales in the shape of sale events."""
+    return lake.load_or_empty("silver.silver_pos_transactions_clean").withColumnRenamed("transaction_ts", "event_ts")
+
+
+def delivered(lake: Lake) -> DataFrame:
+    """Deliveries, each id once."""
+    deliveries = lake.load_or_empty(DELIVERIES).dropna(subset=["product_id"])
+    return clean.dedupe_latest(deliveries, ["delivery_id"], ["ingestion_ts"])
+
+
+def refresh_products(lake: Lake, links: DataFrame) -> None:
+    """Product master and stock balances: fresh values replace those of the same product.
+
+    The latest record of a product is the same with and without repeated events, so the master
+    reads the events as they are and each task sends at most one row per product. The balance
+    adds up the cleaned sales, which hold each id once, and needs no second de-duplication.
+    """
+    events = lake.load_or_empty(SALES).dropna(subset=["transaction_id", "product_id"])
+    supplies = lake.load_or_empty(DELIVERIES).dropna(subset=["delivery_id", "product_id"])
     masters = {
-        "silver.silver_product_master_data": inventory.product_master(deliveries, sales, links),
-        "silver.silver_inventory_movements_clean": inventory.inventory_position(sales, deliveries, links),
+        "silver.silver_product_master_data": inventory.product_master(supplies, events, links),
+        "silver.silver_inventory_movements_clean": inventory.inventory_position(sold(lake), delivered(lake), links),
     }
     for table, rows in masters.items():
         updates = stage(rows)
@@ -117,21 +141,18 @@ def refresh_concessions(lake: Lake) -> None:
     lake.publish("silver.silver_concession_sales_summary", rows)
 
 
-def run_bronze_to_silver(lake: Lake) -> None:
-    """All silver tables, in dependency order."""
+def run_bronze_to_silver(lake: Lake, since: datetime | str | None = None) -> None:
+    """All silver tables, in dependency order; ``since`` limits the event tables to later arrivals."""
     links = stage(product_links(lake))
     refresh_transactions(
         lake, SALES, "silver.silver_pos_transactions_clean", "transaction_id", "product_id",
-        "transaction_ts", links,
+        "transaction_ts", links, since,
     )
     refresh_transactions(
         lake, BOOKINGS, "silver.silver_ticket_bookings_clean", "booking_id", "screening_id",
-        "booking_ts", screening_links(lake),
+        "booking_ts", screening_links(lake), since,
     )
-    # Two tables are built from each of these, so each is de-duplicated once.
-    sales = stage(clean.dedupe_latest(lake.load_or_empty(SALES), ["transaction_id"], ["ingestion_ts"]))
-    deliveries = stage(clean.dedupe_latest(lake.load_or_empty(DELIVERIES), ["delivery_id"], ["ingestion_ts"]))
-    refresh_products(lake, sales.dropna(subset=["product_id"]), deliveries.dropna(subset=["product_id"]), links)
+    refresh_products(lake, links)
     refresh_customers(lake)
     refresh_titles(lake)
     refresh_concessions(lake)

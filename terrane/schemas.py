@@ -102,3 +102,11 @@ TABLES = {
         "anime_id STRING, title STRING, historical_sales DOUBLE, avg_views DOUBLE, season STRING, genre STRING"
     ),
 }
+
+# Id column of the append-only event tables above bronze.
+EVENT_IDS = {
+    "silver.silver_pos_transactions_clean": "transaction_id",
+    "silver.silver_ticket_bookings_clean": "booking_id",
+    "gold.fact_sales": "sale_id",
+    "gold.fact_screenings": "booking_id",
+}

@@ -1,7 +1,7 @@
 """Files, catalog tables and scratch tables."""
 
-from .files import read_csv, kafka_source, file_source
+from .files import file_source, kafka_source, read_csv, show_sample
 from .lake import Lake
 from .scratch import stage
 
-__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "stage"]
+__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "show_sample", "stage"]

@@ -37,3 +37,9 @@ def file_source(spark: SparkSession, folder: str, max_files: int | None = None)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
+
+
+def show_sample(df: DataFrame, n: int = 5) -> None:
+    """Print the schema and the first rows found, to look at a load."""
+    df.printSchema()
+    df.show(n, truncate=False)

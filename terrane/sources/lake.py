@@ -20,13 +20,18 @@ from copy import copy
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import TABLES
+from ..schemas import EVENT_IDS, TABLES
 
 log = logging.getLogger(__name__)
 
 
 class Lake:
-    """Tables named ``<layer>.<table>`` below ``root``, in one catalog and file format."""
+    """Tables named ``<layer>.<table>`` below ``root``, in one catalog and file format.
+
+    With ``buckets`` the event tables are bucketed by their id, so that the search for new rows
+    compares two layers bucket by bucket, without a shuffle of either table. Choose it so that a
+    bucket fits a task at the expected size; it is fixed when a table is created.
+    """
 
     def __init__(
         self,
@@ -35,10 +40,12 @@ class Lake:
         fmt: str = "orc",
         catalog: str | None = None,
         tables: Mapping[str, str] = TABLES,
+        buckets: int = 0,
     ):
         self.spark, self.root, self.fmt, self.tables = spark, root.rstrip("/"), fmt, tables
         self.v2 = catalog not in (None, "spark_catalog")
         self.prefix = f"{catalog}." if self.v2 else ""
+        self.buckets = 0 if self.v2 else buckets
 
     def name(self, table: str) -> str:
         return self.prefix + table
@@ -56,7 +63,10 @@ class Lake:
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.prefix}{layer}")
             place = "" if self.v2 else f" LOCATION '{self._new_folder(each)}'"
             declared = self.tables.get(each, columns)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(each)} ({declared}) USING {self.fmt}{place}")
+            bucketed = f" CLUSTERED BY ({EVENT_IDS[each]}) INTO {self.buckets} BUCKETS" if self._bucketed(each) else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name(each)} ({declared}) USING {self.fmt}{bucketed}{place}"
+            )
 
     def drop(self, table: str) -> None:
         """Remove a table from the catalog; only ever called by name, never as part of set-up."""
@@ -85,6 +95,9 @@ class Lake:
         if self.v2:
             rows.writeTo(self.name(table)).append()
         else:
+            if self._bucketed(table):
+                # One file per bucket and append, instead of one per bucket and task.
+                rows = rows.repartition(self.buckets, EVENT_IDS[table])
             rows.write.insertInto(self.name(table))
 
     def publish(self, table: str, df: DataFrame) -> None:
@@ -107,6 +120,9 @@ class Lake:
         """Column names and types."""
         return self.spark.sql(f"DESCRIBE TABLE {self.name(table)}")
 
+    def _bucketed(self, table: str) -> bool:
+        return self.buckets > 0 and table in EVENT_IDS
+
     def _table(self, table: str) -> DataFrame:
         if not self.v2:
             # A session remembers the files of a table; streams append to it from sessions of their own.

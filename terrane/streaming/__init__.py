@@ -1,10 +1,10 @@
 """Structured Streaming ingest and stateful de-duplication."""
 
-from .ingest import ingest_json_stream, parse_json_events, split_events
+from .ingest import ingest_json_stream, parse_json_events, run_for, split_events
 from .late import dedupe_stream, late_events
 from .refresh import refresh_stream
 
 __all__ = [
     "dedupe_stream", "ingest_json_stream", "late_events", "parse_json_events", "refresh_stream",
-    "split_events",
+    "run_for", "split_events",
 ]

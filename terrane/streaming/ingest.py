@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -58,3 +59,17 @@ def ingest_json_stream(
         .toTable(name)
         for rows, name, place in sinks
     ]
+
+
+def run_for(queries: Sequence[StreamingQuery], seconds: float) -> None:
+    """Let streams run for a time at most, then stop them and raise the error of a failed one.
+
+    A stopped stream goes on from its checkpoint at the next start.
+    """
+    end = time.monotonic() + seconds
+    for query in queries:
+        query.awaitTermination(max(1, int(end - time.monotonic())))
+    for query in queries:
+        query.stop()
+        if query.exception():
+            raise query.exception()

@@ -35,7 +35,8 @@ def test_latest_by_key_renames_its_clock(frame):
 
 def test_new_rows_only(frame):
     target, incoming = frame("k int, v string", (1, "a"), (2, "b")), frame("k int, v string", (2, "x"), (3, "y"))
-    assert rows(ops.new_rows_only(incoming, target, ["k"])) == [(3, "y")]
+    for small in (False, True):
+        assert rows(ops.new_rows_only(incoming, target, ["k"], small)) == [(3, "y")]
 
 
 def test_replace_by_key_and_twice(frame):
