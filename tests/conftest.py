@@ -14,6 +14,9 @@ def spark(tmp_path_factory):
         "spark.master": f"local[{os.cpu_count()}]",
         "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": "4",
+        # The fixtures are tiny: compiling generated code would take most of the time.
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.warehouse.dir": str(root / "warehouse"),
