@@ -14,8 +14,8 @@ from .marts import (
     screening_totals, segment_customers, segment_summary, title_features, top_entities,
 )
 from .quality import (
-    QualityError, dq_report, duplicate_keys, enforce, gate_no_nulls, gate_non_empty, passed,
-    quarantine, tag_rows, warn_checks,
+    QualityError, dq_report, duplicate_keys, enforce, enforce_counts, gate_no_nulls, gate_non_empty,
+    null_counts, passed, quarantine, tag_rows, warn_checks,
 )
 from .running import running_by_chunk
 from .scd2 import (

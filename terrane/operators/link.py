@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalized
-from ..sources.scratch import stage
+from ..sources.scratch import stage, stage_measured
 
 # A lookup side is broadcast only when both limits hold; beyond them the joins shuffle, salted.
 BROADCAST_ROWS = 200_000
@@ -46,26 +46,26 @@ def link_entities(
     a piece that is found is a match without further checks. Titles shorter than ``gram`` go
     through the same steps with a shorter probe.
     """
-    # Read several times below, so computed once; its size decides how it is joined.
-    titles = stage(
+    # Read several times below, so computed once; its measures decide how it is joined.
+    size = F.length("_title")
+    titles, stats = stage_measured(
         lookup.select(normalized(lookup_text).alias("_title"), F.col(lookup_id))
-        .where(F.length("_title") >= max(min_len, 1))
+        .where(size >= max(min_len, 1))
         .groupBy("_title")
-        .agg(F.min(lookup_id).alias(lookup_id))
+        .agg(F.min(lookup_id).alias(lookup_id)),
+        {
+            "rows": F.count("*"),
+            "chars": F.sum(size),
+            "short": F.min(F.when(size < gram, size)),
+            "long": F.count_if(size >= gram),
+        },
     )
-    size = F.length("_title")
-    stats = titles.agg(
-        F.count("*").alias("n"),
-        F.sum(size).alias("chars"),
-        F.min(F.when(size < gram, size)).alias("short"),
-        F.count_if(size >= gram).alias("n_long"),
-    ).first()
-    small = stats.n <= broadcast_rows and (stats.chars or 0) <= broadcast_bytes
+    small = stats["rows"] <= broadcast_rows and (stats["chars"] or 0) <= broadcast_bytes
 
     classes = []
-    if stats.short is not None:
-        classes.append((titles.where(size < gram), stats.short))
-    if stats.n_long or not classes:
+    if stats["short"] is not None:
+        classes.append((titles.where(size < gram), stats["short"]))
+    if stats["long"] or not classes:
         classes.append((titles.where(size >= gram), gram))
 
     if text is None:

@@ -85,21 +85,28 @@ def passed(report: DataFrame) -> bool:
 def enforce(report: DataFrame, name: str, on_fail: str = "abort") -> bool:
     """Apply a policy to a report: raise (``abort``) or log (``warn``); returns whether it passed."""
     failures = report.where((F.col("check") != "rows") & (F.col("violations") > 0)).collect()
-    if not failures:
-        return True
-    text = "; ".join(f"{r['check']} {r['column']}: {r['violations']}" for r in failures)
-    if on_fail == "abort":
+    return enforce_counts({f"{r['check']} {r['column']}": r["violations"] for r in failures}, name, on_fail)
+
+
+def enforce_counts(violations: Mapping[str, int], name: str, on_fail: str = "abort") -> bool:
+    """The same for counted violations."""
+    text = "; ".join(f"{rule}: {count}" for rule, count in violations.items() if count)
+    if text and on_fail == "abort":
         raise QualityError(f"{name}: {text}")
-    log.warning("%s: %s", name, text)
-    return False
+    if text:
+        log.warning("%s: %s", name, text)
+    return not text
+
+
+def null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """Aggregates that count NULL or NaN per column, for a pass that is made anyway."""
+    return {f"not_null {c}": F.count_if(_missing(df, c)) for c in cols}
 
 
 def warn_checks(df: DataFrame, name: str, rules: Mapping[str, Column]) -> dict[str, int]:
     """Count the rows that meet each suspicious condition, in one pass, and log what is found."""
     counts = df.agg(*[F.count_if(cond).alias(rule) for rule, cond in rules.items()]).first().asDict()
-    for rule, count in counts.items():
-        if count:
-            log.warning("%s: %s in %d rows", name, rule, count)
+    enforce_counts(counts, name, "warn")
     return counts
 
 

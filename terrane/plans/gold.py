@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, inventory, marts, quality, scd2
 from ..sources.lake import Lake
-from ..sources.scratch import stage
+from ..sources.scratch import stage_measured
 from . import silver
 
 log = logging.getLogger(__name__)
@@ -35,20 +35,30 @@ def append_facts(
     ``on_fail`` ``abort`` raises on a bad row, ``warn`` appends all the same, ``quarantine``
     publishes the bad rows as ``<table>_rejects`` and appends the good ones.
     """
-    batch = stage(rows)
-    if not quality.gate_non_empty(batch):
+    missing = quality.null_counts(rows, not_null)
+    counts = {rule: F.count_if(cond) for rule, cond in suspicious.items()}
+    batch, seen = stage_measured(rows, {"rows": F.count("*"), **missing, **counts})
+    if not seen["rows"]:
         log.info("%s: nothing new", table)
         return
     if on_fail == "quarantine":
         batch, bad = quality.quarantine(batch, {f"{c} present": F.col(c).isNotNull() for c in not_null})
         lake.publish(f"{table}_rejects", bad)
-        quality.enforce(quality.dq_report(batch, [id_col]), table)
     else:
-        quality.enforce(quality.dq_report(batch, [id_col], not_null), table, on_fail)
-    quality.warn_checks(batch, table, suspicious)
+        quality.enforce_counts({rule: seen[rule] for rule in missing}, table, on_fail)
+    quality.enforce(quality.dq_report(batch, [id_col]), table)
+    quality.enforce_counts({rule: seen[rule] for rule in counts}, table, "warn")
     lake.append(table, batch)
 
 
+def measured(rows: DataFrame, table: str, suspicious: dict[str, Column], not_null: list[str] = ()) -> DataFrame:
+    """``rows`` staged; suspicious and missing values are logged."""
+    counts = {rule: F.count_if(cond) for rule, cond in suspicious.items()}
+    staged, seen = stage_measured(rows, {**counts, **quality.null_counts(rows, not_null)})
+    quality.enforce_counts(seen, table, "warn")
+    return staged
+
+
 def refresh_fact_sales(
     lake: Lake, on_fail: str = "abort", salts: int = 1, level_as_of_sale: bool = False
 ) -> None:
@@ -89,9 +99,11 @@ def refresh_dim_customer(lake: Lake) -> None:
     tickets, products, customers = lake.load(BOOKINGS), lake.load(SALES), lake.load(CUSTOMERS)
     if tickets is None or products is None or customers is None:
         return
-    segmented = stage(marts.segment_customers(customers, marts.activity_counts(products, tickets)))
-    quality.enforce(quality.dq_report(segmented, ["customer_id"], ["customer_id"]), table)
-    lake.publish(table, clean.replace_by_key(lake.load_or_empty(table), segmented, ["customer_id"]))
+    segmented = silver.checked(
+        marts.segment_customers(customers, marts.activity_counts(products, tickets)), ["customer_id"], table
+    )
+    if segmented is not None:
+        lake.publish(table, clean.replace_by_key(lake.load_or_empty(table), segmented, ["customer_id"]))
 
 
 def refresh_segments(lake: Lake) -> None:
@@ -114,11 +126,11 @@ def refresh_tiles(lake: Lake, measure: str = "pos") -> None:
 
 def refresh_inventory_summary(lake: Lake, as_of: Column) -> None:
     table = "gold.gold_inventory_summary"
-    status = stage(inventory.inventory_status(lake.load_or_empty(STOCK)).withColumn("ingestion_ts", as_of))
-    quality.enforce(
-        quality.dq_report(status, ["product_id"], ["product_id", "stock_level", "last_update"]), table, "warn"
+    status = measured(
+        inventory.inventory_status(lake.load_or_empty(STOCK)).withColumn("ingestion_ts", as_of), table,
+        {"stock_level negative": F.col("stock_level") < 0}, ["product_id", "stock_level", "last_update"],
     )
-    quality.warn_checks(status, table, {"stock_level negative": F.col("stock_level") < 0})
+    quality.enforce(quality.dq_report(status, ["product_id"]), table, "warn")
     lake.publish(table, status)
 
 
@@ -139,12 +151,12 @@ def refresh_dim_product(lake: Lake, as_of: Column, on_missing: str = "keep") ->
             F.coalesce("last_price_update", "last_cost_update").alias("effective_start_date"),
         )
     )
-    versions = stage(
-        scd2.scd2_snapshot(lake.load_or_empty(table), incoming, "product_id", PRODUCT_TRACKED, as_of, on_missing)
+    versions = measured(
+        scd2.scd2_snapshot(lake.load_or_empty(table), incoming, "product_id", PRODUCT_TRACKED, as_of, on_missing),
+        table, {f"{c} not positive": F.col(c) <= 0 for c in ("price", "cost")},
     )
     report = quality.dq_report(versions, ["product_id", "effective_start_date"], ["product_id"])
     quality.enforce(report, table)
-    quality.warn_checks(versions, table, {f"{c} not positive": F.col(c) <= 0 for c in ("price", "cost")})
     lake.publish(table, versions)
 
 
@@ -158,32 +170,23 @@ def refresh_dim_title(lake: Lake) -> None:
     target = lake.load_or_empty(table)
     added = scd2.hash_diff_append(target, incoming, "anime_id", TITLE_HASHED, "effective_start_date")
     closed = scd2.closure_updates(target, incoming, "anime_id", TITLE_HASHED)
-    changes = stage(added.unionByName(closed))
-    if quality.gate_non_empty(changes):
-        versions = stage(
-            clean.replace_by_key(target, changes, ["anime_id", "record_hash", "effective_start_date"])
-        )
-        quality.enforce(
-            quality.dq_report(versions, ["anime_id", "effective_start_date"], ["anime_id"]), table
-        )
-        lake.publish(table, versions)
+    changes, seen = stage_measured(added.unionByName(closed), {"rows": F.count("*")})
+    if seen["rows"]:
+        versions = clean.replace_by_key(target, changes, ["anime_id", "record_hash", "effective_start_date"])
+        lake.publish(table, silver.checked(versions, ["anime_id", "effective_start_date"], table))
 
 
 def refresh_features(lake: Lake, upcoming_after: Column | None = None) -> None:
     table = "gold.ML_features_upcoming_titles"
-    features = stage(
-        marts.title_features(
-            lake.load_or_empty("gold.dim_anime_title_scd2").where(F.col("is_current")),
-            lake.load_or_empty("gold.fact_sales"),
-            lake.load_or_empty("gold.fact_screenings"),
-            lake.load_or_empty("gold.dim_product").where(F.col("is_current")),
-            upcoming_after,
-        )
-    )
-    quality.warn_checks(
-        features, table, {f"{c} negative": F.col(c) < 0 for c in ("historical_sales", "avg_views")}
+    features = marts.title_features(
+        lake.load_or_empty("gold.dim_anime_title_scd2").where(F.col("is_current")),
+        lake.load_or_empty("gold.fact_sales"),
+        lake.load_or_empty("gold.fact_screenings"),
+        lake.load_or_empty("gold.dim_product").where(F.col("is_current")),
+        upcoming_after,
     )
-    lake.publish(table, features)
+    suspicious = {f"{c} negative": F.col(c) < 0 for c in ("historical_sales", "avg_views")}
+    lake.publish(table, measured(features, table, suspicious))
 
 
 def run_silver_to_gold(lake: Lake, as_of: Column | None = None, on_fail: str = "abort") -> None:

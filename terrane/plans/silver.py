@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, inventory, link, quality, scd2
 from ..sources.lake import Lake
-from ..sources.scratch import stage
+from ..sources.scratch import stage, stage_measured
 
 log = logging.getLogger(__name__)
 
@@ -28,14 +28,19 @@ TITLE_VALIDITY = scd2.Scd2Columns(current="is_current_broadcast", open_end="9999
 SCREENING_MIN_LEN = 3
 
 
-def append_new(lake: Lake, table: str, rows: DataFrame, id_col: str, not_null: list[str]) -> None:
-    """Stage new rows once, check them, append them; an empty batch writes nothing."""
-    batch = stage(rows)
-    if not quality.gate_non_empty(batch):
-        log.info("%s: nothing new", table)
-        return
-    quality.enforce(quality.dq_report(batch, [id_col], not_null), table)
-    lake.append(table, batch)
+def checked(rows: DataFrame, keys: list[str], name: str) -> DataFrame | None:
+    """``rows`` staged and gated, or None when there are none.
+
+    Rows and NULL keys are counted while the stage is written; only uniqueness needs another pass,
+    over the key columns. A failed gate raises before anything is published.
+    """
+    batch, seen = stage_measured(rows, {"rows": F.count("*"), **quality.null_counts(rows, keys)})
+    if not seen.pop("rows"):
+        log.info("%s: nothing new", name)
+        return None
+    quality.enforce_counts(seen, name)
+    quality.enforce(quality.dq_report(batch, keys), name)
+    return batch
 
 
 def refresh_transactions(
@@ -55,7 +60,9 @@ def refresh_transactions(
         source = stage(source.where(arrived))
     fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col], small=since is not None)
     rows = clean.clean_transactions(fresh, id_col, link_key, links, "anime_id", ts_as)
-    append_new(lake, table, rows, id_col, [id_col, link_key])
+    batch = checked(rows, [id_col], table)
+    if batch is not None:
+        lake.append(table, batch)
 
 
 def product_links(lake: Lake) -> DataFrame:
@@ -99,17 +106,15 @@ def refresh_products(lake: Lake, links: DataFrame) -> None:
         "silver.silver_inventory_movements_clean": inventory.inventory_position(sold(lake), delivered(lake), links),
     }
     for table, rows in masters.items():
-        updates = stage(rows)
-        if quality.gate_non_empty(updates):
-            quality.enforce(quality.dq_report(updates, ["product_id"], ["product_id"]), table)
+        updates = checked(rows, ["product_id"], table)
+        if updates is not None:
             lake.publish(table, clean.replace_by_key(lake.load_or_empty(table), updates, ["product_id"]))
 
 
 def refresh_customers(lake: Lake) -> None:
     table = "silver.silver_customer_master_data"
-    updates = stage(clean.customer_master(lake.load_or_empty(REGISTRATIONS)))
-    if quality.gate_non_empty(updates):
-        quality.enforce(quality.dq_report(updates, ["customer_id"], ["customer_id"]), table)
+    updates = checked(clean.customer_master(lake.load_or_empty(REGISTRATIONS)), ["customer_id"], table)
+    if updates is not None:
         lake.publish(table, clean.replace_by_key(lake.load_or_empty(table), updates, ["customer_id"]))
 
 
@@ -118,19 +123,17 @@ def refresh_titles(lake: Lake) -> None:
     table = TITLES_SCD2
     latest = clean.latest_by_key(lake.load_or_empty(TITLES), "anime_id", "ingestion_ts", ts_as="effective_start_date")
     current = lake.load_or_empty(table)
-    changes = stage(scd2.scd2_apply(current, latest, "anime_id", TITLE_TRACKED, TITLE_VALIDITY))
-    if not quality.gate_non_empty(changes):
-        return
-    late = changes.where(F.col("scd_action") == "late").drop("scd_action")
-    if quality.gate_non_empty(late):
-        log.warning("%s: versions older than the current one were set aside", table)
-    lake.publish(f"{table}_late", late)
-    if quality.gate_non_empty(changes.where(F.col("scd_action") != "late")):
-        merged = stage(scd2.scd2_merge(current, changes, "anime_id", TITLE_VALIDITY))
-        quality.enforce(
-            quality.dq_report(merged, ["anime_id", "effective_start_date"], ["anime_id"]), table
-        )
-        lake.publish(table, merged)
+    late_rows = F.col("scd_action") == "late"
+    changes, seen = stage_measured(
+        scd2.scd2_apply(current, latest, "anime_id", TITLE_TRACKED, TITLE_VALIDITY),
+        {"rows": F.count("*"), "late": F.count_if(late_rows)},
+    )
+    if seen["late"]:
+        log.warning("%s: %d versions older than the current one are set aside", table, seen["late"])
+        lake.publish(f"{table}_late", changes.where(late_rows).drop("scd_action"))
+    if seen["rows"] > seen["late"]:
+        merged = scd2.scd2_merge(current, changes, "anime_id", TITLE_VALIDITY)
+        lake.publish(table, checked(merged, ["anime_id", "effective_start_date"], table))
 
 
 def refresh_concessions(lake: Lake) -> None:

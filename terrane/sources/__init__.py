@@ -2,6 +2,6 @@
 
 from .files import file_source, kafka_source, read_csv, show_sample
 from .lake import Lake
-from .scratch import stage
+from .scratch import stage, stage_measured
 
-__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "show_sample", "stage"]
+__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "show_sample", "stage", "stage_measured"]

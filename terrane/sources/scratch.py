@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..session import scratch_root
 
@@ -18,3 +20,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{scratch_root(df.sparkSession)}/terrane/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_measured(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Any]]:
+    """``stage`` that also returns aggregates of the rows, taken while they are written.
+
+    The aggregates are observed in the writing tasks, where a repeated task counts once.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]))
+    return staged, seen.get

@@ -51,7 +51,7 @@ def test_policies(bad, caplog):
     assert ops.enforce(report, "t", "warn") is False
     assert "unique id: 1" in caplog.text
     assert ops.warn_checks(bad, "t", {"qty not positive": F.col("qty") <= 0}) == {"qty not positive": 2}
-    assert "qty not positive in 2 rows" in caplog.text
+    assert "qty not positive: 2" in caplog.text
 
 
 def test_quarantine_splits_rows_without_loss(bad):
