@@ -71,7 +71,7 @@ def test_all_ways_equal_brute_force(spark, as_text, broadcast_rows):
     assert got == expected
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.text("aabZ1 -", max_size=25), min_size=1, max_size=12, unique=True),
     st.lists(st.text("aabZ1 -", max_size=12), min_size=1, max_size=12),

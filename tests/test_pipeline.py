@@ -83,6 +83,18 @@ class World:
         }
 
 
+@pytest.fixture(autouse=True)
+def tiny_plans(spark):
+    """The refresh runs some hundred small jobs here: plan them without the steps that pay off on large data."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "2"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 @pytest.fixture
 def world(lake, tmp_path):
     world = World(lake, tmp_path / "world")

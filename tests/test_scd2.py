@@ -117,7 +117,7 @@ states = st.lists(
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(states, min_size=1, max_size=3))
 def test_any_sequence_keeps_the_invariants(spark, sequence):
     dim = spark.createDataFrame([], DIM)
