@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from terrane.schemas import TABLES
 from terrane.session import scratch_root
-from terrane.sources import Lake, read_csv, stage
+from terrane.sources import Lake, read_csv, stage, stage_measured
 
 from .helpers import rows
 
@@ -82,3 +82,24 @@ def test_stage_cuts_the_plan_and_keeps_the_schema(spark, frame):
     assert rows(staged) == [(1, "x", 2)]
     assert "LogicalRDD" not in staged._jdf.queryExecution().optimizedPlan().toString()
     assert scratch_root(spark) + "/terrane/" in staged.inputFiles()[0]
+
+
+def test_command_line_jobs(lake, tmp_path, capfd):
+    from terrane.__main__ import main
+
+    root = ["--root", str(tmp_path / "cli")]
+    (tmp_path / "c.csv").write_text("registration_id,customer_id,name,email\nr1,501,Ann,a@x\nr2,502,Bo,b@x\n")
+    main([*root, "create-tables"])
+    main([*root, "load-customers", str(tmp_path / "c.csv")])
+    main([*root, "preview", "bronze.bronze_customer_registration_events"])
+    assert lake.load("bronze.bronze_customer_registration_events").count() == 2
+    assert "Ann" in capfd.readouterr().out
+
+
+def test_stage_measures_while_it_writes(spark):
+    staged, seen = stage_measured(
+        spark.range(100).repartition(7), {"n": F.count("*"), "odd": F.count_if(F.col("id") % 2 == 1)}
+    )
+    assert seen == {"n": 100, "odd": 50} and staged.count() == 100
+    _, none = stage_measured(spark.range(0), {"n": F.count("*"), "top": F.max("id")})
+    assert none == {"n": 0, "top": None}
