@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, toxicity
+from . import language, lines, quality, toxicity
 from .common import fold, table
 
 
@@ -27,6 +27,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeats(docs, "doc_id", "text").select("doc_id", "_cut.n_lines", "_cut.n_removed", F.col("_cut.kept").alias("text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     remainder = fold(F.col("doc_id"), 3)
@@ -36,4 +41,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_toxicity, op3_quality, op10_language)
+QUERIES = (op2_toxicity, op3_quality, op9_line_dedup, op10_language)

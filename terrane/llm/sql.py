@@ -1,3 +1,32 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_LINE_DEDUP = r"""
+WITH line AS (
+    SELECT doc_id, i AS raw, x AS line, trim(x, E' \t\r') AS trimmed
+    FROM (SELECT doc_id, unnest(string_split(text, E'\n')) AS x, generate_subscripts(string_split(text, E'\n'), 1) AS i
+          FROM documents WHERE text IS NOT NULL)
+), filled AS (
+    SELECT doc_id, raw, trimmed, row_number() OVER (PARTITION BY doc_id ORDER BY raw) AS pos
+    FROM line WHERE trimmed <> ''
+), win AS (
+    SELECT doc_id, pos, trimmed AS a, lead(trimmed) OVER w AS b, lead(trimmed, 2) OVER w AS c
+    FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+    SELECT doc_id, pos FROM (
+        SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM win WHERE c IS NOT NULL
+    ) WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT f.doc_id, f.raw
+    FROM (SELECT doc_id, pos + k AS pos FROM later, (VALUES (0), (1), (2)) AS v(k)) AS cover JOIN filled f USING (doc_id, pos)
+), kept AS (
+    SELECT l.doc_id, count(*) FILTER (l.trimmed <> '') AS n_lines, count(g.raw) AS n_removed,
+           string_agg(CASE WHEN g.raw IS NULL THEN l.line END, E'\n' ORDER BY l.raw) AS text
+    FROM line l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.raw = l.raw
+    GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
+       CASE WHEN k.n_removed = k.n_lines AND k.n_removed > 0 THEN '' ELSE coalesce(k.text, d.text) END AS text
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+SQL: dict[str, str] = {"op9_line_dedup": _LINE_DEDUP}

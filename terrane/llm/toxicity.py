@@ -58,7 +58,7 @@ class Classifier:
         if not self.prior:
             return lambda text: 0.0
         weight = Memo(lambda name: float(self.weights[_place(name)]), most=300_000)
-        return lambda text: float(1 / (1 + np.exp(-self.intercept - sum(weight.of(feature_names(text or ""))))))
+        return lambda text: float(0.5 + 0.5 * np.tanh((self.intercept + sum(weight.of(feature_names(text or "")))) / 2))
 
 
 def _step(rows: np.ndarray, places: np.ndarray, n: int, w: np.ndarray, b: float) -> np.ndarray:
@@ -74,7 +74,7 @@ def _fit_one(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     n, k = len(toxic), len(unlabelled)
     for t in range(1, steps + 1):
         fp, fu = _step(rp, xp, n, w, b), _step(ru, xu, k, w, b)
-        sp, su = 1 / (1 + np.exp(-fp)), 1 / (1 + np.exp(-fu))
+        sp, su = (0.5 + 0.5 * np.tanh(f / 2) for f in (fp, fu))
         clean = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
         # d/df of loss(f) is s - 1, of loss(-f) it is s.
         if clean >= 0:
@@ -90,13 +90,19 @@ def _fit_one(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return w, b
 
 
-def learn(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = 3, steps: int = 60, rate: float = 0.15, decay: float = 2e-5, min_docs: int = 4) -> Classifier:
-    """Mean of ``members`` classifiers over the feature places that ``min_docs`` sampled texts have."""
+def learn(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = 3, steps: int = 150, rate: float = 0.1, decay: float = 3e-4, min_docs: int = 3, lift: float = 4.0) -> Classifier:
+    """Mean of ``members`` classifiers over the feature places that tell toxic texts apart.
+
+    A place counts if ``min_docs`` toxic texts have it and its share of them lies ``lift`` standard
+    errors above its share of the unlabelled texts.
+    """
     if not toxic or not unlabelled:
         return Classifier(np.zeros(1), 0.0, 0.0)
     prior = min(max(prior, 1e-4), 0.9)
-    docs = np.bincount(np.concatenate([*toxic, *unlabelled]), minlength=DIMENSIONS)
-    known = np.flatnonzero(docs >= min_docs)
+    with_toxic, with_any = (np.bincount(np.concatenate(x), minlength=DIMENSIONS) for x in (toxic, unlabelled))
+    usual = (with_any + 1) / (len(unlabelled) + 2)
+    above = (with_toxic / len(toxic) - usual) / np.sqrt(usual * (1 - usual) / len(toxic))
+    known = np.flatnonzero((with_toxic >= min_docs) & (above >= lift))
     place = np.full(DIMENSIONS, -1, np.int32)
     place[known] = np.arange(len(known))
     short = lambda found: [y[y >= 0] for y in (place[x] for x in found)]
@@ -110,7 +116,7 @@ def learn(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, m
     return Classifier(weights.astype(np.float32), float(intercept), prior)
 
 
-def fit(docs: DataFrame, text: str, key: str, labels: DataFrame, label: str, train: Column, toxic_rows: int = 2500, unlabelled_rows: int = 6000) -> Classifier:
+def fit(docs: DataFrame, text: str, key: str, labels: DataFrame, label: str, train: Column, toxic_rows: int = 4000, unlabelled_rows: int = 8000) -> Classifier:
     """Learn from about ``toxic_rows`` confirmed texts and ``unlabelled_rows`` of all training rows.
 
     ``train`` is a condition on the key, for both tables. Rows are sampled by a hash of the key after
