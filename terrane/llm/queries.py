@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, quality, toxicity
+from . import fingerprint, language, lines, quality, toxicity
 from .common import fold, table
 
 
@@ -27,6 +27,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return fingerprint.fingerprints_with_edits(docs, "doc_id", "text").select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeats(docs, "doc_id", "text").select("doc_id", "_cut.n_lines", "_cut.n_removed", F.col("_cut.kept").alias("text"))
@@ -41,4 +48,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_toxicity, op3_quality, op9_line_dedup, op10_language)
+QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op9_line_dedup, op10_language)
