@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, language, lines, quality, toxicity
+from . import decontaminate, fingerprint, language, lines, quality, toxicity
 from .common import fold, table
 
 
@@ -34,6 +34,14 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, "doc_id", "text", items, "item_id", "text").select(
+        F.col("doc.key").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeats(docs, "doc_id", "text").select("doc_id", "_cut.n_lines", "_cut.n_removed", F.col("_cut.kept").alias("text"))
@@ -48,4 +56,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op9_line_dedup, op10_language)
+QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op7_decontaminate, op9_line_dedup, op10_language)

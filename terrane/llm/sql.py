@@ -29,4 +29,32 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
-SQL: dict[str, str] = {"op9_line_dedup": _LINE_DEDUP}
+_DECONTAMINATE = r"""
+WITH tokens AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM benchmark
+), phrase AS (
+    SELECT DISTINCT item, w[i:i + 9] AS p, len(w[i:i + 9]) AS n
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), lens AS (SELECT DISTINCT n FROM phrase
+), place AS (
+    SELECT doc_id, n, i, w[i:i + n - 1] AS p
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, lens WHERE len(w) >= n)
+), found AS (
+    SELECT doc_id, i, place.n AS n, item FROM place JOIN phrase USING (p)
+), hit AS (
+    SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+       sha256(coalesce(n.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM tokens t LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op7_decontaminate": _DECONTAMINATE, "op9_line_dedup": _LINE_DEDUP}
