@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, lines, quality, toxicity
+from . import decontaminate, fingerprint, language, lines, near, quality, toxicity
 from .common import fold, table
 
 
@@ -42,6 +42,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.classes(docs, "doc_id", "text").select("doc_id", "class_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeats(docs, "doc_id", "text").select("doc_id", "_cut.n_lines", "_cut.n_removed", F.col("_cut.kept").alias("text"))
@@ -56,4 +61,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op7_decontaminate, op9_line_dedup, op10_language)
+QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)
