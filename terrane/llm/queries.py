@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language, lines, near, quality, toxicity
+from . import decontaminate, fingerprint, html, language, licences, lines, near, quality, toxicity
 from .common import fold, table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"), "html", ["page_id", "url"]).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     remainder = fold(F.col("doc_id"), 4)
@@ -27,6 +31,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, "doc_id", "text", licences.known(spark)).select(
+        "doc_id", F.array_join("whole", ",").alias("whole"), F.array_join("notices", ",").alias("notices"),
+    )
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return fingerprint.fingerprints_with_edits(docs, "doc_id", "text").select(
@@ -61,4 +72,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op2_toxicity, op3_quality, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)
+QUERIES = (op1_main_text, op2_toxicity, op3_quality, op5_licences, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)

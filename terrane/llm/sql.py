@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from .licence_texts import KNOWN, SPELLINGS
+
 _LINE_DEDUP = r"""
 WITH line AS (
     SELECT doc_id, i AS raw, x AS line, trim(x, E' \t\r') AS trimmed
@@ -29,6 +31,33 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+_CANONICAL = """array_to_string(list_transform(
+        list_filter(string_split(regexp_replace(lower(array_to_string(list_filter(string_split({0}, chr(10)),
+            lambda x: NOT regexp_matches(lower(x), '^[ \\t]*(copyright\\b|\\(c\\)|©|all rights reserved)')), ' ')),
+            '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''),
+        lambda w: coalesce({1}[w], w)), ' ')"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_SPELLINGS = "MAP {" + ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in SPELLINGS.items()) + "}"
+_LICENCES = f"""
+WITH known AS (
+    SELECT DISTINCT licence, {_CANONICAL.format("text", _SPELLINGS)} AS form
+    FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) AS t(licence, text)
+), unit AS (
+    SELECT doc_id, true AS whole, {_CANONICAL.format("text", _SPELLINGS)} AS form FROM documents
+    UNION ALL
+    SELECT doc_id, false, {_CANONICAL.format("line", _SPELLINGS)} FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+), found AS (SELECT doc_id, whole, licence FROM unit JOIN known USING (form))
+SELECT d.doc_id, coalesce(string_agg(DISTINCT f.licence, ',' ORDER BY f.licence) FILTER (f.whole), '') AS whole,
+       coalesce(string_agg(DISTINCT f.licence, ',' ORDER BY f.licence) FILTER (NOT f.whole), '') AS notices
+FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
 _DECONTAMINATE = r"""
 WITH tokens AS (
     SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -57,4 +86,5 @@ SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
 FROM tokens t LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op7_decontaminate": _DECONTAMINATE, "op9_line_dedup": _LINE_DEDUP}
+SQL: dict[str, str] = {
+    "op5_licences": _LICENCES, "op7_decontaminate": _DECONTAMINATE, "op9_line_dedup": _LINE_DEDUP}
