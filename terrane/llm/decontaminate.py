@@ -121,6 +121,12 @@ class PositionalIndex:
         return first.join(second, ["id", "doc", "band"]).where(F.abs(F.col("at") - F.col("at2")) <= slop).select("doc", "id").distinct()
 
 
+def contaminated(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, size: int = WORDS) -> DataFrame:
+    """``doc`` (key, hash of the text) of each document in which a window occurs, staged."""
+    phrases = stage(windows(items, item_key, item_text, size))
+    return stage(PositionalIndex(docs, key, text, phrases, size).matches(phrases).select("doc").distinct())
+
+
 def contamination(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, size: int = WORDS) -> DataFrame:
     """One row per document: ``doc`` (key, hash of the text), n_words, n_hit (words inside any match), item_ids."""
     phrases = stage(windows(items, item_key, item_text, size))

@@ -23,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -141,8 +141,15 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_texts(both, "_both", ["u", "v"], "likeness double", start).where(F.col("likeness") >= least).select("u", "v")
 
 
-def classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``docs`` with ``class_id``: the least key among all documents that links of ``least`` or more tie together."""
+def _node(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
+def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``node`` (digest of a text), ``key`` (the least of its documents) and ``class_id``, one row per distinct text.
+
+    The class is the least key among all documents that links of ``least`` or more tie together.
+    """
     def start():
         memo = word_hashes()
 
@@ -152,7 +159,7 @@ def classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int
 
         return banded
 
-    given = docs.where(F.col(text).isNotNull()).select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("node"), F.col(key).alias("key"), F.col(text).alias("text"))
+    given = docs.where(F.col(text).isNotNull()).select(_node(text).alias("node"), F.col(key).alias("key"), F.col(text).alias("text"))
     signed = stage(map_texts(given, "text", ["node", "key"], "buckets array<bigint>", start))
     nodes = stage(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("buckets").alias("buckets")))
     each = nodes.select("node", F.explode("buckets").alias("bucket"))
@@ -175,13 +182,27 @@ def classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int
 
     named = nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_key = named.groupBy("label").agg(F.min("key").alias("class_id"))
-    of_node = named.join(least_key, "label").select(F.col("node").alias("_node"), "class_id")
-    marked = docs.withColumn("_id", F.unhex(F.md5(F.col(text).cast("binary"))))
-    return marked.join(of_node, F.col("_id") == F.col("_node"), "left").select(
-        *[docs[c] for c in docs.columns], F.when(F.col(text).isNull(), F.col(key)).otherwise(F.col("class_id")).alias("class_id"),
+    return named.join(least_key, "label").select("node", "key", "class_id")
+
+
+def classes(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
+    """``docs`` with ``class_id``; ``how`` goes to ``node_classes``."""
+    found = node_classes(docs, key, text, **how).select(F.col("node").alias("_node"), F.col("class_id").alias("_class"))
+    return docs.withColumn("_id", _node(text)).join(found, F.col("_id") == F.col("_node"), "left").select(
+        *[docs[c] for c in docs.columns], F.when(F.col(text).isNull(), F.col(key)).otherwise(F.col("_class")).alias("class_id"),
     )
 
 
+def keep_one(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
+    """``docs`` without all but the least key of each class, once; NULL texts stay."""
+    chosen = node_classes(docs, key, text, **how).where(F.col("key").eqNullSafe(F.col("class_id")))
+    # A struct, because structs with a NULL inside are equal where bare NULLs are not.
+    kept = chosen.select(F.struct("node", F.col("key").alias("key")).alias("_doc"))
+    there = docs.where(F.col(text).isNotNull()).withColumn("_doc", F.struct(_node(text).alias("node"), F.col(key).alias("key")))
+    once = there.join(kept, "_doc", "left_semi").dropDuplicates(["_doc"]).drop("_doc")
+    return once.unionByName(docs.where(F.col(text).isNull()))
+
+
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
     """``rows`` with the component of a node; a node without links is one of its own."""
     return rows.join(labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))

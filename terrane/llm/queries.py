@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, html, language, licences, lines, near, quality, toxicity
+from . import decontaminate, fingerprint, html, language, licences, lines, near, pieces, quality, toxicity
 from .common import fold, table
+from .stages import VOCABULARY
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.encode(docs, "doc_id", "text", pieces.load(VOCABULARY), ["doc_id"])
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return licences.scan(docs, "doc_id", "text", licences.known(spark)).select(
@@ -72,4 +78,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_main_text, op2_toxicity, op3_quality, op5_licences, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)
+QUERIES = (op1_main_text, op2_toxicity, op3_quality, op4_sentencepiece, op5_licences, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)
