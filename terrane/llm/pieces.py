@@ -8,7 +8,8 @@ set is a Gumbel value at the set's total mass, cut off at the value of the set i
 be listed to be ranked. The first path descends from the start, choosing each arc by its share of
 the mass; at each node it leaves behind the set of all paths that turn off there. The best set left is
 opened next, from the node where it turns off. The ``k+1``-th value gives the threshold of the inclusion
-probabilities, 1 - exp(-exp(log p - threshold)).
+probabilities, 1 - exp(-exp(log p - threshold)). Their logarithms are returned: a single path of a long text
+has a chance below the range of a double.
 
 Pieces never reach over the start of a run of spaces, so the lattice of a text is a chain of lattices of its
 words; those of a batch's distinct words are built once, and all words of a batch descend together in numpy.
@@ -19,7 +20,7 @@ A vocabulary whose scores are merge ranks (BPE) has weights by Zipf's law, 1 / (
 ``sharpness``; one whose scores are log-probabilities uses those, times ``sharpness``.
 
 Edge cases: NULL text gives NULL; the empty text has one segmentation, of no pieces. A text with fewer than
-``k`` segmentations gives all of them, with inclusion 1. Characters outside the vocabulary become bytes,
+``k`` segmentations gives all of them, with the log of 1. Characters outside the vocabulary become bytes,
 so every text comes back from ``decode`` unchanged, the space marker itself included. Repeated rows give
 repeated results.
 """
@@ -189,6 +190,11 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(0, cuts), np.append(cuts, len(keys))
 
 
+def _log_inclusion(above: float) -> float:
+    """log(1 - exp(-exp(above)))."""
+    return above if above < -30 else float(np.log(-np.expm1(-np.exp(min(above, 700.0)))))
+
+
 @dataclass
 class _Path:
     """A found path: its tokens by word, and where each of its words' tokens start."""
@@ -276,7 +282,7 @@ class _Search:
         return out
 
     def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
-        """Per text its samples in order: ids, log-probability, inclusion probability."""
+        """Per text its samples in order: ids, log-probability, log of the inclusion probability."""
         full = [i for i, w in enumerate(self.words) if len(w)]
         found: list[list[_Path]] = [[] for _ in self.words]
         open_: list[list] = [[] for _ in self.words]
@@ -312,7 +318,7 @@ class _Search:
         out = []
         for i, paths in enumerate(found):
             threshold = -open_[i][0][0] if open_[i] else -np.inf
-            out.append([(self._spell(p.tokens), p.log_p, float(-np.expm1(-np.exp(min(p.log_p - threshold, 700.0))))) for p in paths] or [(np.empty(0, np.int64), 0.0, 1.0)])
+            out.append([(self._spell(p.tokens), p.log_p, _log_inclusion(p.log_p - threshold)) for p in paths] or [(np.empty(0, np.int64), 0.0, 0.0)])
         return out
 
     def _turn(self, i: int, number: int, heap: list, paths: list[_Path], prefix: dict) -> tuple:
@@ -349,7 +355,7 @@ class _Search:
 
 
 def sampler(vocabulary: Vocabulary, k: int):
-    """Function from texts and seeds to samples: for each text (ids, log-probability, inclusion) of each path."""
+    """Function from texts and seeds to samples: for each text (ids, log-probability, log-inclusion) of each path."""
     lookup = _Lookup(vocabulary)
     lengths = [len(p) if p else 1 for p in vocabulary.pieces]
 
@@ -368,14 +374,14 @@ def decoder(vocabulary: Vocabulary):
 
 
 def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: list[str], k: int = 2, seed: int = 0, batch_chars: int = 2_500_000) -> DataFrame:
-    """The ``keep`` columns, ``samples``, an array of (ids, log_prob, inclusion), and ``round_trip``.
+    """The ``keep`` columns, ``samples``, an array of (ids, log_prob, log_inclusion), and ``round_trip``.
 
     Samples depend on the row's key, its text and ``seed``. ``round_trip`` says whether every sample decodes
     to the text. Texts are searched together up to ``batch_chars`` characters, which bounds a task's memory
     but for the length of a single text.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the pieces of a vocabulary file
-    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("inclusion", pa.float64())]))
+    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64())]))
 
     def start():
         sample, back = sampler(shipped.value, k), decoder(shipped.value)
@@ -408,7 +414,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
         return encoded
 
     given = docs.withColumn("_given", F.struct(F.col(text).alias("text"), F.xxhash64(F.col(key), F.lit(seed)).alias("seed")))
-    added = "samples array<struct<ids: array<int>, log_prob: double, inclusion: double>>, round_trip boolean"
+    added = "samples array<struct<ids: array<int>, log_prob: double, log_inclusion: double>>, round_trip boolean"
     return map_texts(given, "_given", keep, added, start, rows=768)
 
 
