@@ -92,5 +92,5 @@ def remove_repeats(docs: DataFrame, key: str, text: str, hot: int = 2000) -> Dat
         met.where(~F.struct("_key", "_hash", "at").eqNullSafe(F.col("first")))
         .groupBy("_key", "_hash").agg(F.collect_set("at").alias("_covered"))
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(F.col(text)) == F.col("_hash"))
-    return docs.join(covered, same, "left").select(*[docs[c] for c in docs.columns], _without(F.col(text), F.col("_covered")).alias("_cut"))
+    same = docs[key].eqNullSafe(covered["_key"]) & (F.xxhash64(docs[text]) == covered["_hash"])
+    return docs.join(covered, same, "left").select(*[docs[c] for c in docs.columns], _without(docs[text], covered["_covered"]).alias("_cut"))

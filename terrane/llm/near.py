@@ -141,8 +141,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_texts(both, "_both", ["u", "v"], "likeness double", start).where(F.col("likeness") >= least).select("u", "v")
 
 
-def _node(text: str) -> Column:
-    return F.unhex(F.md5(F.col(text).cast("binary")))
+def _node(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -159,7 +159,7 @@ def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands
 
         return banded
 
-    given = docs.where(F.col(text).isNotNull()).select(_node(text).alias("node"), F.col(key).alias("key"), F.col(text).alias("text"))
+    given = docs.where(F.col(text).isNotNull()).select(_node(F.col(text)).alias("node"), F.col(key).alias("key"), F.col(text).alias("text"))
     signed = stage(map_texts(given, "text", ["node", "key"], "buckets array<bigint>", start))
     nodes = stage(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("buckets").alias("buckets")))
     each = nodes.select("node", F.explode("buckets").alias("bucket"))
@@ -187,9 +187,9 @@ def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands
 
 def classes(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     """``docs`` with ``class_id``; ``how`` goes to ``node_classes``."""
-    found = node_classes(docs, key, text, **how).select(F.col("node").alias("_node"), F.col("class_id").alias("_class"))
-    return docs.withColumn("_id", _node(text)).join(found, F.col("_id") == F.col("_node"), "left").select(
-        *[docs[c] for c in docs.columns], F.when(F.col(text).isNull(), F.col(key)).otherwise(F.col("_class")).alias("class_id"),
+    found = node_classes(docs, key, text, **how)
+    return docs.join(found, _node(docs[text]) == found["node"], "left").select(
+        *[docs[c] for c in docs.columns], F.when(docs[text].isNull(), docs[key]).otherwise(found["class_id"]).alias("class_id"),
     )
 
 
@@ -197,9 +197,9 @@ def keep_one(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     """``docs`` without all but the least key of each class, once; NULL texts stay."""
     chosen = node_classes(docs, key, text, **how).where(F.col("key").eqNullSafe(F.col("class_id")))
     # A struct, because structs with a NULL inside are equal where bare NULLs are not.
-    kept = chosen.select(F.struct("node", F.col("key").alias("key")).alias("_doc"))
-    there = docs.where(F.col(text).isNotNull()).withColumn("_doc", F.struct(_node(text).alias("node"), F.col(key).alias("key")))
-    once = there.join(kept, "_doc", "left_semi").dropDuplicates(["_doc"]).drop("_doc")
+    kept = chosen.select(F.struct("node", F.col("key").alias("key")).alias("_terrane_doc"))
+    there = docs.where(F.col(text).isNotNull()).withColumn("_terrane_doc", F.struct(_node(F.col(text)).alias("node"), F.col(key).alias("key")))
+    once = there.join(kept, "_terrane_doc", "left_semi").dropDuplicates(["_terrane_doc"]).drop("_terrane_doc")
     return once.unionByName(docs.where(F.col(text).isNull()))
 
 

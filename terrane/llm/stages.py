@@ -37,8 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of any benchmark item occurs."""
     hit = decontaminate.contaminated(docs, "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
-    doc = F.struct(F.col("doc_id").alias("key"), F.xxhash64(F.col("text")).alias("hash"))
-    return docs.withColumn("_doc", doc).join(checked_broadcast(hit, hit.count()), F.col("_doc") == F.col("doc"), "left_anti").select(*docs.columns)
+    doc = F.struct(docs["doc_id"].alias("key"), F.xxhash64(docs["text"]).alias("hash"))
+    return docs.join(checked_broadcast(hit, hit.count()), doc == hit["doc"], "left_anti")
 
 
 def sample_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,9 +4,10 @@ Linear classifiers over hashed features of a whole text are fitted in numpy to t
 
     prior * E_toxic[loss(f)] + max(0, E_unlabelled[loss(-f)] - prior * E_toxic[loss(-f)])
 
-with the logistic loss. Unlabelled texts are a sample of all training rows, so they hold toxic ones too;
-the second term estimates the risk on clean texts without any clean label, and when it falls below zero
-the step goes against its gradient. The class prior is the toxic share of the labelled training rows.
+with the sigmoid loss 1 / (1 + exp(z)), which is bounded, so a prior that is a little off doesn't tilt the
+classifier. Unlabelled texts are a sample of all training rows, so they hold toxic ones too;
+the second term estimates the risk on clean texts without any clean label, and while it would be below
+zero it has no part in the step. The class prior is the toxic share of the labelled training rows.
 Several classifiers share the toxic texts and split the unlabelled ones; their mean logit gives the score.
 
 Features: each distinct word, and each word beginning of 5 to 7 letters that two, three or four and more
@@ -75,12 +76,10 @@ def _fit_one(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     for t in range(1, steps + 1):
         fp, fu = _step(rp, xp, n, w, b), _step(ru, xu, k, w, b)
         sp, su = (0.5 + 0.5 * np.tanh(f / 2) for f in (fp, fu))
-        clean = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        # d/df of loss(f) is s - 1, of loss(-f) it is s.
-        if clean >= 0:
-            gp, gu = prior * (sp - 1) / n - prior * sp / n, su / k
-        else:
-            gp, gu = prior * sp / n, -su / k
+        clean = su.mean() - prior * sp.mean()
+        steep_p, steep_u = sp * (1 - sp) / n, su * (1 - su) / k
+        # The risk on toxic texts falls with f; that on clean ones has a part while it is not negative.
+        gp, gu = (-2 * prior * steep_p, steep_u) if clean >= 0 else (-prior * steep_p, 0 * steep_u)
         grad = np.append(np.bincount(xp, weights=gp[rp], minlength=size) + np.bincount(xu, weights=gu[ru], minlength=size) + decay * w, gp.sum() + gu.sum())
         m += 0.1 * (grad - m)
         v += 0.01 * (grad * grad - v)
@@ -90,7 +89,7 @@ def _fit_one(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return w, b
 
 
-def learn(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = 3, steps: int = 150, rate: float = 0.1, decay: float = 3e-4, min_docs: int = 3, lift: float = 4.0) -> Classifier:
+def learn(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = 3, steps: int = 150, rate: float = 0.1, decay: float = 3e-5, min_docs: int = 3, lift: float = 3.0) -> Classifier:
     """Mean of ``members`` classifiers over the feature places that tell toxic texts apart.
 
     A place counts if ``min_docs`` toxic texts have it and its share of them lies ``lift`` standard
