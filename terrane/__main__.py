@@ -25,13 +25,14 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--servers", help="Kafka bootstrap servers")
     ingest.add_argument("--folder", help="folder with one sub-folder of JSON lines per topic")
     ingest.add_argument("--checkpoints", required=True)
+    ingest.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the Kafka reader")
     ingest.add_argument("--seconds", type=int, default=100, help="stop after this time")
     to_silver = jobs.add_parser("silver", help="refresh the silver tables")
-    to_silver.add_argument("--since", help="look only at events that arrived then or later")
+    to_silver.add_argument("--since", help="look only at events that landed then or later")
     to_gold = jobs.add_parser("gold", help="refresh the gold tables")
     to_gold.add_argument("--on-fail", choices=("abort", "warn", "quarantine"), default="abort")
-    preview = jobs.add_parser("preview", help="print columns and first rows of a table")
-    preview.add_argument("table")
+    for name, text in (("preview", "print columns and first rows of a table"), ("describe", "print column names and types")):
+        jobs.add_parser(name, help=text).add_argument("table")
     return top
 
 
@@ -43,20 +44,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "create-tables":
         lake.create()
     elif args.job == "load-titles":
-        bronze.load_titles(lake, args.path)
+        show_sample(bronze.load_titles(lake, args.path))
     elif args.job == "load-customers":
-        bronze.load_customers(lake, args.path)
+        show_sample(bronze.load_customers(lake, args.path))
     elif args.job == "ingest":
         def source_of(topic: str):
             if args.servers:
-                return kafka_source(spark, args.servers, topic)
+                return kafka_source(spark, args.servers, topic, dict(o.split("=", 1) for o in args.option))
             return file_source(spark, f"{args.folder}/{topic}")
 
         run_for(bronze.ingest_all(lake, source_of, args.checkpoints), args.seconds)
+        bronze.count_rejects(lake)
     elif args.job == "silver":
         silver.run_bronze_to_silver(lake, args.since)
     elif args.job == "gold":
         gold.run_silver_to_gold(lake, on_fail=args.on_fail)
+    elif args.job == "describe":
+        lake.describe(args.table).show(1000, truncate=False)
     else:
         show_sample(lake.preview(args.table))
 

@@ -8,12 +8,13 @@ independent of order, and only the result goes back to double.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,4)"
+# Wide enough for 10^24; what is beyond it, not a number or infinite has no amount.
+AMOUNT = "decimal(28,4)"
 
 
 def _amount(value: Column | str) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    return value.cast(AMOUNT)
+    return value.try_cast(AMOUNT)
 
 
 def money(value: Column | str) -> Column:
@@ -26,6 +27,6 @@ def exact_sum(value: Column | str) -> Column:
     return F.round(F.sum(_amount(value)), 2).cast("double")
 
 
-def exact_avg(value: Column | str) -> Column:
-    """Mean of amounts from an exact sum; NULL over no values."""
-    return F.try_divide(F.sum(_amount(value)).cast("double"), F.count(value))
+def no_amount(value: Column) -> Column:
+    """True for a value that is there but is no amount of money."""
+    return value.isNotNull() & _amount(value).isNull()

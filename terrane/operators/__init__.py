@@ -11,7 +11,8 @@ from .joins import salted_left_join
 from .link import link_entities
 from .marts import (
     activity_counts, fact_sales, fact_screenings, sales_by_name, screening_rollup,
-    screening_totals, segment_customers, segment_summary, title_features, top_entities,
+    screening_totals, segment_customers, segment_summary, stale_screenings,
+    title_features, top_entities,
 )
 from .quality import (
     QualityError, dq_report, duplicate_keys, enforce, enforce_counts, gate_no_nulls, gate_non_empty,
@@ -19,7 +20,7 @@ from .quality import (
 )
 from .running import running_by_chunk
 from .scd2 import (
-    Scd2Columns, closure_updates, hash_diff_append, hash_diff_refresh, scd2_apply, scd2_merge,
+    Scd2Columns, closure_updates, hash_diff_append, hash_diff_refresh, scd2_apply, scd2_history, scd2_merge,
     scd2_snapshot,
 )
 

@@ -76,6 +76,15 @@ def fact_screenings(bookings: DataFrame, concession_summary: DataFrame, salts: i
     )
 
 
+def stale_screenings(screenings: DataFrame, concession_summary: DataFrame) -> DataFrame:
+    """Facts whose concession revenue is no longer that of the summary, with the present one."""
+    totals = concession_summary.select("screening_id", F.col("total_revenue").cast("double").alias("_now"))
+    joined = screenings.join(totals, on="screening_id", how="left")
+    return joined.where(~F.col("concession_revenue").eqNullSafe(F.col("_now"))).select(
+        *[F.col("_now").alias(c) if c == "concession_revenue" else F.col(c) for c in screenings.columns]
+    )
+
+
 def screening_totals(screenings: DataFrame) -> DataFrame:
     """One row per screening: its bookings, ticket revenue and, once, its concession revenue."""
     return screenings.groupBy("screening_id", "anime_id").agg(

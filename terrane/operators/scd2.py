@@ -13,6 +13,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import any_changed, row_hash
 from .clean import new_rows_only, replace_by_key
@@ -44,7 +46,9 @@ def scd2_apply(
 
     known = F.col(f"old.{key}").isNotNull()
     changed = any_changed((F.col(f"new.{c}"), F.col(f"old.{c}")) for c in tracked)
-    newer = F.coalesce(F.col(f"new.{cols.start}") > F.col(f"old.{cols.start}"), F.lit(False))
+    start, since = F.col(f"new.{cols.start}"), F.col(f"old.{cols.start}")
+    # A current version of unknown start began before any known one.
+    newer = F.coalesce(start > since, since.isNull() & start.isNotNull())
     types = {c: current.schema[c].dataType for c in (key, *tracked, cols.start, cols.end)}
 
     def version(side: str, end: Column, is_current: bool, action: str) -> Column:
@@ -73,7 +77,33 @@ def scd2_merge(
 ) -> DataFrame:
     """The whole dimension after ``changes``: closed rows take the place of the rows they close."""
     applied = changes.where(F.col("scd_action") != "late").drop("scd_action")
-    return replace_by_key(table, applied, [key, cols.start])
+    same = table[key].eqNullSafe(applied[key]) & table[cols.start].eqNullSafe(applied[cols.start])
+    return table.join(applied, same, "left_anti").unionByName(applied.select(*table.columns))
+
+
+def scd2_history(
+    loads: DataFrame, key: str, tracked: Sequence[str], cols: Scd2Columns = Scd2Columns()
+) -> DataFrame:
+    """A whole dimension from all loads of its keys: ``key``, ``tracked`` and the start column.
+
+    Loads are ordered by their start, one of unknown start first; of several with one start the greatest
+    in ``tracked`` counts. A load that equals its predecessor opens no version, and a version ends
+    when its successor starts, so the intervals of a key are contiguous and exactly the last is current.
+    """
+    order = Window.partitionBy(key).orderBy(F.col(cols.start).asc_nulls_first())
+    at_once = Window.partitionBy(key, cols.start).orderBy(*[F.col(c).desc_nulls_last() for c in tracked])
+    single = (
+        loads.select(key, *tracked, cols.start).dropna(subset=[key])
+        .withColumn("_nth", F.row_number().over(at_once)).where(F.col("_nth") == 1)
+    )
+    before = F.lag(F.struct(*tracked)).over(order)
+    versions = single.withColumn("_same", F.coalesce(F.struct(*tracked).eqNullSafe(before), F.lit(False))).where(~F.col("_same"))
+    following = F.lead(F.lit(True)).over(order)
+    return versions.select(
+        key, *tracked, cols.start,
+        F.when(following, F.lead(cols.start).over(order)).otherwise(F.lit(cols.open_end)).alias(cols.end),
+        following.isNull().alias(cols.current),
+    )
 
 
 def scd2_snapshot(
@@ -101,7 +131,8 @@ def scd2_snapshot(
 
     changed = any_changed((F.col(f"new.{c}"), F.col(f"old.{c}")) for c in tracked)
     own_start = F.col(f"new.{cols.start}").cast(start_type)
-    follows = F.coalesce(own_start > F.col(f"old.{cols.start}"), F.lit(False))
+    since = F.col(f"old.{cols.start}")
+    follows = F.coalesce(own_start > since, since.isNull() & own_start.isNotNull())
     next_start = F.when(follows, own_start).otherwise(now)
 
     def version(side: str, start: Column, end: Column, is_current: bool) -> Column:
@@ -129,8 +160,9 @@ def scd2_snapshot(
 
 
 def with_row_hash(df: DataFrame, hash_cols: Sequence[str], hash_col: str = "record_hash") -> DataFrame:
-    """``df`` with a digest of ``hash_cols``."""
-    return df.withColumn(hash_col, row_hash(hash_cols))
+    """``df`` with a digest of ``hash_cols``; instants are hashed as UTC, whatever the session's zone."""
+    utc = {f.name: F.to_utc_timestamp(f.name, F.current_timezone()) for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumn(hash_col, row_hash([utc.get(c, F.col(c)) for c in hash_cols]))
 
 
 def hash_diff_append(

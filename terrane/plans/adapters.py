@@ -100,7 +100,7 @@ def concessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue: product names, and nouns in them, of which at least half the parts are small."""
+    """Catalogue: product names, and the nouns in them."""
     part = table(spark, sf_dir, "part")
 
     def catalogue(text: Column, prefix: str) -> DataFrame:
@@ -111,9 +111,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.min("p_type").alias("genre"),
                 F.min("p_brand").alias("studio"),
                 F.max("p_brand").alias("season"),
-                (F.count_if(F.col("p_size") <= 25) * 2 >= F.count("*")).alias("listed"),
             )
-            .where("listed").drop("listed")
         )
 
     return catalogue(F.col("p_name"), "name-").unionByName(catalogue(F.get(F.split("p_name", " "), F.lit(1)), "noun-"))
@@ -149,16 +147,14 @@ def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot(
-    spark: SparkSession, sf_dir: str, before: str, since: str | None = None, status: str | None = None
+    spark: SparkSession, sf_dir: str, before: str | None = None, since: str | None = None
 ) -> DataFrame:
-    """Latest version per customer among the orders of a period, optionally of one status."""
-    versions = order_versions(spark, sf_dir).where(
-        F.col("effective_start_date") < F.lit(before).cast("timestamp_ntz")
-    )
+    """Latest version per customer among all orders or those of a period."""
+    versions = order_versions(spark, sf_dir)
+    if before:
+        versions = versions.where(F.col("effective_start_date") < F.lit(before).cast("timestamp_ntz"))
     if since:
         versions = versions.where(F.col("effective_start_date") >= F.lit(since).cast("timestamp_ntz"))
-    if status:
-        versions = versions.where(F.col("status") == status)
     return dedupe_latest(versions, ["customer_id"], ["effective_start_date", "order_id"]).drop("order_id")
 
 

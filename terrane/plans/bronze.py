@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,8 @@ from ..sources.files import read_csv
 from ..sources.lake import Lake
 from ..streaming.ingest import ingest_json_stream
 
+log = logging.getLogger(__name__)
+
 # Topic, message schema, id column and table of each event stream.
 STREAMS = {
     "POS_topic": (schemas.SALE_EVENT, "transaction_id", "bronze.bronze_pos_transaction_events"),
@@ -25,14 +28,31 @@ STREAMS = {
 def ingest_topic(
     lake: Lake, topic: str, source: DataFrame, checkpoint: str, trigger: dict | None = None
 ) -> list[StreamingQuery]:
-    """Start the stream of one topic into its bronze table; ``source`` has the message in ``value``."""
+    """Start the stream of one topic into its bronze table; ``source`` has the message in ``value``.
+
+    Messages without a readable id go to ``<table>_rejects`` as they came. Every row carries the time at
+    which it landed, from this cluster's clock.
+    """
     schema, id_col, table = STREAMS[topic]
     lake.create(table)
+    lake.create(f"{table}_rejects")
     return ingest_json_stream(
-        source, schema, id_col, lake.name(table), checkpoint, fmt=lake.fmt, trigger=trigger
+        source, schema, id_col, lake.name(table), checkpoint, fmt=lake.fmt, trigger=trigger,
+        rejects=lake.name(f"{table}_rejects"), landed=schemas.LANDED,
     )
 
 
+def count_rejects(lake: Lake) -> dict[str, int]:
+    """Rejected messages per table so far, logged where there are any."""
+    found = {}
+    for _, _, table in STREAMS.values():
+        rejects = lake.load(f"{table}_rejects")
+        found[table] = rejects.count() if rejects is not None else 0
+        if found[table]:
+            log.warning("%s: %d messages without a readable id are set aside", table, found[table])
+    return found
+
+
 def ingest_all(
     lake: Lake, source_of: Callable[[str], DataFrame], checkpoints: str, trigger: dict | None = None
 ) -> list[StreamingQuery]:
@@ -44,15 +64,17 @@ def ingest_all(
     ]
 
 
-def load_titles(lake: Lake, path: str) -> None:
-    """Append the broadcast schedule CSV, stamped with the time of loading."""
+def load_titles(lake: Lake, path: str) -> DataFrame:
+    """Append the broadcast schedule CSV, stamped with the time of loading; returns its rows."""
     rows = read_csv(lake.spark, path, schemas.TITLE_CSV, schemas.TITLE_CLOCKS, "ingestion_ts")
     ids = {c: F.col(c).cast("string") for c in ("broadcast_id", "anime_id")}
-    lake.append("bronze.bronze_anime_broadcast_schedule", rows.withColumns(ids))
+    rows = rows.withColumns(ids)
+    lake.append("bronze.bronze_anime_broadcast_schedule", rows)
+    return rows
 
 
-def load_customers(lake: Lake, path: str) -> None:
-    """Append the customer registration CSV."""
-    lake.append(
-        "bronze.bronze_customer_registration_events", read_csv(lake.spark, path, schemas.CUSTOMER_CSV)
-    )
+def load_customers(lake: Lake, path: str) -> DataFrame:
+    """Append the customer registration CSV; returns its rows."""
+    rows = read_csv(lake.spark, path, schemas.CUSTOMER_CSV)
+    lake.append("bronze.bronze_customer_registration_events", rows)
+    return rows

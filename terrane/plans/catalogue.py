@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from .. import operators as ops
+from ..operators.marts import SEGMENTS
 from ..sources import stage
 from ..streaming import late_events as mark_late
 from ..streaming import parse_json_events, split_events
@@ -106,17 +107,16 @@ def current_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their urgent orders; many have none."""
+    """Customers with their orders; some have none."""
     customer = src.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "customer_id")
-    orders = src.table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    orders = orders.withColumnRenamed("o_custkey", "customer_id")
+    orders = src.table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "customer_id")
     return customer.join(orders, on="customer_id", how="left").select(
         "customer_id", "c_name", "c_acctbal", "o_orderkey", "o_orderstatus"
     )
 
 
 def join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their urgent orders, if any."""
+    """Customers with their orders, if any."""
     return _customer_orders(spark, sf_dir)
 
 
@@ -232,9 +232,9 @@ def scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest fulfilled order of every customer meets a dimension that knows orders before 1998."""
+    """The latest order of every customer meets a dimension that knows orders before 1998."""
     current = src.opened(src.snapshot(spark, sf_dir, "1998-01-01"))
-    incoming = src.snapshot(spark, sf_dir, "2002-01-01", status="F")
+    incoming = src.snapshot(spark, sf_dir)
     return ops.scd2_apply(current, incoming, "customer_id", src.TRACKED)
 
 
@@ -266,6 +266,11 @@ def scd2_close_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 HASHED = ("customer_id", "status", "priority", "effective_start_date")
 
 
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a load of its customer; all of them make the dimension at once."""
+    return ops.scd2_history(src.order_versions(spark, sf_dir), "customer_id", src.TRACKED)
+
+
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.order_versions(spark, sf_dir).select("order_id", X.row_hash(HASHED).alias("record_hash"))
 
@@ -309,6 +314,15 @@ def fact_screenings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Shop(spark, sf_dir).fact_screenings
 
 
+def screening_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that knew the concessions before mid-January, after those of all time have come in."""
+    shop = Shop(spark, sf_dir)
+    early = src.concessions(spark, sf_dir).where(F.col("ingestion_ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    known = ops.revenue_summary(early, "screening_id", "item_quantity", "item_unit_price", "purchase_id")
+    facts = ops.fact_screenings(shop.clean_bookings, known)
+    return ops.replace_by_key(facts, ops.stale_screenings(facts, shop.concessions), ["booking_id"])
+
+
 def screening_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.screening_totals(Shop(spark, sf_dir).fact_screenings)
 
@@ -318,18 +332,23 @@ def screening_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of 1995 are product transactions, purchases of five days are ticket bookings."""
-    orders = src.table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1995)
-    events = src.table(spark, sf_dir, "events").where(
-        (F.col("event_type") == "purchase") & (F.col("ts") < F.lit("2024-01-06").cast("timestamp_ntz"))
-    )
+    """Orders are product transactions, purchases are ticket bookings."""
+    orders = src.table(spark, sf_dir, "orders")
+    events = src.table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return ops.activity_counts(
         orders.withColumnRenamed("o_custkey", "customer_id"), events.withColumnRenamed("user_id", "customer_id")
     )
 
 
+# Ranges of the segments for counts over the whole period of the test tables.
+WHOLE_PERIOD = tuple(
+    (name, *[{(0, 1): (0, few - 1), (2, 3): (few, many - 1), (4, None): (many, None)}[bounds] for bounds, few, many in zip(ranges, (9, 12), (12, 16), strict=True)])
+    for name, *ranges in SEGMENTS
+)
+
+
 def customer_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.segment_customers(src.customers(spark, sf_dir), activity_counts(spark, sf_dir))
+    return ops.segment_customers(src.customers(spark, sf_dir), activity_counts(spark, sf_dir), WHOLE_PERIOD)
 
 
 def segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,8 +446,8 @@ QUERIES = (
     clean_sales, line_total, current_rows, dropna_subset, join_left, join_full, new_rows_only, duplicate_keys,
     distinct_keys, dedupe_latest, latest_by_key, link_entities, link_min_len, link_docs, clean_bookings,
     product_master, customer_master, movement_ledger, inventory_position, revenue_summary, scd2_changed,
-    scd2_apply, scd2_merge, scd2_full_outer, scd2_close_missing, row_hash, hash_diff_append, closure_updates,
-    hash_diff_refresh, replace_by_key, fact_sales, level_at_sale, fact_screenings, screening_totals,
+    scd2_apply, scd2_merge, scd2_history, scd2_full_outer, scd2_close_missing, row_hash, hash_diff_append, closure_updates,
+    hash_diff_refresh, replace_by_key, fact_sales, level_at_sale, fact_screenings, screening_refresh, screening_totals,
     screening_features, activity_counts, customer_segmentation, segment_summary, top_entities,
     top_entities_total, inventory_status, sales_by_dim_name, ml_features, gate_nulls, dq_report, quarantine,
     json_ingest, json_rejects, late_events,

@@ -32,8 +32,8 @@ def append_facts(
 ) -> None:
     """Stage new facts, gate them, count suspicious values, append.
 
-    ``on_fail`` ``abort`` raises on a bad row, ``warn`` appends all the same, ``quarantine``
-    publishes the bad rows as ``<table>_rejects`` and appends the good ones.
+    ``on_fail`` ``abort`` raises on a missing value, ``warn`` appends all the same, ``quarantine``
+    publishes the rows with missing or suspicious values as ``<table>_rejects`` and appends the good ones.
     """
     missing = quality.null_counts(rows, not_null)
     counts = {rule: F.count_if(cond) for rule, cond in suspicious.items()}
@@ -42,7 +42,10 @@ def append_facts(
         log.info("%s: nothing new", table)
         return
     if on_fail == "quarantine":
-        batch, bad = quality.quarantine(batch, {f"{c} present": F.col(c).isNotNull() for c in not_null})
+        batch, bad = quality.quarantine(batch, {
+            **{f"{c} present": F.col(c).isNotNull() for c in not_null},
+            **{f"not: {rule}": ~F.coalesce(cond, F.lit(False)) for rule, cond in suspicious.items()},
+        })
         lake.publish(f"{table}_rejects", bad)
     else:
         quality.enforce_counts({rule: seen[rule] for rule in missing}, table, on_fail)
@@ -75,7 +78,7 @@ def refresh_fact_sales(
     append_facts(
         lake, table, marts.fact_sales(fresh, stock, levels, salts), "sale_id",
         ["sale_id", "product_id", "customer_id"],
-        {f"{c} not positive": F.col(c) <= 0 for c in ("inventory_level_at_sale", "revenue", "quantity")},
+        {"revenue not positive": F.col("revenue") <= 0, "quantity negative": F.col("quantity") < 0},
         on_fail,
     )
 
@@ -85,11 +88,16 @@ def refresh_fact_screenings(lake: Lake, on_fail: str = "abort", salts: int = 1)
     bookings, concessions = lake.load(BOOKINGS), lake.load(CONCESSIONS)
     if bookings is None or concessions is None:
         return
+    facts = lake.load_or_empty(table)
+    stale, seen = stage_measured(marts.stale_screenings(facts, concessions), {"rows": F.count("*")})
+    if seen["rows"]:
+        log.info("%s: concession revenue of %d bookings has changed", table, seen["rows"])
+        lake.publish(table, clean.replace_by_key(facts, stale, ["booking_id"]))
     fresh = clean.new_rows_only(bookings, lake.load_or_empty(table), ["booking_id"])
     append_facts(
         lake, table, marts.fact_screenings(fresh, concessions, salts), "booking_id",
         ["booking_id", "screening_id"],
-        {f"{c} not positive": F.col(c) <= 0 for c in ("ticket_revenue", "concession_revenue")},
+        {f"{c} negative": F.col(c) < 0 for c in ("ticket_revenue", "concession_revenue")},
         on_fail,
     )
 
@@ -110,7 +118,9 @@ def refresh_segments(lake: Lake) -> None:
     """Recomputed whole, so a segment that lost its last member disappears."""
     customers = lake.load("gold.dim_customer")
     if customers is not None:
-        lake.publish("gold.customer_segments", marts.segment_summary(customers))
+        segments = silver.checked(marts.segment_summary(customers), ["segment"], "gold.customer_segments")
+        if segments is not None:
+            lake.publish("gold.customer_segments", segments)
 
 
 def current_titles(lake: Lake) -> DataFrame:
@@ -118,10 +128,12 @@ def current_titles(lake: Lake) -> DataFrame:
 
 
 def refresh_tiles(lake: Lake, measure: str = "pos") -> None:
-    tiles = marts.top_entities(
+    table = "gold.gold_top_anime_performance_tiles"
+    tiles = silver.checked(marts.top_entities(
         current_titles(lake), lake.load_or_empty(SALES), lake.load_or_empty(BOOKINGS), measure=measure
-    )
-    lake.publish("gold.gold_top_anime_performance_tiles", tiles)
+    ), ["anime_id"], table)
+    if tiles is not None:
+        lake.publish(table, tiles)
 
 
 def refresh_inventory_summary(lake: Lake, as_of: Column) -> None:
@@ -190,14 +202,28 @@ def refresh_features(lake: Lake, upcoming_after: Column | None = None) -> None:
 
 
 def run_silver_to_gold(lake: Lake, as_of: Column | None = None, on_fail: str = "abort") -> None:
-    """All gold tables, in dependency order."""
+    """All gold tables, in dependency order.
+
+    A step that fails leaves its table as it was and the others go on; the run fails at its end.
+    """
     now = F.current_timestamp() if as_of is None else as_of
-    refresh_fact_sales(lake, on_fail)
-    refresh_fact_screenings(lake, on_fail)
-    refresh_dim_customer(lake)
-    refresh_segments(lake)
-    refresh_tiles(lake)
-    refresh_inventory_summary(lake, now)
-    refresh_dim_product(lake, now)
-    refresh_dim_title(lake)
-    refresh_features(lake)
+    steps = {
+        "fact_sales": lambda: refresh_fact_sales(lake, on_fail),
+        "fact_screenings": lambda: refresh_fact_screenings(lake, on_fail),
+        "dim_customer": lambda: refresh_dim_customer(lake),
+        "segments": lambda: refresh_segments(lake),
+        "tiles": lambda: refresh_tiles(lake),
+        "inventory_summary": lambda: refresh_inventory_summary(lake, now),
+        "dim_product": lambda: refresh_dim_product(lake, now),
+        "dim_title": lambda: refresh_dim_title(lake),
+        "features": lambda: refresh_features(lake),
+    }
+    failed = []
+    for name, step in steps.items():
+        try:
+            step()
+        except Exception as error:
+            log.exception("%s failed", name)
+            failed.append((name, error))
+    if failed:
+        raise quality.QualityError("; ".join(f"{name}: {error}" for name, error in failed)) from failed[0][1]

@@ -97,15 +97,12 @@ screen_events AS (
   FROM events JOIN part ON json_extract_string(props, '$.k')::BIGINT = p_partkey)""",
     "\nbookings AS (SELECT * FROM screen_events WHERE event_type = 'purchase')",
     """
-listed AS (
+titles AS (
   SELECT title, 'name-' || min(p_partkey) AS anime_id, min(p_type) AS genre, max(p_brand) AS season
   FROM (SELECT *, p_name AS title FROM part) GROUP BY title
-  HAVING 2 * count(*) FILTER (p_size <= 25) >= count(*)),
-titles AS (
-  SELECT * FROM listed UNION ALL
+  UNION ALL
   SELECT title, 'noun-' || min(p_partkey), min(p_type), max(p_brand)
-  FROM (SELECT *, split_part(p_name, ' ', 2) AS title FROM part) GROUP BY title
-  HAVING 2 * count(*) FILTER (p_size <= 25) >= count(*))""",
+  FROM (SELECT *, split_part(p_name, ' ', 2) AS title FROM part) GROUP BY title)""",
     f"\nproducts AS (SELECT {_PRODUCT} AS product_id FROM part)",
     _links("links", "products", "product_id", 1),
     _links("halls", "bookings", "screening_id", 3),
@@ -169,21 +166,20 @@ sales_by_name AS (
 activity AS (
   SELECT coalesce(p.customer_id, t.customer_id) AS customer_id, coalesce(product_count, 0) AS product_count,
          coalesce(ticket_count, 0) AS ticket_count
-  FROM (SELECT o_custkey::VARCHAR AS customer_id, count(*) AS product_count FROM orders
-        WHERE year(o_orderdate) = 1995 GROUP BY 1) p
+  FROM (SELECT o_custkey::VARCHAR AS customer_id, count(*) AS product_count FROM orders GROUP BY 1) p
   FULL JOIN (SELECT user_id::VARCHAR AS customer_id, count(*) AS ticket_count FROM events
-        WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-06' GROUP BY 1) t
+        WHERE event_type = 'purchase' GROUP BY 1) t
   ON p.customer_id = t.customer_id)""",
     """
 segmented AS (
   SELECT c_custkey::VARCHAR AS customer_id, c_name AS name,
-         CASE WHEN p < 2 AND t < 2 THEN 'Low Spender'
-              WHEN p IN (2, 3) AND t < 2 THEN 'Moderate - Products'
-              WHEN p < 2 AND t IN (2, 3) THEN 'Moderate - Tickets'
-              WHEN p IN (2, 3) AND t IN (2, 3) THEN 'Moderate - Both'
-              WHEN p > 3 AND t < 2 THEN 'Heavy - Products'
-              WHEN p < 2 AND t > 3 THEN 'Heavy - Tickets'
-              WHEN p > 3 AND t > 3 THEN 'Top Customer'
+         CASE WHEN p < 9 AND t < 12 THEN 'Low Spender'
+              WHEN p BETWEEN 9 AND 11 AND t < 12 THEN 'Moderate - Products'
+              WHEN p < 9 AND t BETWEEN 12 AND 15 THEN 'Moderate - Tickets'
+              WHEN p BETWEEN 9 AND 11 AND t BETWEEN 12 AND 15 THEN 'Moderate - Both'
+              WHEN p >= 12 AND t < 12 THEN 'Heavy - Products'
+              WHEN p < 9 AND t >= 16 THEN 'Heavy - Tickets'
+              WHEN p >= 12 AND t >= 16 THEN 'Top Customer'
               ELSE 'Low Spender' END AS segment,
          'c' || c_custkey || '@example.com' AS email
   FROM (SELECT customer.*, coalesce(product_count, 0) AS p, coalesce(ticket_count, 0) AS t
@@ -200,7 +196,7 @@ ranked_titles AS (
     """
 customer_orders AS (
   SELECT c_custkey AS customer_id, c_name, c_acctbal, o_orderkey, o_orderstatus
-  FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT')""",
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey)""",
     """
 versions AS (
   SELECT o_custkey AS customer_id, o_orderstatus AS status, o_orderpriority AS priority,
@@ -210,7 +206,7 @@ versions AS (
     _snapshot("state1998", "o_orderdate < TIMESTAMP '1998-01-01'"),
     _snapshot("state1999", "o_orderdate < TIMESTAMP '1999-01-01'"),
     _snapshot("year1998", "o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'"),
-    _snapshot("fulfilled", "o_orderdate < TIMESTAMP '2002-01-01' AND o_orderstatus = 'F'"),
+    _snapshot("latest", "true"),
     "\nopen1996 AS (SELECT *, NULL::TIMESTAMP AS effective_end_date, true AS is_current FROM state1996)",
     "\nopen1998 AS (SELECT *, NULL::TIMESTAMP AS effective_end_date, true AS is_current FROM state1998)",
     _scd2("dimension", "open1996", "state1997", "1997-01-01", "o.effective_end_date, true"),
@@ -221,7 +217,7 @@ meeting AS (
   SELECT n.*, o.customer_id IS NOT NULL AS known, o.status AS old_status, o.priority AS old_priority,
          o.effective_start_date AS old_start,
          n.status IS DISTINCT FROM o.status OR n.priority IS DISTINCT FROM o.priority AS changed
-  FROM fulfilled n LEFT JOIN open1998 o ON n.customer_id = o.customer_id),
+  FROM latest n LEFT JOIN open1998 o ON n.customer_id = o.customer_id),
 changes AS (
   SELECT customer_id, status, priority, effective_start_date, NULL::TIMESTAMP AS effective_end_date,
          true AS is_current, 'add' AS scd_action
@@ -312,6 +308,14 @@ SQL = {
         UNION ALL SELECT {_VERSIONED} FROM changes WHERE scd_action <> 'late'"""),
     "scd2_full_outer": _q(f"SELECT {_VERSIONED} FROM kept1999"),
     "scd2_close_missing": _q(f"SELECT {_VERSIONED} FROM closed1999"),
+    "scd2_history": _q("""
+        SELECT customer_id, status, priority, effective_start_date,
+               lead(effective_start_date) OVER w AS effective_end_date, lead(1) OVER w IS NULL AS is_current
+        FROM (SELECT *, lag((status, priority)) OVER (PARTITION BY customer_id ORDER BY effective_start_date) AS before
+              FROM (SELECT customer_id, effective_start_date, status, priority FROM versions
+                    QUALIFY row_number() OVER (PARTITION BY customer_id, effective_start_date ORDER BY status DESC, priority DESC) = 1))
+        WHERE before IS NULL OR before IS DISTINCT FROM (status, priority)
+        WINDOW w AS (PARTITION BY customer_id ORDER BY effective_start_date)"""),
     "row_hash": _q(f"SELECT order_id, {_HASH} AS record_hash FROM versions"),
     "hash_diff_append": _q(f"""
         SELECT * FROM (SELECT *, {_HASH} AS record_hash FROM versions) n WHERE NOT EXISTS (
@@ -340,6 +344,7 @@ SQL = {
             ORDER BY movement_ts, movement_type, movement_id ROWS UNBOUNDED PRECEDING)::BIGINT AS level FROM ledger)
         WHERE movement_type = 'SALE'"""),
     "fact_screenings": _q("SELECT * FROM fact_screenings"),
+    "screening_refresh": _q("SELECT * FROM fact_screenings"),
     "screening_totals": _q("SELECT * FROM screening_totals"),
     "screening_features": _q("SELECT * FROM screening_features"),
     "activity_counts": _q("SELECT * FROM activity"),

@@ -8,7 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import no_amount
 from ..operators import clean, inventory, link, quality, scd2
+from ..schemas import LANDED
 from ..sources.lake import Lake
 from ..sources.scratch import stage, stage_measured
 
@@ -50,15 +52,25 @@ def refresh_transactions(
     """Clean the events whose id is not in ``table`` yet and append them.
 
     Known ids leave before the de-duplication, so its shuffle carries new events only. With
-    ``since`` only events that arrived then or later are looked at, and older files are skipped.
+    ``since`` only events that landed then or later are looked at, by the clock of the ingest, and older
+    files are skipped; events without a landing time are always looked at. Events whose price times
+    quantity is no amount of money go to ``<table>_rejects`` as they came.
     """
     source = lake.load(events)
     if source is None:
         return
     if since is not None:
-        arrived = F.col("ingestion_ts") >= F.lit(since).cast("timestamp")
-        source = stage(source.where(arrived))
+        landed = F.col(LANDED) >= F.lit(since).cast("timestamp")
+        source = stage(source.where(landed | F.col(LANDED).isNull()))
     fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col], small=since is not None)
+    fresh = stage(fresh.drop(LANDED))
+    broken = no_amount(F.col("unit_price_at_sale") * F.col("quantity_purchased"))
+    rejected = fresh.where(broken)
+    if not rejected.isEmpty():
+        log.warning("%s: events without a readable amount are set aside", table)
+        known = lake.load(f"{table}_rejects")
+        lake.append(f"{table}_rejects", rejected if known is None else clean.new_rows_only(rejected, known, [id_col]))
+    fresh = fresh.where(~F.coalesce(broken, F.lit(False)))
     rows = clean.clean_transactions(fresh, id_col, link_key, links, "anime_id", ts_as)
     batch = checked(rows, [id_col], table)
     if batch is not None:
@@ -119,29 +131,45 @@ def refresh_customers(lake: Lake) -> None:
 
 
 def refresh_titles(lake: Lake) -> None:
-    """Versions of the broadcast schedule; rows that come too late go to a table of their own."""
+    """Versions of the broadcast schedule, one for every change in any load since the last refresh.
+
+    Loads that start after a title's current version extend its history; a differing load that does not is set
+    aside in a table of its own, where the next refresh doesn't look.
+    """
     table = TITLES_SCD2
-    latest = clean.latest_by_key(lake.load_or_empty(TITLES), "anime_id", "ingestion_ts", ts_as="effective_start_date")
+    start = TITLE_VALIDITY.start
     current = lake.load_or_empty(table)
-    late_rows = F.col("scd_action") == "late"
-    changes, seen = stage_measured(
-        scd2.scd2_apply(current, latest, "anime_id", TITLE_TRACKED, TITLE_VALIDITY),
-        {"rows": F.count("*"), "late": F.count_if(late_rows)},
-    )
-    if seen["late"]:
-        log.warning("%s: %d versions older than the current one are set aside", table, seen["late"])
-        lake.publish(f"{table}_late", changes.where(late_rows).drop("scd_action"))
-    if seen["rows"] > seen["late"]:
-        merged = scd2.scd2_merge(current, changes, "anime_id", TITLE_VALIDITY)
-        lake.publish(table, checked(merged, ["anime_id", "effective_start_date"], table))
+    loads = lake.load_or_empty(TITLES).withColumnRenamed("ingestion_ts", start).select("anime_id", *TITLE_TRACKED, start)
+    last = current.where(F.col(TITLE_VALIDITY.current)).select("anime_id", F.col(start).alias("_since"), F.lit(True).alias("_known"))
+    placed = loads.dropna(subset=["anime_id"]).join(last, "anime_id", "left")
+    newer = F.col("_known").isNull() | F.coalesce(F.col(start) > F.col("_since"), F.col("_since").isNull() & F.col(start).isNotNull())
+    fresh, seen = stage_measured(placed.withColumn("_newer", newer), {"new": F.count_if(newer), "old": F.count_if(~newer)})
+    if seen["old"]:
+        # What the dimension holds at or before its current version is no news.
+        known = current.select("anime_id", *TITLE_TRACKED).distinct()
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("anime_id", *TITLE_TRACKED)]
+        late = stage(fresh.where(~F.col("_newer")).alias("l").join(known.alias("k"), same, "left_anti").select("anime_id", *TITLE_TRACKED, start).distinct())
+        if not late.isEmpty():
+            log.warning("%s: versions older than the current one are set aside", table)
+            lake.publish(f"{table}_late", late)
+    if seen["new"]:
+        touched = fresh.where("_newer").select("anime_id").distinct()
+        versions = current.join(touched, "anime_id", "left_semi").select("anime_id", *TITLE_TRACKED, start)
+        merged = scd2.scd2_history(
+            versions.unionByName(fresh.where("_newer").select(*versions.columns)), "anime_id", TITLE_TRACKED, TITLE_VALIDITY
+        )
+        shaped = merged.withColumn(TITLE_VALIDITY.end, F.col(TITLE_VALIDITY.end).cast("timestamp"))
+        lake.publish(table, checked(clean.replace_by_key(current, shaped, ["anime_id"]), ["anime_id", start], table))
 
 
 def refresh_concessions(lake: Lake) -> None:
-    rows = clean.revenue_summary(
+    table = "silver.silver_concession_sales_summary"
+    rows = checked(clean.revenue_summary(
         lake.load_or_empty(CONCESSIONS).dropna(subset=["screening_id"]),
         "screening_id", "item_quantity", "item_unit_price", "purchase_id",
-    )
-    lake.publish("silver.silver_concession_sales_summary", rows)
+    ), ["screening_id"], table)
+    if rows is not None:
+        lake.publish(table, rows)
 
 
 def run_bronze_to_silver(lake: Lake, since: datetime | str | None = None) -> None:

@@ -34,12 +34,21 @@ def _typed(event: str) -> str:
     return event
 
 
+# When a message landed, by the clock of the cluster that took it up.
+LANDED = "landing_ts"
+_LANDED = f", {LANDED} TIMESTAMP"
+_REJECTED = f"value STRING{_LANDED}"
+
 TABLES = {
     # bronze
-    "bronze.bronze_pos_transaction_events": _typed(SALE_EVENT),
-    "bronze.bronze_supplier_delivery_events": _typed(DELIVERY_EVENT),
-    "bronze.bronze_ticket_booking_events": _typed(BOOKING_EVENT),
-    "bronze.bronze_concession_purchase_events": _typed(CONCESSION_EVENT),
+    "bronze.bronze_pos_transaction_events": _typed(SALE_EVENT) + _LANDED,
+    "bronze.bronze_supplier_delivery_events": _typed(DELIVERY_EVENT) + _LANDED,
+    "bronze.bronze_ticket_booking_events": _typed(BOOKING_EVENT) + _LANDED,
+    "bronze.bronze_concession_purchase_events": _typed(CONCESSION_EVENT) + _LANDED,
+    "bronze.bronze_pos_transaction_events_rejects": _REJECTED,
+    "bronze.bronze_supplier_delivery_events_rejects": _REJECTED,
+    "bronze.bronze_ticket_booking_events_rejects": _REJECTED,
+    "bronze.bronze_concession_purchase_events_rejects": _REJECTED,
     "bronze.bronze_anime_broadcast_schedule": (
         "broadcast_id STRING, ingestion_ts TIMESTAMP, anime_id STRING, title STRING, season_name STRING,"
         " season_number INT, genre STRING, studio STRING, broadcast_end_ts TIMESTAMP,"

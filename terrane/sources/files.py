@@ -25,9 +25,13 @@ def read_csv(
 def kafka_source(
     spark: SparkSession, servers: str, topic: str, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Unbounded rows of a Kafka topic, message in ``value``; needs the Kafka connector jar."""
+    """Unbounded rows of a Kafka topic, message in ``value``; needs the Kafka connector jar.
+
+    A stream without a checkpoint starts at the oldest message that the topic still holds, and one whose next
+    messages are gone fails; ``options`` may say otherwise.
+    """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-    reader = reader.option("subscribe", topic).option("failOnDataLoss", "false")
+    reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
     return reader.options(**(options or {})).load().select(F.col("value").cast("string").alias("value"))
 
 

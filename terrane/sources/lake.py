@@ -89,8 +89,8 @@ class Lake:
         return self.spark.createDataFrame([], self.tables[table])
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Add rows, matched by column name and cast to the declared types."""
-        rows = self._shaped(table, df)
+        """Add rows, matched by column name and cast to the table's types; missing columns are NULL."""
+        rows = self._shaped(table, df, existing=True)
         self.create(table, _ddl(rows))
         if self.v2:
             rows.writeTo(self.name(table)).append()
@@ -132,9 +132,10 @@ class Lake:
     def _new_folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
-    def _shaped(self, table: str, df: DataFrame) -> DataFrame:
+    def _shaped(self, table: str, df: DataFrame, existing: bool = False) -> DataFrame:
+        """``df`` in the declared columns, or with ``existing`` in those of an undeclared table that is there."""
         if table not in self.tables:
-            return df
+            return df.to(self._table(table).schema) if existing and self.exists(table) else df
         return df.to(self.spark.createDataFrame([], self.tables[table]).schema)
 
 

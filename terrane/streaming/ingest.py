@@ -40,9 +40,12 @@ def ingest_json_stream(
     fmt: str = "orc",
     rejects: str | None = None,
     trigger: dict | None = None,
+    landed: str | None = None,
 ) -> list[StreamingQuery]:
     """Append a stream of JSON messages to ``table``; messages without an id go to ``rejects``.
 
+    ``landed`` names a column for the time at which the batch was taken up.
+
     Progress lives in ``checkpoint``, one folder per stream, so a restart neither repeats nor skips
     messages. The default trigger takes what is there and stops, leaving the cluster to the batch
     jobs; pass ``{"processingTime": "30 seconds"}`` to keep running.
@@ -51,6 +54,8 @@ def ingest_json_stream(
     sinks = [(good, table, checkpoint)]
     if rejects:
         sinks.append((bad, rejects, f"{checkpoint}-rejects"))
+    if landed:
+        sinks = [(rows.withColumn(landed, F.current_timestamp()), name, place) for rows, name, place in sinks]
     return [
         rows.writeStream.format(fmt)
         .outputMode("append")

@@ -103,3 +103,10 @@ def test_stage_measures_while_it_writes(spark):
     assert seen == {"n": 100, "odd": 50} and staged.count() == 100
     _, none = stage_measured(spark.range(0), {"n": F.count("*"), "top": F.max("id")})
     assert none == {"n": 0, "top": None}
+
+
+def test_append_to_an_undeclared_table_is_by_name(lake, frame):
+    lake.append("bronze.own", frame("a string, b string", ("1", "2")))
+    lake.append("bronze.own", frame("b string, a string", ("4", "3")))
+    lake.append("bronze.own", frame("a string", ("5",)))
+    assert rows(lake.load("bronze.own"), "a", "b") == [("1", "2"), ("3", "4"), ("5", None)]

@@ -14,9 +14,9 @@ from terrane.streaming import run_for
 from .helpers import rows, ts
 
 TITLES = """broadcast_id,anime_id,title,season_name,season_number,genre,studio,broadcast_start_ts,broadcast_end_ts,season
-1,101,Red Harbor,NULL,1,Action,S1,2020-12-07 00:00:00,2021-03-29 00:00:00,W21
-2,102,Red Harbor 2,Second,NULL,Action,S1,2022-12-07 00:00:00,NULL,W23
-3,103,Lone,NULL,1,Drama,S2,2021-01-07 00:00:00,2021-03-29 00:00:00,S21
+1,101,Red Harbor,NULL,1,Action,S1,2019-02-11 00:00:00,2019-05-20 00:00:00,W19
+2,102,Red Harbor 2,Second,NULL,Action,S1,2021-02-08 00:00:00,NULL,W21
+3,103,Lone,NULL,1,Drama,S2,2020-04-06 00:00:00,2020-06-15 00:00:00,S20
 """
 CUSTOMERS = """registration_id,customer_id,name,email
 r1,501,Ann,a@x
@@ -46,7 +46,7 @@ def booking(n, minute, customer, screening, qty, price):
 
 
 def concession(n, minute, screening, qty, price):
-    return event("purchase_id", n, minute, screening_id=screening, item_id="CONC004",
+    return event("purchase_id", n, minute, screening_id=screening, item_id="SNACK-9",
                  item_quantity=qty, item_unit_price=price)
 
 
@@ -107,8 +107,8 @@ def world(lake, tmp_path):
                delivery(1, 0, "s1", "RedHarbor_mug_001", 20, 2.0), delivery(2, 3, "s2", "RedHarbor_mug_001", 40, 2.5),
                delivery(3, 0, "s1", "Other_hat_003", 5, 1.0))
     world.send("bookings_topic",
-               booking(1, 1, "501", "Lone_Part1_701", 2, 15.0), booking(2, 1, "502", "Lone_Part1_701", 1, 15.0))
-    world.send("concession_topic", concession(1, 1, "Lone_Part1_701", 2, 3.5), concession(1, 2, "Lone_Part1_701", 2, 3.5))
+               booking(1, 1, "501", "Lone_Part1_15", 2, 15.0), booking(2, 1, "502", "Lone_Part1_15", 1, 15.0))
+    world.send("concession_topic", concession(1, 1, "Lone_Part1_15", 2, 3.5), concession(1, 2, "Lone_Part1_15", 2, 3.5))
     return world
 
 
@@ -124,7 +124,7 @@ def test_refresh_three_times(world):
         ("Other_hat_003", 5, "s1"), ("RedHarbor2_cup_002", -1, None), ("RedHarbor_mug_001", 57, "s2"),
     ]
     assert rows(lake.load("silver.silver_customer_master_data"), "customer_id", "name") == [("501", "Ann"), ("502", "Bo New")]
-    assert rows(lake.load("silver.silver_concession_sales_summary")) == [("Lone_Part1_701", 2, 7.0)]
+    assert rows(lake.load("silver.silver_concession_sales_summary")) == [("Lone_Part1_15", 2, 7.0)]
     assert rows(lake.load("gold.fact_screenings"), "booking_id", "ticket_revenue", "concession_revenue") == [
         ("1", 30.0, 7.0), ("2", 15.0, 7.0),
     ]
@@ -139,6 +139,9 @@ def test_refresh_three_times(world):
         ("RedHarbor_mug_001", "Stock OK"),
     ]
 
+    assert rows(lake.load("bronze.bronze_pos_transaction_events_rejects"), "value") == [("broken",)]
+    assert bronze.count_rejects(lake)["bronze.bronze_pos_transaction_events"] == 1
+
     world.refresh("2024-01-03 00:00:00")
     assert world.state() == first
 
@@ -223,7 +226,7 @@ def test_bucketed_event_tables_compare_without_a_shuffle(spark, lake, tmp_path,
 
 def test_stock_level_as_of_each_sale(lake, frame):
     lake.append(silver.DELIVERIES, frame(
-        TABLES[silver.DELIVERIES], ("1", ts("2024-01-01 09:00:00"), ts("2024-01-01 09:00:00"), "s", "p", 10, 1.0),
+        TABLES[silver.DELIVERIES], ("1", ts("2024-01-01 09:00:00"), ts("2024-01-01 09:00:00"), "s", "p", 10, 1.0, None),
     ))
     lake.append(gold.SALES, frame(
         TABLES[gold.SALES], *[(str(n), ts(f"2024-01-01 1{n}:00:00"), "501", "p", 2, 4.0, None) for n in range(3)],
@@ -231,3 +234,70 @@ def test_stock_level_as_of_each_sale(lake, frame):
     lake.create(gold.STOCK)
     gold.refresh_fact_sales(lake, level_as_of_sale=True)
     assert rows(lake.load("gold.fact_sales"), "sale_id", "inventory_level_at_sale") == [("0", 8), ("1", 6), ("2", 4)]
+
+
+def test_bound_is_the_landing_time(lake, frame):
+    """Events that land late, by whatever producer clock or none, are not lost to the bound."""
+    schema = TABLES[silver.SALES]
+    long_ago, landed = ts("2020-01-01 00:00:00"), ts("2024-01-02 00:00:00")
+    lake.append(silver.SALES, frame(
+        schema, ("1", long_ago, None, "501", "p", 1, 4.0, landed), ("2", long_ago, long_ago, "501", "p", 1, 4.0, landed),
+        ("3", long_ago, long_ago, "501", "p", 1, 4.0, None), ("4", long_ago, long_ago, "501", "p", 1, 4.0, ts("2023-01-01 00:00:00")),
+    ))
+    links = frame("product_id string, anime_id string", ("p", "101"))
+    refresh = lambda since: silver.refresh_transactions(
+        lake, silver.SALES, gold.SALES, "transaction_id", "product_id", "transaction_ts", links, since,
+    )
+    refresh("2024-01-01 00:00:00")
+    assert rows(lake.load(gold.SALES), "transaction_id") == [("1",), ("2",), ("3",)]
+    refresh(None)
+    assert len(rows(lake.load(gold.SALES))) == 4
+
+
+def test_amounts_out_of_range_are_set_aside(lake, frame):
+    at = ts("2024-01-01 00:00:00")
+    lake.append(silver.SALES, frame(
+        TABLES[silver.SALES], ("1", at, at, "501", "p", 1, 1e30, at), ("2", at, at, "501", "p", 1, float("nan"), at),
+        ("3", at, at, "501", "p", 2, 1e15, at), ("4", at, at, "501", "p", 1, None, at),
+    ))
+    links = frame("product_id string, anime_id string", ("p", "101"))
+    for _ in range(2):
+        silver.refresh_transactions(lake, silver.SALES, gold.SALES, "transaction_id", "product_id", "transaction_ts", links)
+    assert rows(lake.load(gold.SALES), "transaction_id", "total_price") == [("3", 2e15), ("4", None)]
+    assert rows(lake.load(f"{gold.SALES}_rejects"), "transaction_id") == [("1",), ("2",)]
+
+
+def test_every_load_of_a_title_is_a_version(lake, tmp_path):
+    world = World(lake, tmp_path / "world")
+    for genre in ("Drama", "Comedy", "Comedy", "Horror"):
+        world.load("titles", TITLES.replace("Lone,NULL,1,Drama", f"Lone,NULL,1,{genre}"), bronze.load_titles)
+    silver.refresh_titles(lake)
+    lone = lake.load(silver.TITLES_SCD2).where("anime_id = '103'").orderBy("effective_start_date").collect()
+    assert [(r.genre, r.is_current_broadcast) for r in lone] == [("Drama", False), ("Comedy", False), ("Horror", True)]
+    assert [r.effective_end_date for r in lone[:2]] == [r.effective_start_date for r in lone[1:]]
+    before = rows(lake.load(silver.TITLES_SCD2))
+    silver.refresh_titles(lake)
+    assert rows(lake.load(silver.TITLES_SCD2)) == before
+    assert not lake.exists(f"{silver.TITLES_SCD2}_late")
+    world.load("titles", TITLES, bronze.load_titles)
+    silver.refresh_titles(lake)
+    lone = lake.load(silver.TITLES_SCD2).where("anime_id = '103'").orderBy("effective_start_date").collect()
+    assert [r.genre for r in lone] == ["Drama", "Comedy", "Horror", "Drama"]
+
+
+def test_late_concessions_reach_the_facts(lake, frame):
+    lake.append(gold.BOOKINGS, frame(TABLES[gold.BOOKINGS], ("1", ts("2024-01-01 00:00:00"), "501", "s", 1, 9.0, "103")))
+    for revenue in (5.0, 20.0):
+        lake.publish(gold.CONCESSIONS, frame(TABLES[gold.CONCESSIONS], ("s", 1, revenue)))
+        gold.refresh_fact_screenings(lake)
+        assert rows(lake.load("gold.fact_screenings"), "booking_id", "concession_revenue") == [("1", revenue)]
+    assert rows(ops.screening_rollup(lake.load("gold.fact_screenings")), "sales_from_concessions") == [(20.0,)]
+
+
+def test_a_failed_step_does_not_stop_the_others(lake, frame):
+    at = ts("2024-01-01 10:00:00")
+    lake.append(gold.SALES, frame(TABLES[gold.SALES], ("7", at, None, "p", 1, 4.0, None)))
+    lake.append(gold.STOCK, frame(TABLES[gold.STOCK], ("p", None, 3, at, "s")))
+    with pytest.raises(ops.QualityError, match="fact_sales"):
+        gold.run_silver_to_gold(lake, F.lit(at))
+    assert lake.load("gold.gold_inventory_summary").count() == 1

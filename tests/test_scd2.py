@@ -145,3 +145,25 @@ def test_hash_forms(frame):
     refreshed = ops.hash_diff_refresh(target, incoming, *args)
     assert rows(refreshed, "id", "tag", "is_current") == [("a", "x", False), ("a", "y", True), ("b", "", True)]
     assert ops.hash_diff_append(refreshed, incoming, *args, "effective_start_date").isEmpty()
+
+
+def test_a_version_of_unknown_start_can_be_followed(frame):
+    schema = "id string, v string, effective_start_date timestamp"
+    dim = frame(f"{schema}, effective_end_date timestamp, is_current boolean", ("k", "old", None, None, True))
+    new = frame(schema, ("k", "new", ts("2024-01-01 00:00:00")))
+    merged = ops.scd2_merge(dim, ops.scd2_apply(dim, new, "id", ["v"]), "id")
+    assert {(r.v, r.is_current) for r in merged.collect()} == {("old", False), ("new", True)}
+    history = ops.scd2_history(dim.select("id", "v", "effective_start_date").unionByName(new), "id", ["v"])
+    assert {(r.v, r.is_current) for r in history.collect()} == {("old", False), ("new", True)}
+
+
+def test_hash_does_not_depend_on_the_zone(spark, frame):
+    versions = frame("id string, at timestamp", ("k", ts("2024-01-01 00:00:00")))
+    before, found = spark.conf.get("spark.sql.session.timeZone"), set()
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found.add(ops.scd2.with_row_hash(versions, ["id", "at"]).first().record_hash)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(found) == 1
