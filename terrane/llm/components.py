@@ -43,3 +43,17 @@ def components(edges: DataFrame) -> DataFrame:
         before, seen = seen, _sum(now)
         if seen == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+
+
+def rooted(parents: DataFrame) -> DataFrame:
+    """``node`` and ``label``, the root of its tree, from rows (u, v) that name the one lesser parent u of v.
+
+    Each round doubles how far a node sees, so there are as many as the logarithm of the deepest tree.
+    """
+    now = parents.select(F.col("v").alias("node"), F.col("u").alias("label"))
+    while True:
+        above = now.select(F.col("node").alias("label"), F.col("label").alias("_root"))
+        seen = stage(now.join(above, "label", "left").select("node", F.coalesce("_root", "label").alias("label"), F.col("_root").isNotNull().alias("_moved")))
+        now = seen.select("node", "label")
+        if seen.where("_moved").isEmpty():
+            return now

@@ -19,8 +19,6 @@ copies; a NULL key has the class of its text's other rows, or NULL.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,7 +27,7 @@ from pyspark.sql.window import Window
 
 from ..sources import stage
 from .common import Memo, map_texts
-from .components import components
+from .components import components, rooted
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 LEADERS = 64
@@ -56,44 +54,71 @@ def shingles(text: str | None, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     n = max(1, len(hashes) - SHINGLE + 1)
     rolled = np.zeros(n, np.uint64)
     for k in range(min(SHINGLE, len(hashes))):
-        rolled = _mix(rolled + hashes[k : k + n] * _ODD[k])
-    return np.unique(rolled, return_counts=True)
+        rolled = rolled * _ODD[0] + hashes[k : k + n]
+    return np.unique(_mix(rolled), return_counts=True)
+
 
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:
+    """For each weighted set, none of them empty, the shingle that arrives first at each register.
 
-def signature(shingle: np.ndarray, weight: np.ndarray, registers: int) -> np.ndarray:
-    """The first shingle to arrive at each register; at least one shingle is needed."""
-    first = np.full(registers, np.inf)
-    winner = np.zeros(registers, np.uint64)
-    active, clock, rate, drawn = shingle, np.zeros(len(shingle)), weight.astype(np.float64), 0
+    All sets are drawn together, each shingle until its next arrival is later than its set's latest register.
+    """
+    if not sets:
+        return np.empty((0, registers), np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    shingle, rate = np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]).astype(np.float64)
+    clock = np.zeros(len(shingle))
+    first = np.full(len(sets) * registers, np.inf)
+    winner = np.zeros(len(first), np.uint64)
+    active, drawn = np.arange(len(shingle)), 0
     while len(active):
-        # All arrivals of a round at once: enough to fill the registers while they are empty.
-        n = max(1, 2 * registers // len(active)) if np.isinf(first).any() else 1
-        seed = _mix(active[:, None] + (np.arange(drawn + 1, drawn + n + 1, dtype=np.uint64) * _ODD[0])[None])
+        # Several arrivals at once when few shingles are left, which saves rounds for short texts.
+        n = max(1, min(64, 8192 // len(active)))
+        seed = _mix(shingle[active][:, None] + (np.arange(drawn + 1, drawn + n + 1, dtype=np.uint64) * _ODD[0])[None])
         drawn += n
-        wait = -np.log(((seed >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32) / rate[:, None]
-        time = clock[:, None] + np.cumsum(wait, 1)
-        place = ((seed & np.uint64(0xFFFFFFFF)) * np.uint64(registers) >> np.uint64(32)).astype(np.intp).ravel()
-        flat = time.ravel()
-        order = np.argsort(-flat, kind="stable")
-        here, who = np.full(registers, np.inf), np.zeros(registers, np.uint64)
-        here[place[order]] = flat[order]
-        who[place[order]] = np.repeat(active, n)[order]
-        sooner = here < first
-        first[sooner], winner[sooner] = here[sooner], who[sooner]
-        going = time[:, -1] < first.max()
-        active, clock, rate = active[going], time[going, -1], rate[going]
-    return winner
-
-
-def buckets(shingle: np.ndarray, weight: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit number per band of registers."""
-    won = signature(shingle, weight, bands * rows).reshape(bands, rows)
-    out = np.arange(1, bands + 1, dtype=np.uint64)
+        wait = -np.log(((seed >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32) / rate[active][:, None]
+        time = clock[active][:, None] + np.cumsum(wait, 1)
+        clock[active] = time[:, -1]
+        place = ((seed & np.uint64(0xFFFFFFFF)) * np.uint64(registers) >> np.uint64(32)).astype(np.intp) + (owner[active] * registers)[:, None]
+        flat, place = time.ravel(), place.ravel()
+        sooner = flat < first[place]
+        flat, place, who = flat[sooner], place[sooner], np.repeat(active, n)[sooner]
+        np.minimum.at(first, place, flat)
+        best = flat == first[place]
+        winner[place[best]] = shingle[who[best]]
+        latest = first.reshape(len(sets), registers).max(1)
+        active = active[clock[active] < latest[owner[active]]]
+    return winner.reshape(len(sets), registers)
+
+
+def buckets(won: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """For each signature one 64-bit number per band of registers."""
+    parts = won[:, : bands * rows].reshape(len(won), bands, rows)
+    out = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2])
     for k in range(rows):
-        out = _mix(out + won[:, k] * _ODD[k % len(_ODD)])
+        out = _mix(out + parts[:, :, k] * _ODD[k % len(_ODD)])
     return out.view(np.int64)
 
 
+def sketches(won: np.ndarray) -> np.ndarray:
+    """For each signature the low two bits of all registers, 32 registers in a number."""
+    parts = (won & np.uint64(3)).reshape(len(won), -1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
+    return np.bitwise_or.reduce(parts, 2).view(np.int64)
+
+
+def _may_be_alike(a: str, b: str, numbers: int, least: float) -> Column:
+    """False if too many registers differ for a likeness of ``least``: five standard deviations above the mean.
+
+    Registers that differ show it in their two bits three times out of four.
+    """
+    differ, n = (1 - least) * 0.75, 32 * numbers
+    most = int(n * differ + 5 * (n * differ * (1 - differ)) ** 0.5)
+    def pairs(k: int) -> Column:
+        x = F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return sum((pairs(k) for k in range(1, numbers)), pairs(0)) <= most
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Probability Jaccard likeness of two weighted sets of shingles.
 
@@ -150,35 +175,35 @@ def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands
 
     The class is the least key among all documents that links of ``least`` or more tie together.
     """
+    numbers = -(-bands * rows // 32)
+
     def start():
         memo = word_hashes()
 
         def banded(texts):
             found = [shingles(x, memo) for x in texts]
-            return ([buckets(*s, bands, rows) if len(s[0]) else [] for s in found],)
+            won = signatures([x for x in found if len(x[0])], 32 * numbers)
+            rows_ = iter(zip(buckets(won, bands, rows).tolist(), sketches(won).tolist(), strict=True))
+            return zip(*[next(rows_) if len(x[0]) else ([], []) for x in found], strict=True)
 
         return banded
 
     given = docs.where(F.col(text).isNotNull()).select(_node(F.col(text)).alias("node"), F.col(key).alias("key"), F.col(text).alias("text"))
-    signed = stage(map_texts(given, "text", ["node", "key"], "buckets array<bigint>", start))
-    nodes = stage(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("buckets").alias("buckets")))
+    signed = stage(map_texts(given, "text", ["node", "key"], "buckets array<bigint>, sketch array<bigint>", start))
+    nodes = stage(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")))
     each = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = each.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where(F.col("n") > 1).select("bucket", "leader")
     members = stage(each.join(shared, "bucket"))
-    # Texts of the candidates only, one for each node.
-    wanted = members.select("node").distinct().join(nodes.select("node", "key"), "node")
-    met = given.join(wanted.withColumnsRenamed({"node": "_node", "key": "_rep"}), (F.col("node") == F.col("_node")) & F.col("key").eqNullSafe(F.col("_rep")))
-    texts = stage(met.dropDuplicates(["node"]).select("node", "text"))
+    # Texts of the candidates only, one for each node. Copies are told apart by their key before they meet.
+    doc = F.struct("node", "key").alias("doc")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(doc)
+    texts = stage(given.withColumn("doc", doc).join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).select("node", "text"))
 
     # Each node first meets the leader with which it shares most buckets.
     star = members.where(F.col("node") != F.col("leader")).groupBy(F.col("leader").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
-    nearest = star.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v")
-    tested = [stage(nearest)]
-    links = stage(_verify(tested[0], texts, least))
-    labels = components(links)
-    rest = star.select("u", "v").join(tested[0], ["u", "v"], "left_anti")
-    labels, links = _crossing(rest, labels, links, tested, texts, least)
-    labels = _remaining(members.select("bucket", "node"), labels, links, tested, texts, least)
+    nearest = stage(star.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v"))
+    labels = rooted(stage(_verify(nearest, texts, least)))
+    labels = _remaining(members.select("bucket", "node"), labels, nearest, nodes.select("node", "sketch"), numbers, texts, least)
 
     named = nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_key = named.groupBy("label").agg(F.min("key").alias("class_id"))
@@ -208,40 +233,41 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _crossing(pairs: DataFrame, labels: DataFrame, links: DataFrame, tested: list, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Test the pairs between different components and join what holds."""
-    open_ = stage(_labelled(_labelled(pairs, labels, "u", "a"), labels, "v", "b").where(F.col("a") != F.col("b")).select("u", "v").distinct())
-    tested.append(open_)
-    if open_.isEmpty():
-        return labels, links
-    more = stage(_verify(open_, texts, least))
-    if more.isEmpty():
-        return labels, links
-    links = links.unionByName(more)
-    return components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more)), links
-
-
-def _remaining(members: DataFrame, labels: DataFrame, links: DataFrame, tested: list, texts: DataFrame, least: float) -> DataFrame:
-    """Compare what is outside the largest component of its bucket, until nothing is left to compare.
+def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
+    """Compare what is outside the largest component of its bucket with the members of other components.
 
     Each round takes up to ``LEADERS`` such members of every bucket, so a round stays in proportion to the
-    members. Members that have been compared stay done.
+    members. Components only ever join, so once every member outside has had its turn, any two members of one
+    bucket are in one component or have been compared. Registers that differ too often rule a pair out while
+    the bucket's members meet; the texts of the others are compared.
     """
-    done = None
+    known, done = tested, None
     while True:
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where(F.col("parts") > 1)
-        mixed = stage(placed.join(largest, "bucket").select("bucket", "node", "label", "main"))
+        mixed = stage(placed.join(largest, "bucket").join(sketched, "node").select("bucket", "node", "label", "main", "sketch"))
         outside = mixed.where(F.col("label") != F.col("main"))
         if done is not None:
             outside = outside.join(done, ["bucket", "node"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy("node")
-        leaders = stage(outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= LEADERS).select("bucket", F.col("node").alias("u"), F.col("label").alias("a")))
-        if leaders.isEmpty():
-            return labels
+        nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= LEADERS + 1)
+        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), "nth"))
+        leaders = turns.where(F.col("nth") <= LEADERS).drop("nth")
         now = leaders.select("bucket", F.col("u").alias("node"))
+        pairs = (
+            mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _may_be_alike("b", "sketch", numbers, least))
+            .select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
+        )
+        pairs = stage(pairs.join(known, ["u", "v"], "left_anti"))
+        links = stage(_verify(pairs, texts, least))
+        if not links.isEmpty():
+            crossing = _labelled(_labelled(links, labels, "u", "a"), labels, "v", "b").select(F.col("a").alias("u"), F.col("b").alias("v"))
+            moved = components(crossing).select(F.col("node").alias("label"), F.col("label").alias("to"))
+            # The nodes of a component that joins another move with it, its root as well.
+            everyone = labels.unionByName(moved.select(F.col("label").alias("node"), "label"))
+            labels = stage(everyone.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        if turns.where(F.col("nth") > LEADERS).isEmpty():
+            return labels
         done = now if done is None else stage(done.unionByName(now))
-        pairs = mixed.join(leaders, "bucket").where(F.col("a") != F.col("label")).select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
-        known = reduce(DataFrame.unionByName, [t.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")) for t in tested])
-        labels, links = _crossing(pairs.join(known, ["u", "v"], "left_anti"), labels, links, tested, texts, least)
+        known = stage(known.unionByName(pairs))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from terrane.llm import near
-from terrane.llm.components import components
+from terrane.llm.components import components, rooted
 
 
 def exact(texts, least=0.8):
@@ -77,10 +77,26 @@ def test_signatures_agree_as_often_as_texts_are_alike():
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         b = np.unique(np.append(a[: n * 4 // 5], rng.integers(0, 2**63, n // 5).astype(np.uint64)))
         x, y = rng.integers(1, 4, len(a)), rng.integers(1, 4, len(b))
-        agree = (near.signature(a, x, 4000) == near.signature(b, y, 4000)).mean()
+        agree = np.equal(*near.signatures([(a, x), (b, y)], 4000)).mean()
         assert agree == pytest.approx(near.likeness((a, x), (b, y)), abs=0.035)
 
 
+def test_sketches_keep_what_is_alike(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for alike in (0.8, 0.4):
+        for _ in range(60):
+            one = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
+            keep = int(len(one) * 2 * alike / (1 + alike))
+            two = np.unique(np.append(one[:keep], rng.integers(0, 2**63, len(one) - keep).astype(np.uint64)))
+            won = near.signatures([(s, np.ones(len(s), int)) for s in (one, two)], 128)
+            rows.append((alike, *near.sketches(won).tolist()))
+    df = spark.createDataFrame(rows, "alike double, a array<bigint>, b array<bigint>")
+    kept = {r.alike: r["count"] for r in df.where(near._may_be_alike("a", "b", 4, 0.8)).groupBy("alike").count().collect()}
+    assert kept[0.8] == 60
+    assert kept.get(0.4, 0) < 15
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(100 + i, 101 + i) for i in range(50)]
@@ -98,6 +114,12 @@ def test_components(spark):
         assert got.get(start, start) == min(seen)
 
 
+def test_rooted(spark):
+    parents = [(i - 1, i) for i in range(1, 40)] + [(50, 60), (50, 61), (60, 70)]
+    got = {r.node: r.label for r in rooted(spark.createDataFrame(parents, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 40)}, 60: 50, 61: 50, 70: 50}
+
+
 def test_odd_rows(spark, odd, none):
     given = odd.drop("class_id")
     got = near.classes(given, "doc_id", "text")
