@@ -30,6 +30,7 @@ def link_entities(
     salts: int = 8,
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    block: int = 4096,
 ) -> DataFrame:
     """Best catalogue entry per fact key: columns ``fact_key``, ``lookup_id``; unlinked keys are absent.
 
@@ -44,10 +45,15 @@ def link_entities(
     exactly those lengths and look the pieces up among the titles. Work and rows per position are
     bounded by the number of distinct title lengths, never by how many titles share a probe, and
     a piece that is found is a match without further checks. Titles shorter than ``gram`` go
-    through the same steps with a shorter probe.
+    through the same steps in classes of doubling length, each with its own shorter probe.
+
+    A text is normalised once and cut into blocks of ``block`` characters, each with as much of what follows
+    as the longest title needs, so a place is looked at in its block and work grows with the length.
     """
     # Read several times below, so computed once; its measures decide how it is joined.
     size = F.length("_title")
+    lows = [1 << k for k in range(gram.bit_length()) if 1 << k < gram] + [gram]
+    ranges = list(zip(lows, [*lows[1:], 1 << 31], strict=True))
     titles, stats = stage_measured(
         lookup.select(normalized(lookup_text).alias("_title"), F.col(lookup_id))
         .where(size >= max(min_len, 1))
@@ -56,25 +62,25 @@ def link_entities(
         {
             "rows": F.count("*"),
             "chars": F.sum(size),
-            "short": F.min(F.when(size < gram, size)),
-            "long": F.count_if(size >= gram),
+            "longest": F.max(size),
+            **{f"from {low}": F.min(F.when((size >= low) & (size < high), size)) for low, high in ranges},
         },
     )
     small = stats["rows"] <= broadcast_rows and (stats["chars"] or 0) <= broadcast_bytes
-
-    classes = []
-    if stats["short"] is not None:
-        classes.append((titles.where(size < gram), stats["short"]))
-    if stats["long"] or not classes:
-        classes.append((titles.where(size >= gram), gram))
+    classes = [
+        (titles.where((size >= low) & (size < high)), stats[f"from {low}"] if low < gram else gram)
+        for low, high in ranges if stats[f"from {low}"] is not None
+    ] or [(titles, gram)]
 
     if text is None:
         keys = facts.select(fact_key).dropna().distinct()
         body = normalized(fact_key)
     else:
-        body = normalized("_text")
-        keys = facts.select(fact_key, F.col(text).alias("_text")).dropna()
-        keys = _texts_with_anchor(keys, fact_key, body, classes, small, salts)
+        keys = facts.select(fact_key, normalized(text).alias("_text")).dropna()
+        keys = _blocks(_texts_with_anchor(keys, fact_key, F.col("_text"), classes, small, salts), fact_key, block, stats["longest"] or 1)
+        body = F.col("_text")
+
+    unit = [fact_key] if text is None else [fact_key, "_block"]
 
     def pieces(part: DataFrame, probe: int) -> DataFrame:
         """(fact_key, _piece) for each place where a title of ``part`` may start."""
@@ -82,14 +88,14 @@ def link_entities(
             F.collect_set(size).alias("_lengths")
         )
         cuts = F.regexp_extract_all(body, F.lit(f"(?=(.{{{probe}}}))"), F.lit(1))
-        grams = keys.select(fact_key, F.posexplode(cuts).alias("_at", "_gram")).select(
-            fact_key, "_at", F.xxhash64("_gram").alias("_probe")
+        grams = keys.select(*unit, F.posexplode(cuts).alias("_at", "_gram")).select(
+            *unit, "_at", F.xxhash64("_gram").alias("_probe")
         )
-        places = _lookup_join(grams, lengths, "_probe", small, salts, [fact_key, "_at"]).select(
-            fact_key, "_at", F.explode("_lengths").alias("_len")
+        places = _lookup_join(grams, lengths, "_probe", small, salts, [*unit, "_at"]).select(
+            *unit, "_at", F.explode("_lengths").alias("_len")
         )
         if text is not None:
-            places = places.join(keys, on=fact_key)
+            places = places.join(keys, on=unit)
         piece = F.substring(body, F.col("_at") + 1, F.col("_len"))
         return places.select(fact_key, piece.alias("_title"))
 
@@ -101,6 +107,16 @@ def link_entities(
     )
 
 
+def _blocks(keys: DataFrame, fact_key: str, block: int, longest: int) -> DataFrame:
+    """Staged blocks of normalised texts; each has its successors' beginning, one short of the longest title."""
+    block = max(block, longest)
+    cut = F.regexp_extract_all("_text", F.lit(f"(.{{1,{block}}})"), F.lit(1))
+    parts = keys.select(fact_key, F.transform(F.array(cut), lambda x: F.transform(
+        x, lambda part, i: F.concat(part, F.coalesce(F.left(F.get(x, i + 1), F.lit(longest - 1)), F.lit(""))),
+    ))[0].alias("_parts"))
+    return stage(parts.select(fact_key, F.posexplode("_parts").alias("_block", "_text")))
+
+
 def _texts_with_anchor(
     keys: DataFrame, fact_key: str, body: Column, classes: list[tuple[DataFrame, int]], small: bool, salts: int
 ) -> DataFrame:

@@ -103,3 +103,13 @@ def test_plan_has_no_pairwise_join(spark):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
         assert ("_salt" in text) == (limit == 0)
+
+
+def test_long_texts_in_blocks(spark):
+    """Titles of one letter and such that reach over the ends of blocks."""
+    rng = random.Random(9)
+    texts = {f"k{i}": "".join(rng.choice("abcde ") for _ in range(rng.choice([3, 90, 700]))) for i in range(25)}
+    cuts = [t[rng.randrange(len(t)):][: rng.randint(1, 20)] for t in texts.values() for _ in range(2)]
+    titles = [*enumerate(cuts), (900, "e"), (901, "z")]
+    for block in (1, 16, 4096):
+        assert linked(spark, texts, titles, as_text=True, gram=8, block=block) == brute(texts, titles)
