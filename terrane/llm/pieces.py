@@ -268,16 +268,21 @@ class _Search:
             top = value[owner[o]]
             sets.append((owner[o], rest - np.log(np.exp(rest - top) - np.log(low)), word[o], node[other], here, arc[other]))
         columns = [np.concatenate([s[i] for s in sets]) if sets else np.empty(0) for i in range(6)]
-        order = np.lexsort((-columns[1], columns[0]))
-        columns = [c[order] for c in columns]
-        begin = np.searchsorted(columns[0], np.arange(len(turns) + 1))
+        # The k best sets of each text, the best first.
+        whose, worth = columns[0].astype(np.intp), columns[1].copy()
+        best: list[list[int]] = [[] for _ in turns]
+        for _ in range(self.k):
+            top = np.full(len(turns), -np.inf)
+            np.maximum.at(top, whose, worth)
+            for j in np.flatnonzero((worth == top[whose]) & (worth > -np.inf)).tolist():
+                best[whose[j]].append(j)
+                worth[j] = -np.inf
         out = {}
         for i, t in enumerate(turns):
             a, b = ends[i] - sizes[i], ends[i]
-            best = range(begin[i], min(begin[i + 1], begin[i] + self.k))
             out[t[0]] = (
                 tokens[at[a] : at[b - 1] + count[b - 1]], count[a:b], float(before[b - 1] + log_p[b - 1]),
-                [(float(columns[1][j]), int(columns[2][j]), int(columns[3][j]), float(columns[4][j]), (int(columns[5][j]),)) for j in best],
+                [(float(columns[1][j]), int(columns[2][j]), int(columns[3][j]), float(columns[4][j]), (int(columns[5][j]),)) for j in best[i][: self.k]],
             )
         return out
 
@@ -384,7 +389,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
     kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64())]))
 
     def start():
-        sample, back = sampler(shipped.value, k), decoder(shipped.value)
+        sample, raw = sampler(shipped.value, k), shipped.value.raw().__getitem__
 
         def batches(texts):
             begin, chars = 0, 0
@@ -398,7 +403,8 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
         def encoded(found):
             texts, seeds = ([x[c] for x in found if x["text"] is not None] for c in ("text", "seed"))
             samples = [s for part in batches(texts) for s in (sample(texts[part], seeds[part]) if texts[part] else [])]
-            same = iter([all(back(s[0].tolist()) == x for s in row) for x, row in zip(texts, samples, strict=True)])
+            spaced = (f" {x}".encode() if x else b"" for x in texts)
+            same = iter([all(b"".join(map(raw, s[0].tolist())) == x for s in row) for x, row in zip(spaced, samples, strict=True)])
             flat = [s for row in samples for s in row]
             ids = pa.ListArray.from_arrays(
                 pa.array(np.append(0, np.cumsum([len(s[0]) for s in flat], dtype=np.int64)), pa.int32()),
