@@ -7,7 +7,7 @@ import logging
 
 from .plans import bronze, gold, silver
 from .session import build_session
-from .sources import Lake, file_source, kafka_source, show_sample
+from .sources import Lake, clear_staged, file_source, kafka_source, show_sample
 from .streaming import run_for
 
 
@@ -40,7 +40,14 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     spark = build_session(f"terrane {args.job}")
-    lake = Lake(spark, args.root, args.format, args.catalog, buckets=args.buckets)
+    try:
+        _run(Lake(spark, args.root, args.format, args.catalog, buckets=args.buckets), args)
+    finally:
+        clear_staged(spark)
+
+
+def _run(lake: Lake, args: argparse.Namespace) -> None:
+    spark = lake.spark
     if args.job == "create-tables":
         lake.create()
     elif args.job == "load-titles":

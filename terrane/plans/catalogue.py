@@ -78,6 +78,11 @@ class Shop:
     def fact_sales(self) -> DataFrame:
         return ops.fact_sales(self.clean_sales, self.inventory)
 
+    @cached_property
+    def revenue(self) -> DataFrame:
+        """What the marts need of the sales facts; without the stock level there is no balance to compute."""
+        return self.clean_sales.select("product_id", F.col("total_price").alias("revenue"))
+
     @cached_property
     def fact_screenings(self) -> DataFrame:
         return ops.fact_screenings(self.clean_bookings, self.concessions)
@@ -371,12 +376,12 @@ def inventory_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_by_dim_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Shop(spark, sf_dir)
-    return ops.sales_by_name(shop.fact_sales, shop.named_products)
+    return ops.sales_by_name(shop.revenue, shop.named_products)
 
 
 def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Shop(spark, sf_dir)
-    return ops.title_features(shop.titles, shop.fact_sales, shop.fact_screenings, shop.named_products)
+    return ops.title_features(shop.titles, shop.revenue, shop.fact_screenings, shop.named_products)
 
 
 # --- quality ------------------------------------------------------------------------------------

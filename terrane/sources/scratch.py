@@ -6,11 +6,21 @@ import uuid
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..session import scratch_root
 
 
+_staged: list[str] = []
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this process has staged; for the end of a job, when nothing is read from it any more."""
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and gives the planner its true size.
 
@@ -18,6 +28,7 @@ def stage(df: DataFrame) -> DataFrame:
     and later reads take only the columns they need.
     """
     path = f"{scratch_root(df.sparkSession)}/terrane/{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
