@@ -36,7 +36,7 @@ _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917, 668265263], dtype=n
 def grams(text: str) -> np.ndarray:
     """Byte quadruples of the letters of a text, as 32-bit numbers; empty if there is no letter."""
     letters = _OTHER.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # signs such as ² are no digits here, but no letters either
         return np.empty(0, np.uint32)
     b = np.frombuffer(f" {letters}  ".encode("utf-8", "replace"), np.uint8).astype(np.uint32)
     return b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24

@@ -23,6 +23,12 @@ def test_language_masks_name_every_language_that_has_the_gram():
     assert 0 < fill[0] < fill[1] < 0.01
 
 
+def test_no_letter_no_gram():
+    for text in ("", "12 34", "² ³ ½", "__ -- ##", " \n"):
+        assert not len(language.grams(text))
+    assert len(language.grams("² a"))
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = Q.op10_language(spark, SF).join(docs.select("doc_id", "lang"), "doc_id")
