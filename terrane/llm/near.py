@@ -236,12 +236,13 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
 def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
     """Compare what is outside the largest component of its bucket with the members of other components.
 
-    Each round takes up to ``LEADERS`` such members of every bucket, so a round stays in proportion to the
-    members. Components only ever join, so once every member outside has had its turn, any two members of one
+    Each round takes some such members of every bucket, one at first and eight times as many in each further
+    round, ``LEADERS`` at most: the first ones tie most of a large group together, and what is in one component
+    needs no comparison any more. Components only ever join, so once every member outside has had its turn, any two members of one
     bucket are in one component or have been compared. Registers that differ too often rule a pair out while
     the bucket's members meet; the texts of the others are compared.
     """
-    known, done = tested, None
+    known, done, most = tested, None, 1
     while True:
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
@@ -251,9 +252,9 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
         if done is not None:
             outside = outside.join(done, ["bucket", "node"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy("node")
-        nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= LEADERS + 1)
+        nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= most + 1)
         turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), "nth"))
-        leaders = turns.where(F.col("nth") <= LEADERS).drop("nth")
+        leaders = turns.where(F.col("nth") <= most).drop("nth")
         now = leaders.select("bucket", F.col("u").alias("node"))
         pairs = (
             mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _may_be_alike("b", "sketch", numbers, least))
@@ -267,7 +268,7 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
             # The nodes of a component that joins another move with it, its root as well.
             everyone = labels.unionByName(moved.select(F.col("label").alias("node"), "label"))
             labels = stage(everyone.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
-        if turns.where(F.col("nth") > LEADERS).isEmpty():
+        if turns.where(F.col("nth") > most).isEmpty():
             return labels
         done = now if done is None else stage(done.unionByName(now))
-        known = stage(known.unionByName(pairs))
+        known, most = stage(known.unionByName(pairs)), min(LEADERS, 8 * most)
