@@ -90,6 +90,14 @@ KNOWN = [
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
+#: Words that open a licence or a notice, so that a claim of copyright before them ends.
+OPENINGS = (
+    "permission is hereby granted", "permission to use", "permission is granted", "permission is freely granted", "redistribution and use",
+    "redistribution of", "licensed under", "released under", "distributed under", "available under", "this work is licensed", "this software is",
+    "this program is", "this program comes", "this library is", "this file is", "this source code", "this is free", "the software is", "use of this source",
+    "everyone is permitted", "spdx license identifier", "spdx-license-identifier", "preamble", "gnomovision comes",
+)
+
 #: Words that are written in several ways, and the one that stands for them.
 SPELLINGS = {
     "acknowledgement": "acknowledgment", "acknowledgements": "acknowledgments", "analogue": "analog", "analyse": "analyze",

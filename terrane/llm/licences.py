@@ -1,11 +1,17 @@
 """Licence scan by canonical digests.
 
-A text is made canonical: lower case, no lines that only claim copyright, no punctuation, one spelling of
-words that are written in several ways, single spaces. Its sha-256 digest is looked up among the
+A text is made canonical: lower case, no claims of copyright, no punctuation, one spelling of words that are
+written in several ways, single spaces. Its sha-256 digest is looked up among the
 digests of known licences by a hash join. Both the whole text of a document and each of its lines are
 looked up, so a licence that is a document and a notice that is a line of one are both found.
 
-Edge cases: NULL and empty texts, and those of copyright lines only, have no digest and match nothing; a
+A claim is a copyright sign with a year, a placeholder or another sign behind it, wherever it stands; among
+the first ``HEAD`` words it is also a sign with a name, but never "copyright holder", "notice" or "owner" and their
+like. It ends where its sentence, its line or "all rights reserved" does, or before words that open a licence. A
+line goes on in the next one if it has no name yet or ends in a comma, "and" or "by". So the wrap of a text makes
+no difference, except where a name is followed by other words that neither a line, a full stop nor an opening parts from it.
+
+Edge cases: NULL and empty texts, and those of claims only, have no digest and match nothing; a
 known text without words is ignored; two known texts with one canonical form are both reported; repeated
 rows give repeated results, rows of one key and different texts are told apart.
 """
@@ -20,16 +26,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checked_broadcast, map_texts
-from .licence_texts import KNOWN, SPELLINGS
-
-_CLAIM = re.compile(r"[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)")
+from .licence_texts import KNOWN, OPENINGS, SPELLINGS
+
+HEAD = 8
+
+_SIGN = r"(?:copyright\b|\(c\)|©|&copy;)"
+_CLAIM = re.compile(
+    rf"(?:\bcopyright\b|\(c\)|©|&copy;)(?P<more>(?:[\s:,]*{_SIGN})*)[\s:,]*(?:by\s+)?"
+    r"(?P<year>[<\[{(]?(?:(?:19|20)\d\d\b|yyyy|year\b))?(?P<name>(?!(?:holder|owner|notice|law|licen[cs]e|statement|interest|"
+    r"disclaimer|permission|protection|information|infringement|act|treat)(?:s|es|y|ies|d|e|ee)?\b|(?:and|or|in|to|of|is|are|for|on|the|this|that|as)\b)\w)?"
+)
+_RESERVED = re.compile(r"\ball\s+rights\s+reserved\b\.?")
+_STOP = re.compile(
+    r"\n|\b(?:" + "|".join(x.replace(" ", r"\s+") for x in OPENINGS) + r")\b"
+    r"|(?:(?<=[^\W\d_]{4})|(?<=\d{4}))(?<!\bcorp)(?<!\bdept)(?<!\buniv)(?<!\bbros)\.(?=\s|\Z)"
+)
+_OPEN = re.compile(r"(?:[,&]|\b(?:and|by))\s*\Z")
+_LETTER = re.compile(r"[^\W\d_]")
+_NEXT_CLAIM = re.compile(rf"[ \t*#/;-]*{_SIGN}")
 _GAPS = re.compile(r"[\W_]+")
 
 
-def canonical(lines: Iterable[str]) -> str:
-    """Canonical form of lower-cased lines."""
-    words = _GAPS.sub(" ", " ".join(x for x in lines if not _CLAIM.match(x))).split()
-    return " ".join([SPELLINGS.get(w, w) for w in words])
+def _claimed(text: str) -> bool:
+    return any(x in text for x in ("copyright", "(c)", "©", "&copy;", "reserved"))
+
+
+def _end(text: str, begin: int) -> int:
+    """Where the claim ends whose years or names begin at ``begin``."""
+    at = begin
+    while stop := _STOP.search(text, at):
+        if stop[0] != "\n":
+            return stop.end() if stop[0] == "." else stop.start()
+        said, line_end = text[begin : stop.start()], text.find("\n", stop.end())
+        line = text[stop.end() : line_end if line_end >= 0 else len(text)]
+        if (_LETTER.search(said) and not _OPEN.search(said)) or not line.strip() or _NEXT_CLAIM.match(line):
+            return stop.start()
+        at = stop.end()
+    return len(text)
+
+
+def unclaimed(text: str) -> str:
+    """A lower-cased text without its claims of copyright."""
+    if not _claimed(text):
+        return text
+    text = _RESERVED.sub("\n\n", text)
+    kept, words, at, seek = [], 0, 0, 0
+    while found := _CLAIM.search(text, seek):
+        if words <= HEAD:
+            words = len(_GAPS.sub(" ", " ".join([*kept, text[at : found.start()]])).split())
+        sure = found["more"] or found["year"] or found[0][0] in "©&"
+        # (c) may also be the third item of a list.
+        named = found["name"] and words <= HEAD and not (found[0][0] == "(" and "(b)" in text[: found.start()])
+        if sure or named:
+            kept.append(text[at : found.start()])
+            at = seek = _end(text, found.start("year") if found["year"] else found.start("name") if found["name"] else found.end())
+        else:
+            seek = found.end()
+    return " ".join([*kept, text[at:]])
+
+
+def canonical(text: str) -> str:
+    """Canonical form of a lower-cased text."""
+    return " ".join([SPELLINGS.get(w, w) for w in _GAPS.sub(" ", unclaimed(text)).split()])
 
 
 def _digest(text: str) -> str | None:
@@ -38,8 +96,8 @@ def _digest(text: str) -> str | None:
 
 def digests(text: str | None) -> tuple[str | None, list[str]]:
     """Digest of the whole text, and of each line that has one."""
-    lines = (text or "").lower().split("\n")
-    return _digest(canonical(lines)), sorted({d for x in lines if (d := _digest(canonical([x])))})
+    lower = (text or "").lower()
+    return _digest(canonical(lower)), sorted({d for x in lower.split("\n") if (d := _digest(canonical(x)))})
 
 
 def known(spark: SparkSession) -> DataFrame:

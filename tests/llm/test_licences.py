@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 from terrane.llm import licences
 
 
@@ -26,3 +29,33 @@ def test_known_texts_have_digests_of_their_own():
         whole, _ = licences.digests(text)
         assert whole
         assert forms.setdefault(whole, name) == name
+
+
+def test_wraps_and_claims_make_no_difference():
+    """MIT, ISC and BSD on one line, in other wraps, and behind claims that share their line."""
+    usual = {
+        "MIT": "COPYRIGHT HOLDERS BE", "ISC": "copyright notice and this permission notice appear", "BSD-3-Clause": "copyright holder nor the names",
+    }
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"):
+        body = next(t for n, t in licences.KNOWN if n == name)
+        parts = [" ".join(p.split()) for p in body.split("\n\n")]
+        expected, _ = licences.digests(body)
+        assert "copyright holder" not in body.lower() or "copyright holder" in licences.canonical(body.lower())
+        forms = [" ".join(parts), *("\n\n".join(textwrap.fill(p, w) for p in parts) for w in range(20, 130))]
+        if name in usual:
+            forms.append(" ".join(parts).replace(usual[name].strip(), "\n" + usual[name].strip()))
+        forms.append(re.sub(r"(?i) (?=copyright)", "\n", body))
+        for form in forms:
+            for claim in (
+                "", "Copyright (c) 2020 Jane Doe\n\n", "Copyright 2001-2003, 2020 Jane Q. Doe, Acme Inc. All rights reserved. ", "Copyright © Jane Doe ",
+                "(c) Jane Doe\n", "Copyright (c) 2020 Jane Doe,\n  John Roe and\n  others\n", "Copyright (C) 2020\nThe Authors.\nAll rights\nreserved.\n\n",
+            ):
+                assert licences.digests(claim + form)[0] == expected, claim + form
+
+
+def test_claims_end_with_their_sentence():
+    released, _ = licences.digests("Released under the MIT License.")
+    assert licences.digests("text\nCopyright 2020 Jane Doe. Released under the MIT License.")[1].count(released) == 1
+    assert licences.canonical("(a) one\n(b) two\n(c) three of the list") == "a one b two c three of the list"
+    assert licences.canonical("copyright owners keep what they own") == "copyright owners keep what they own"
+    assert licences.digests("Copyright 2020 Someone\n(c) Other\nAll rights reserved.") == (None, [])
