@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later occurrences of repeated three-line windows; documents that lose all their lines go."""
+    """Texts without later occurrences of repeated three-line windows, short documents and long lines; documents that lose all their lines go."""
     cut = lines.remove_repeats(docs, "doc_id", "text").where(~((F.col("_cut.n_removed") > 0) & (F.col("_cut.n_removed") == F.col("_cut.n_lines"))))
     new = {"text": F.col("_cut.kept"), "n_chars": F.when(F.col("_cut.n_removed") > 0, F.char_length("_cut.kept")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return cut.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in docs.columns])

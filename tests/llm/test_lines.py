@@ -48,3 +48,16 @@ def test_long_text(spark):
     got = cut(docs_of(spark, text, f"own\n{text}\nend"))
     assert got[1] == (30_002, 30_000, "own\nend")
     assert spark.range(1).select(F.size(lines.windows(F.lit(text)))).first()[0] == 29_998
+
+
+def test_short_documents_and_long_lines(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    docs = docs_of(
+        spark, "a\nb", f"x\n{long}\ny\nz", "alone", "a \n\nb\r", "alone\n", f"p\n {long} \nq", long, f"{long} more", "a\nc", "b", f"{long} more\nd", f"{long[:-4]}\ne\nf", f"{long[:-4]}\ng\nh",
+    )
+    got = cut(docs)
+    assert [got[i][1] for i in range(13)] == [0, 0, 0, 2, 1, 1, 1, 0, 0, 0, 1, 0, 0]
+    assert got[3] == (2, 2, "") and got[5] == (3, 1, "p\nq") and got[6] == (1, 1, "") and got[10] == (2, 1, "d")
+    assert cut(docs, hot=1) == got
+    assert all(n == 0 for _, n, _ in cut(docs, three_only=True).values())
+    assert cut(docs_of(spark, f"{long}\n{long}\nend"))[0] == (3, 1, f"{long}\nend")
