@@ -1,4 +1,6 @@
-"""Known licence texts and notices, and spellings that count as one."""
+"""Known licence texts and notices, and spellings that count as one. The long texts are files of the folder ``known``."""
+
+import pkgutil
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -65,6 +67,69 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
+_BULLETS = str.maketrans("", "", "123")  # lists with '*' or '-' in place of numbers
+
+
+def _file(name: str) -> str:
+    return (pkgutil.get_data(__package__, f"known/{name}.txt") or b"").decode()
+
+
+def _forms(name: str) -> list[str]:
+    """A bundled file, and its usual shorter forms: without what follows the terms, without its title."""
+    text = _file(name)
+    found = [text]
+    if "END OF TERMS AND CONDITIONS" in text:
+        found.append(text[: text.index("END OF TERMS AND CONDITIONS")])
+        found.append(found[-1] + "END OF TERMS AND CONDITIONS")
+    if "Exhibit B - " in text:
+        found += [text[: text.index("Exhibit B - ")], text[: text.index("Exhibit A - ")]]
+    if name == "BSL-1.0":
+        found.append(text[text.index("Permission") :])
+    if name == "Unlicense":
+        found += [f"The Unlicense\n\n{text}", f"Unlicense\n\n{text}"]
+    return found
+
+
+_FILES = (
+    "Apache-2.0", "Artistic-1.0-Perl", "BSL-1.0", "CC-BY-SA-4.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
+    "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "Unlicense", "WTFPL",
+)
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+_CC = {
+    "CC-BY": "Attribution", "CC-BY-SA": "Attribution-ShareAlike", "CC-BY-NC": "Attribution-NonCommercial", "CC-BY-ND": "Attribution-NoDerivatives",
+    "CC-BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "CC-BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+# What notices and SPDX lines call a licence.
+_NAMES = {
+    "MIT": ["MIT License", "MIT", "Expat License"], "ISC": ["ISC License", "ISC"], "Zlib": ["zlib License", "Zlib"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "BSD-2-Clause License", "Simplified BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "BSD-3-Clause License", "New BSD License", "Modified BSD License", "BSD-3-Clause"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache 2.0", "Apache-2.0", "Apache Software License 2.0"],
+    "MPL-1.1": ["Mozilla Public License, Version 1.1", "MPL 1.1"], "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License v1.0"], "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License, Version 2.0"],
+    "Unlicense": ["Unlicense"], "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"], "WTFPL": ["WTFPL"],
+    "CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"],
+}
+for _id, _name in _CC.items():
+    for _v in ("3.0", "4.0"):
+        _of = "International" if _v == "4.0" else "Unported"
+        _NAMES[f"{_id}-{_v}"] = [
+            f"{_id[:2]} {_id[3:]} {_v}", f"{_id}-{_v}", f"Creative Commons {_name} {_v} License", f"Creative Commons {_name} {_v} {_of} License", f"Creative Commons {_name} {_v} {_of}",
+        ]
+for _id, _versions in {"GPL": ("1.0", "2.0", "3.0"), "LGPL": ("2.0", "2.1", "3.0"), "AGPL": ("3.0",)}.items():
+    for _v in _versions:
+        _short = _v.removesuffix(".0")
+        _said = [f"{_GNU[_id]}, version {_short}", f"{_GNU[_id]} version {_short}", f"{_GNU[_id]} v{_short}", f"{_GNU[_id]} v{_v}", f"{_id}v{_short}", f"{_id} v{_short}", f"{_id}-{_v}"]
+        _NAMES[f"{_id}-{_v}"] = _said
+        _NAMES[f"{_id}-{_v}-only"] = [f"{x} only" for x in _said]
+        _NAMES[f"{_id}-{_v}-or-later"] = [f"{x}{y}" for x in _said for y in (" or later", " or any later version", ", or (at your option) any later version")]
+_SAYS = [
+    "Licensed under", "Released under", "Distributed under", "Available under", "This work is licensed under", "This project is licensed under",
+    "This software is licensed under", "This software is released under", "This file is licensed under", "This program is licensed under",
+    "This code is licensed under", "This library is licensed under", "This repository is licensed under", "This package is licensed under",
+]
+_SPDX = [*_NAMES, *(x for x in _FILES if x not in _NAMES)]
+
 #: Fixed values: (licence, text).
 KNOWN = [
     ("MIT", _MIT),
@@ -88,6 +153,12 @@ KNOWN = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Licensed under CC0 1.0."),
+    *(("BSD-2-Clause", x + f"{_BSD_START}\n\n{_BSD_END}".translate(_BULLETS)) for x in ("", "BSD 2-Clause License\n\n")),
+    *(("BSD-3-Clause", x + f"{_BSD_START}\n\n{_BSD_NAMES}\n\n{_BSD_END}".translate(_BULLETS)) for x in ("", "BSD 3-Clause License\n\n")),
+    *((name, text) for name in _FILES for text in _forms(name)),
+    *((name, f"{say} {the}{said}.") for name, names in _NAMES.items() for said in names for say in _SAYS for the in ("", "the ", "a ")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in _SPDX),
+    *((name, f"License: {name}") for name in _SPDX),
 ]
 
 #: Words that open a licence or a notice, so that a claim of copyright before them ends.

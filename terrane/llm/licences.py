@@ -8,7 +8,8 @@ looked up, so a licence that is a document and a notice that is a line of one ar
 A claim is a copyright sign with a year, a placeholder or another sign behind it, wherever it stands; among
 the first ``HEAD`` words it is also a sign with a name, but never "copyright holder", "notice" or "owner" and their
 like. It ends where its sentence, its line or "all rights reserved" does, or before words that open a licence. A
-line goes on in the next one if it has no name yet or ends in a comma, "and" or "by". So the wrap of a text makes
+line goes on in the next one if it has no name yet or ends in a comma, "and" or "by", in an open bracket, or if an address
+follows, or an opening in the same paragraph within ``NEAR`` letters. So the wrap of a text makes
 no difference, except where a name is followed by other words that neither a line, a full stop nor an opening parts from it.
 
 Edge cases: NULL and empty texts, and those of claims only, have no digest and match nothing; a
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import checked_broadcast, map_texts
 from .licence_texts import KNOWN, OPENINGS, SPELLINGS
 
-HEAD = 8
+HEAD, NEAR = 8, 200
 
 _SIGN = r"(?:copyright\b|\(c\)|©|&copy;)"
 _CLAIM = re.compile(
@@ -37,11 +37,13 @@ _CLAIM = re.compile(
     r"disclaimer|permission|protection|information|infringement|act|treat)(?:s|es|y|ies|d|e|ee)?\b|(?:and|or|in|to|of|is|are|for|on|the|this|that|as)\b)\w)?"
 )
 _RESERVED = re.compile(r"\ball\s+rights\s+reserved\b\.?")
+_PARAGRAPH = re.compile(r"\n\s*\n")
 _STOP = re.compile(
     r"\n|\b(?:" + "|".join(x.replace(" ", r"\s+") for x in OPENINGS) + r")\b"
     r"|(?:(?<=[^\W\d_]{4})|(?<=\d{4}))(?<!\bcorp)(?<!\bdept)(?<!\buniv)(?<!\bbros)\.(?=\s|\Z)"
 )
-_OPEN = re.compile(r"(?:[,&]|\b(?:and|by))\s*\Z")
+_OPEN = re.compile(r"(?:[,&]|\b(?:and|by)|\[[^\]]*|<[^>]*)\s*\Z")
+_ADDRESS = re.compile(r"[ \t]*\d+[ \t]+\w+[ \t]+(?:street|st|place|avenue|road)\b")
 _LETTER = re.compile(r"[^\W\d_]")
 _NEXT_CLAIM = re.compile(rf"[ \t*#/;-]*{_SIGN}")
 _GAPS = re.compile(r"[\W_]+")
@@ -53,13 +55,18 @@ def _claimed(text: str) -> bool:
 
 def _end(text: str, begin: int) -> int:
     """Where the claim ends whose years or names begin at ``begin``."""
-    at = begin
+    at, paragraph = begin, _PARAGRAPH.search(text, begin, begin + NEAR)
+    for stop in _STOP.finditer(text, begin, paragraph.start() if paragraph else begin + NEAR):
+        if stop[0] == ".":
+            break
+        if stop[0] != "\n":
+            return stop.start()
     while stop := _STOP.search(text, at):
         if stop[0] != "\n":
             return stop.end() if stop[0] == "." else stop.start()
         said, line_end = text[begin : stop.start()], text.find("\n", stop.end())
         line = text[stop.end() : line_end if line_end >= 0 else len(text)]
-        if (_LETTER.search(said) and not _OPEN.search(said)) or not line.strip() or _NEXT_CLAIM.match(line):
+        if (_LETTER.search(said) and not _OPEN.search(said) and not _ADDRESS.match(line)) or not line.strip() or _NEXT_CLAIM.match(line):
             return stop.start()
         at = stop.end()
     return len(text)
@@ -101,7 +108,7 @@ def digests(text: str | None) -> tuple[str | None, list[str]]:
 
 
 def known(spark: SparkSession) -> DataFrame:
-    """The bundled licences and notices: licence, text."""
+    """The bundled licences, notices and SPDX lines: licence, text."""
     return spark.createDataFrame(KNOWN, "licence string, text string")
 
 

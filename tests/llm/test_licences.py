@@ -1,6 +1,10 @@
+import pathlib
+import pkgutil
 import re
 import textwrap
 
+import pytest
+
 from terrane.llm import licences
 
 
@@ -59,3 +63,30 @@ def test_claims_end_with_their_sentence():
     assert licences.canonical("(a) one\n(b) two\n(c) three of the list") == "a one b two c three of the list"
     assert licences.canonical("copyright owners keep what they own") == "copyright owners keep what they own"
     assert licences.digests("Copyright 2020 Someone\n(c) Other\nAll rights reserved.") == (None, [])
+
+
+def test_whole_licences_notices_and_spdx_lines(spark):
+    bundled = sorted(x.stem for x in (pathlib.Path(licences.__file__).parent / "known").glob("*.txt"))
+    texts = {name: pkgutil.get_data("terrane.llm", f"known/{name}.txt").decode() for name in bundled}
+    bsd = "\n".join(re.sub(r"^\d\.", " *", x) for x in next(t for n, t in licences.KNOWN if n == "BSD-3-Clause").split("\n"))
+    said = {
+        "# SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0-or-later", "// SPDX-License-Identifier: EPL-2.0": "EPL-2.0",
+        "This project is licensed under the Apache License 2.0.": "Apache-2.0", "Licensed under the Mozilla Public License, Version 2.0": "MPL-2.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    }
+    rows = [*enumerate([*texts.values(), bsd]), *((100 + i, f"def f():\n{x}\nreturn 1") for i, x in enumerate(said))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.whole, r.notices) for r in licences.scan(docs, "doc_id", "text", licences.known(spark)).collect()}
+    assert len(bundled) == 17
+    assert [got[i][0] for i in range(len(bundled) + 1)] == [*([x] for x in bundled), ["BSD-3-Clause"]]
+    assert [got[100 + i] for i in range(len(said))] == [([], [x]) for x in said.values()]
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "GFDL-1.3", "BSL-1.0", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense"])
+def test_wraps_of_whole_licences(name):
+    text = pkgutil.get_data("terrane.llm", f"known/{name}.txt").decode()
+    parts = re.split(r"\n\s*\n", text.strip())
+    expected, _ = licences.digests(text)
+    assert licences.digests(" ".join(text.split()))[0] == expected
+    for width in (40, 60, 79, 200):
+        assert licences.digests("\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in parts))[0] == expected
