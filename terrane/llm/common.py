@@ -22,10 +22,18 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def sample_hash(key: Column, seed: int) -> Column:
+    """A number of a key; the keys whose number lies below ``sample_bound`` are a sample."""
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_SLOTS))
+
+
+def sample_bound(wanted: int, of: int) -> int:
+    return int((1.0 if of <= wanted else wanted / of) * _SLOTS)
+
+
 def sampled(key: Column, wanted: int, of: int, seed: int) -> Column:
     """About ``wanted`` of ``of`` rows, chosen by a hash of their key, whatever their place."""
-    share = 1.0 if of <= wanted else wanted / of
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_SLOTS)) < F.lit(int(share * _SLOTS))
+    return sample_hash(key, seed) < F.lit(sample_bound(wanted, of))
 
 
 def checked_broadcast(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:

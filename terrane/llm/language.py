@@ -1,14 +1,15 @@
 """Language identification by n-gram filters that answer for all languages at once.
 
 Every language has a Bloom filter of its n-grams. The filters share size and hash functions and are
-stored bit-sliced: slot ``i`` holds bit ``i`` of every filter, one bit per language. The conjunction of
+stored bit-sliced: slot ``i`` holds bit ``i`` of every filter, one bit per language, in as many numbers of 64 bits
+as the languages need. The conjunction of
 the slots of an n-gram is then the mask of all languages that contain it. A text's masks are counted per
 language, and the counts are corrected for the false positives that the filter's fill makes expected.
 
 The n-grams are the byte quadruples of the lower-cased text, with everything but letters as one space. A
 language's filter takes the n-grams that at least ``min_docs`` of its sampled documents contain and whose
 share among its n-grams is at least ``keep`` of the largest share in any language, so quotations from another
-language don't count.
+language don't count. A language of fewer sampled documents needs its n-grams in all of them; if none is left, it takes all it has.
 
 Edge cases: NULL text and text without a letter give ``und`` with score 0; a text of which no filter
 knows anything gives the most frequent language with score 0; ties go to the first name. Without any
@@ -25,8 +26,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_texts, sampled
+from .common import map_texts, sample_bound, sample_hash
 
 UNDETERMINED = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -44,7 +46,7 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Filters:
-    """``slots``: one language mask per slot; ``hashes`` of them answer for an n-gram."""
+    """``slots``: one language mask per slot, a row of numbers of 64 bits or just one; ``hashes`` of them answer for an n-gram."""
 
     languages: tuple[str, ...]
     slots: np.ndarray
@@ -63,16 +65,20 @@ class Filters:
 
     def false_positives(self) -> np.ndarray:
         """Chance per language that an n-gram outside its filter is reported as contained."""
-        fill = [np.count_nonzero(self.slots >> np.uint64(k) & np.uint64(1)) / len(self.slots) for k in range(len(self.languages))]
+        planes = self.slots.reshape(len(self.slots), -1)
+        fill = [np.count_nonzero(planes[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)) / len(planes) for k in range(len(self.languages))]
         return np.array(fill) ** self.hashes
 
     def decide(self, text: str | None, chance: np.ndarray) -> tuple[str, float]:
         gram = grams(text) if text else np.empty(0, np.uint32)
         if not len(gram) or not self.languages:
             return UNDETERMINED, 0.0
-        values, counts = np.unique(self.masks(gram), return_counts=True)
-        bits = values[:, None] >> np.arange(len(self.languages), dtype=np.uint64) & np.uint64(1)
-        share = counts @ bits.astype(np.float64) / len(gram)
+        found, shares = self.masks(gram).reshape(len(gram), -1), []
+        for word, column in enumerate(found.T):
+            values, counts = np.unique(column, return_counts=True)
+            bits = values[:, None] >> np.arange(min(64, len(self.languages) - 64 * word), dtype=np.uint64) & np.uint64(1)
+            shares.append(counts @ bits.astype(np.float64) / len(gram))
+        share = np.concatenate(shares)
         corrected = np.maximum(0.0, (share - chance) / (1.0 - np.minimum(chance, 0.999)))
         if not corrected.any():
             return self.languages[self.default], 0.0
@@ -90,13 +96,15 @@ def fit(
     counted by Spark, so the driver gets one row per language and n-gram that the filters keep.
     """
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().orderBy(F.desc("count"), lang).limit(64).collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
     names = tuple(sorted(sizes))
     if not names:
         return Filters((), np.zeros(1 << slot_bits, np.uint64), hashes, 0)
-    chosen = F.lit(False)
-    for name, size in sizes.items():
-        chosen = chosen | ((F.col(lang) == name) & sampled(F.col(key), per_language, size, seed=10))
+    # The sample's share and the least number of documents of each language, by a join whatever their number.
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(
+        [(name, sample_bound(per_language, size), min(min_docs, size)) for name, size in sizes.items()],
+        T.StructType([T.StructField("lang", docs.select(lang).schema[0].dataType), T.StructField("_bound", T.LongType()), T.StructField("_least", T.LongType())]),
+    ))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,26 +119,29 @@ def fit(
                 })
 
     counted = (
-        rows.where(chosen).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+        rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), sample_hash(F.col(key), seed=10).alias("_at"))
+        .join(bounds, "lang").where(F.col("_at") < F.col("_bound")).select("lang", "text")
         .mapInPandas(count, "lang string, gram long, docs long, times long")
         .groupBy("lang", "gram").agg(F.sum("docs").alias("docs"), F.sum("times").alias("times"))
     )
-    seen = counted.where(F.col("docs") >= min_docs).toPandas()
-    if seen.empty:  # a few short documents: take all they have
-        seen = counted.toPandas()
+    seen = counted.join(bounds, "lang").where(F.col("docs") >= F.col("_least")).select(counted.columns).toPandas()
+    lost = [name for name in names if name not in set(seen["lang"])]
+    if lost:  # documents without a common n-gram: take all they have
+        lost_ones = F.broadcast(docs.sparkSession.createDataFrame([(name,) for name in lost], counted.select("lang").schema))
+        seen = pd.concat([seen, counted.join(lost_ones, "lang").toPandas()], ignore_index=True)
     seen["share"] = seen["times"] / seen.groupby("lang")["times"].transform("sum")
     seen = seen[seen["share"] >= keep * seen.groupby("gram")["share"].transform("max")]
-    empty = Filters(names, np.zeros(1 << slot_bits, np.uint64), hashes, names.index(max(sizes, key=lambda n: (sizes[n], n))))
+    empty = Filters(names, np.zeros((1 << slot_bits, -(-len(names) // 64)), np.uint64), hashes, names.index(max(sizes, key=lambda n: (sizes[n], n))))
     for k, name in enumerate(names):
         gram = seen.loc[seen["lang"] == name, "gram"].to_numpy().astype(np.uint32)
         for h in range(hashes):
-            empty.slots[empty.places(gram, h)] |= np.uint64(1 << k)
+            empty.slots[empty.places(gram, h), k // 64] |= np.uint64(1 << k % 64)
     return empty
 
 
 def predict(docs: DataFrame, text: str, filters: Filters, keep: list[str]) -> DataFrame:
     """The ``keep`` columns, ``lang_pred`` and ``score`` of every row."""
-    shipped = docs.sparkSession.sparkContext.broadcast(filters)  # at most 64 languages in 2^slot_bits numbers
+    shipped = docs.sparkSession.sparkContext.broadcast(filters)  # 2^slot_bits numbers for every 64 languages
 
     def start():
         model = shipped.value

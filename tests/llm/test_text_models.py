@@ -116,3 +116,16 @@ def test_quality_odd_rows(spark, odd, none):
         got = quality.score(docs, "text", net, ["doc_id", "label"]).collect()
         assert len(got) == docs.count()
         assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_of_many_labels(spark):
+    """70 languages, each with letters of its own: the rarest ones too are found, also from one or two documents."""
+    name = lambda k: f"l{k:02}"
+    word = lambda k, i: "".join(chr(0x4E00 + 40 * k + (i * 7 + j) % 40) for j in range(6))
+    rows = [(100 * k + i, " ".join(word(k, i + j) for j in range(30)), name(k)) for k in range(70) for i in range(1 if k == 69 else 2 if k == 68 else 5 + k % 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = language.fit(docs, "text", "lang", "doc_id", F.lit(True))
+    assert filters.languages == tuple(name(k) for k in range(70))
+    got = language.predict(docs, "text", filters, ["doc_id", "lang"]).collect()
+    assert len(got) == len(rows)
+    assert all(r.lang == r.lang_pred and r.score > 0.9 for r in got)
