@@ -11,7 +11,9 @@ The text has character references decoded, each run of white space as one space,
 is white space; table cells and list items are blocks.
 
 Edge cases: NULL and empty html, and pages without content give an empty text; unclosed and misplaced tags
-are closed as browsers do for paragraphs, items and cells; an unclosed comment, script or style runs to the end;
+are closed as browsers do for paragraphs, items and cells; an unclosed comment, script, style or textarea runs to the end, what
+other elements without text (svg, noscript, template, iframe, head) leave open hides nothing; formulas and the
+inside of ``object`` are text;
 ``<`` without a tag name is text. Repeated rows give repeated results.
 """
 
@@ -28,12 +30,15 @@ from .common import map_texts
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object|head)\b(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|(?P<open>\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
 )
+# What is inside these elements is no text; those of _ENDLESS run to the end of the page if nothing ends them.
+_RAW = {x: re.compile(rf"</{x}\s*>", re.I) for x in "script style textarea noscript template iframe svg head".split()}
+_ENDLESS = frozenset("script style textarea".split())
+_SELF_CLOSED = re.compile(r"(?:\A|[\s\"'])/\Z|(?:\A|\s)[^\s=\"']*/\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BLOCK = frozenset(
@@ -126,15 +131,23 @@ def read(html: str) -> list[_Node]:
         if seek is not root:
             now = seek.parent
 
-    for found in _TOKEN.finditer(html):
+    unended: set[str] = set()
+    while found := _TOKEN.search(html, at):
         say(html[at : found.start()])
         at = found.end()
         tag = (found["tag"] or found["tag2"] or "").lower()
         if not tag:
-            if found["raw"] and found["raw"].lower() == "head" and found["open"] is not None:
-                at = found.start() + html[found.start():].index(">") + 1  # a head that never ends hides nothing
             continue
         ends = bool(found["end"] or found["end2"])
+        if tag in _RAW and not ends and not (tag == "svg" and _SELF_CLOSED.search(found["attrs"] or "")):
+            end = None if tag in unended else _RAW[tag].search(html, at)
+            if end:
+                at = end.end()
+                continue
+            unended.add(tag)
+            if tag in _ENDLESS:
+                at = len(html)
+                break
         if tag == "a":
             links = 0 if ends else 1
             parts.append("")

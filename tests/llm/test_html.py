@@ -88,3 +88,24 @@ def test_odd_rows(spark):
     got = html.extract(pages, "html", ["page_id", "url"]).collect()
     assert sorted(len(r.text) > 0 for r in got) == [False, False, True, True]
     assert html.extract(pages.limit(0), "html", ["page_id"]).count() == 0
+
+
+BODY = "<p>A first paragraph of the article, with enough words in it.</p>", "<p>A second paragraph of the article, with enough words too.</p>"
+BOTH = "A first paragraph of the article, with enough words in it.\nA second paragraph of the article, with enough words too."
+
+
+@pytest.mark.parametrize("between", [
+    "<svg/>", '<svg width="1" />', "<svg viewBox='0 0 1 1'/><svg><text>not this</text></svg>", "<math/>", "<object>", "<noscript>", "<template>", "<iframe src=x>", "<svg>", "<svg><path d=x />",
+    "<noscript>not this</noscript>", "<template><p>not this</p></template>", "<iframe>not this</iframe>", "<script/>not this</script>", "<textarea>not this</textarea>",
+])
+def test_elements_without_text_hide_only_themselves(between):
+    assert html.main_text(f"<article>{BODY[0]}{between}{BODY[1]}</article>") == BOTH
+
+
+def test_formulas_objects_and_open_heads():
+    assert html.main_text("<article><p>The formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds for all of them.</p></article>") == "The formula x=1 holds for all of them."
+    assert html.main_text(f"<article>{BODY[0]}<object data=x>{BODY[1]}</object></article>") == BOTH
+    assert html.main_text(f"<html><head><title>Name</title><body><article>{''.join(BODY)}</article>") == BOTH
+    for tag in ("script", "style", "textarea"):
+        assert html.main_text(f"<article>{BODY[0]}<{tag}>{BODY[1]}</article>") == BOTH.split("\n")[0]
+    assert html.main_text("<article>" + f"<iframe>{BODY[0]}" * 20_000).count("\n") == 19_999
