@@ -171,7 +171,7 @@ def _node(text: Column) -> Column:
 
 
 def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``node`` (digest of a text), ``key`` (the least of its documents) and ``class_id``, one row per distinct text.
+    """``node`` (digest of a text), ``key`` (the least of its documents), ``class_id`` and ``first`` (true for one of each class), one row per distinct text.
 
     The class is the least key among all documents that links of ``least`` or more tie together.
     """
@@ -206,8 +206,8 @@ def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands
     labels = _remaining(members.select("bucket", "node"), labels, nearest, nodes.select("node", "sketch"), numbers, texts, least)
 
     named = nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least_key = named.groupBy("label").agg(F.min("key").alias("class_id"))
-    return named.join(least_key, "label").select("node", "key", "class_id")
+    least_key = named.groupBy("label").agg(F.min("key").alias("class_id"), F.min_by("node", F.struct(F.col("key").isNull(), "key", "node")).alias("first"))
+    return named.join(least_key, "label").select("node", "key", "class_id", (F.col("node") == F.col("first")).alias("first"))
 
 
 def classes(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
@@ -219,8 +219,8 @@ def classes(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
-    """``docs`` without all but the least key of each class, once; NULL texts stay."""
-    chosen = node_classes(docs, key, text, **how).where(F.col("key").eqNullSafe(F.col("class_id")))
+    """``docs`` without all but one of each class: the least key, then the least node; NULL texts stay."""
+    chosen = node_classes(docs, key, text, **how).where("first")
     # A struct, because structs with a NULL inside are equal where bare NULLs are not.
     kept = chosen.select(F.struct("node", F.col("key").alias("key")).alias("_terrane_doc"))
     there = docs.where(F.col(text).isNotNull()).withColumn("_terrane_doc", F.struct(_node(F.col(text)).alias("node"), F.col(key).alias("key")))

@@ -131,3 +131,15 @@ def test_odd_rows(spark, odd, none):
     assert kept.columns == given.columns
     assert kept.count() == odd.count() - 1  # the repeated row
     assert near.classes(none.drop("class_id"), "doc_id", "text").count() == 0
+
+
+def test_one_stays_of_near_texts_with_one_key_or_none(spark):
+    words = [f"word{i}" for i in range(400)]
+    texts = [" ".join([*words, f"end{i}"]) for i in range(4)]
+    for key in (7, None):
+        docs = spark.createDataFrame([(key, t) for t in texts] + [(9, "another text of its own"), (None, None)], "doc_id long, text string")
+        got = near.keep_one(docs, "doc_id", "text").collect()
+        assert len(got) == 3
+        assert sum(r.text in texts for r in got) == 1
+    docs = spark.createDataFrame([(None, texts[0]), (5, texts[1]), (4, texts[2])], "doc_id long, text string")
+    assert [r.doc_id for r in near.keep_one(docs, "doc_id", "text").collect()] == [4]
