@@ -102,7 +102,7 @@ def buckets(won: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray
 
 def sketches(won: np.ndarray) -> np.ndarray:
     """For each signature the low two bits of all registers, 32 registers in a number."""
-    parts = (won & np.uint64(3)).reshape(len(won), -1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
+    parts = (won & np.uint64(3)).reshape(len(won), won.shape[1] // 32, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
     return np.bitwise_or.reduce(parts, 2).view(np.int64)
 
 
