@@ -60,7 +60,8 @@ def test_stream_equals_batch_and_restarts_without_repeats(spark, lake, tmp_path)
 
     ingest()
     batch, _ = split_events(parse_json_events(spark.read.text(str(landing)), schemas.SALE_EVENT), "transaction_id")
-    assert rows(lake.load(table)) == rows(batch)
+    assert rows(lake.load(table), *batch.columns) == rows(batch)
+    assert lake.load(table).where(F.col(schemas.LANDED).isNull()).isEmpty()
     ingest()
     assert lake.load(table).count() == 30
     put(landing, "4.json", message(99))
