@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, html, language, licences, lines, near, pieces, quality, toxicity
+from . import alignment, audit, decontaminate, fingerprint, html, language, licences, lines, near, pieces, quality, rules, toxicity
 from .common import fold, table
 from .stages import VOCABULARY
 
+VOCABULARIES = alignment.Vocabularies("/opt/tokenizers/byte_bpe_50k.json", VOCABULARY)
+
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"), "html", ["page_id", "url"]).withColumn("n_chars", F.char_length("text").cast("long"))
@@ -79,4 +81,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_main_text, op2_toxicity, op3_quality, op4_sentencepiece, op5_licences, op6_fingerprint, op7_decontaminate, op8_near_dedup, op9_line_dedup, op10_language)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), "doc_id", "text", "source", table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", VOCABULARIES)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "labels"), "quality")
+
+
+QUERIES = (
+    op1_main_text, op2_toxicity, op3_quality, op4_sentencepiece, op5_licences, op6_fingerprint, op7_decontaminate, op8_near_dedup,
+    op9_line_dedup, op10_language, op11_filter_audit, op12_token_alignment, op13_quality_rules,
+)

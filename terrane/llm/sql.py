@@ -31,6 +31,46 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
+_FILTER_AUDIT = r"""
+WITH flag AS (
+    SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), doc AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+    FROM documents
+), cell AS (
+    SELECT part,
+           (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+           + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text))::INT
+           + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS pattern,
+           count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM doc LEFT JOIN flag USING (doc_id) GROUP BY ALL
+), letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(name, bit)),
+filter_order AS (
+    SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), step AS (
+    SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+    FROM filter_order, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)
+), counted AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (pattern & (own | earlier) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS removed,
+           coalesce(sum(n) FILTER (pattern & own > 0 AND pattern & earlier > 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (pattern = own), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (pattern & own > 0 AND pattern & earlier = 0), 0) AS toxic_lost
+    FROM cell, step GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
 _CANONICAL = """array_to_string(list_transform(
         list_filter(string_split(regexp_replace(lower(array_to_string(list_filter(string_split({0}, chr(10)),
             lambda x: NOT regexp_matches(lower(x), '^[ \\t]*(copyright\\b|\\(c\\)|©|all rights reserved)')), ' ')),
@@ -87,4 +127,4 @@ FROM tokens t LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
 SQL: dict[str, str] = {
-    "op5_licences": _LICENCES, "op7_decontaminate": _DECONTAMINATE, "op9_line_dedup": _LINE_DEDUP}
+    "op5_licences": _LICENCES, "op7_decontaminate": _DECONTAMINATE, "op9_line_dedup": _LINE_DEDUP, "op11_filter_audit": _FILTER_AUDIT}

@@ -14,7 +14,7 @@ TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "D
 @pytest.mark.parametrize("name", sql.SQL)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = getattr(queries, name)(spark, SF)
     result = con.execute(sql.SQL[name])
@@ -28,4 +28,4 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_has_its_query():
     numbers = [int(q.__name__[2:].split("_")[0]) for q in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
