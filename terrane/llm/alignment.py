@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,24 +41,6 @@ pairs array<bigint>, weights array<bigint>"""
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
-def aligned(a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[str, int, np.ndarray]:
-    """Groups as text, their number, and the id pairs (a << 32 | b) of all links of two token lists over the same bytes."""
-    ends = np.intersect1d(a_ends, b_ends)
-    a_cut, b_cut = np.searchsorted(a_ends, ends).tolist(), np.searchsorted(b_ends, ends).tolist()
-    groups, i, j = [], 0, 0
-    for x, y in zip(a_cut, b_cut, strict=True):
-        groups.append(f"{','.join(map(str, a[i : x + 1]))}|{','.join(map(str, b[j : y + 1]))}")
-        i, j = x + 1, y + 1
-    # Tokens overlap from the one that ends after another's start to the one that starts before its end.
-    starts = np.append(0, a_ends[:-1])
-    first = np.searchsorted(b_ends, starts, "right")
-    last = np.searchsorted(b_ends, a_ends, "left")
-    n = last - first + 1
-    which_a = np.repeat(np.arange(len(a)), n)
-    which_b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    return ";".join(groups), len(groups), np.array(a, np.int64)[which_a] << 32 | np.array(b, np.int64)[which_b]
-
-
 @dataclass(frozen=True)
 class Vocabularies:
     """Paths of a byte-level BPE file (A) and of a SentencePiece model (B)."""
@@ -69,10 +52,19 @@ class Vocabularies:
         return Cells(self.a, self.b)
 
 
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
+
+
+def _per(ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """How many of the ascending ``marks`` lie in each of the stretches that end at ``ends``."""
+    return np.diff(np.searchsorted(marks, ends, "right"), prepend=0)
+
+
 class Cells:
-    """Tokens and links of cells, remembered up to ``most`` of them."""
+    """Tokens, groups and links of cells, remembered for up to ``most`` cells under consecutive numbers."""
 
-    def __init__(self, a: str, b: str, most: int = 200_000):
+    def __init__(self, a: str, b: str, most: int = 300_000):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -81,26 +73,77 @@ class Cells:
         # Byte-level entries: printable Latin-1 signs stand for themselves, the other bytes for 256 and up in their order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         sign = {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in set(plain))}
-        self.a_bytes = {i: bytes(sign[c] for c in entry) for entry, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in sign for c in entry)}
+        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        for entry, i in self.a.get_vocab(with_added_tokens=False).items():
+            self.a_bytes[i] = bytes([sign[c] for c in entry]) if all(c in sign for c in entry) else b""
         self.b_bytes = [
             bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
-        self.known: dict[str, tuple | None] = {}
+        self.a_size, self.b_size = (np.array([len(x) for x in found], np.int64) for found in (self.a_bytes, self.b_bytes))
+        # An id and what follows it: another of its side, the other side, or the next group.
+        names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.written = [name + after for after in ",|;" for name in names]
+        self.written_size = np.array([len(x) for x in self.written], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.sizes = np.empty((4, 0), np.int64)  # tokens of A, of B, groups, links; -1 where tokens don't give the bytes
+        self.links, self.link_starts = np.empty(0, np.int64), np.zeros(1, np.int64)
 
     def learn(self, cells: set[str]) -> None:
-        """Tokenise the cells that aren't known; None stands for one whose tokens don't give its bytes."""
-        if len(self.known) + len(cells) > self.most:
-            self.known.clear()
-        new = [c for c in cells if c not in self.known]
-        for cell, a, b in zip(new, self.a.encode_batch(new, add_special_tokens=False), self.b.encode([c[1:] for c in new], num_threads=1), strict=True):
-            a, raw = a.ids, cell.encode()
-            a_parts, b_parts = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                self.known[cell] = None
-                continue
-            groups, n, links = aligned(a, b, np.cumsum([len(x) for x in a_parts]), np.cumsum([len(x) for x in b_parts]))
-            self.known[cell] = len(a), len(b), n, groups, links
+        """Tokenise the cells that aren't known."""
+        if len(self.number) + len(cells) > self.most:
+            self.forget()
+        new = [c for c in cells if c not in self.number]
+        if not new:
+            return
+        a = [x.ids for x in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        b = self.b.encode([c[1:] for c in new], num_threads=1)
+        raw = [c.encode() for c in new]
+        joined = lambda ids, entries: b"".join(map(entries.__getitem__, ids))
+        good = [k for k, r in enumerate(raw) if joined(a[k], self.a_bytes) == r and joined(b[k], self.b_bytes) == r]
+        sizes = np.full((4, len(new)), -1, np.int64)
+        groups, sizes[:, good], links = self._aligned([a[k] for k in good], [b[k] for k in good], np.array([len(raw[k]) for k in good], np.int64))
+        texts = [""] * len(new)
+        for k, text in zip(good, groups, strict=True):
+            texts[k] = text
+        per_cell = np.maximum(sizes[3], 0)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.groups += texts
+        self.sizes = np.concatenate([self.sizes, sizes], 1)
+        self.link_starts = np.append(self.link_starts, self.link_starts[-1] + np.cumsum(per_cell))
+        self.links = np.append(self.links, links)
+
+    def _aligned(self, a: list[list[int]], b: list[list[int]], length: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Of cells laid end to end: groups as text, the four sizes, and the links (a << 32 | b).
+
+        Every cell's end is an end of both, so nothing reaches from one cell into the next.
+        """
+        n_a, n_b = (np.array([len(x) for x in found], np.int64) for found in (a, b))
+        a, b, cell_ends = _flat(a), _flat(b), np.cumsum(length)
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        # The tokens of a group in their written order: those of A, then those of B.
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        order = np.empty(len(a) + len(b), np.int64)
+        a_place = np.arange(len(a)) + np.searchsorted(b_group, a_group, "left")
+        b_place = np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")
+        most = len(self.written) // 3
+        order[a_place] = a + most * np.append(a_group[1:] != a_group[:-1], True)[: len(a)]
+        order[b_place] = b + 2 * most * np.append(b_group[1:] != b_group[:-1], True)[: len(b)]
+        text = "".join(map(self.written.__getitem__, order.tolist()))
+        ends = np.append(0, np.cumsum(self.written_size[order]))[np.cumsum(n_a + n_b)].tolist() if len(n_a) else []
+        groups = [text[s : e - 1] for s, e in zip([0, *ends], ends, strict=False)]
+        # Tokens overlap from the one that ends after another's start to the one that reaches its end.
+        first = np.searchsorted(b_ends, np.append(0, a_ends[:-1])[: len(a)], "right")
+        n = np.searchsorted(b_ends, a_ends, "left") - first + 1
+        which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        links = np.repeat(a, n) << 32 | b[which]
+        n_links = np.diff(np.append(0, np.append(0, np.cumsum(n))[np.cumsum(n_a)]))
+        return groups, np.stack([n_a, n_b, _per(cell_ends, cuts), n_links]), links
 
 
 def split(text: str) -> list[str]:
@@ -109,33 +152,30 @@ def split(text: str) -> list[str]:
     return [first, *[" " + x for x in others]]
 
 
+def _total(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` in each of the stretches, some of them empty, that end at ``ends``."""
+    return np.diff(np.append(0, np.cumsum(values))[ends], prepend=0)
+
+
 def _chunk(cells: Cells, texts: list[str], digests: list[bytes], times: list[int]) -> tuple:
     """One row of the schema ``_CHUNK``."""
     parts = [split(x) for x in texts]
-    cells.learn({c for part in parts for c in part})
-    found = [[cells.known[c] for c in part] for part in parts]
-    found = [[] if None in x else x for x in found]
-    place: dict[str, int] = {}
-    used, rows, at = [], [], []
-    for part, x in zip(parts, found, strict=True):
-        for cell, known in zip(part, x, strict=False):
-            k = place.setdefault(cell, len(place))
-            if k == len(used):
-                used.append(known)
-            at.append(k)
-        sha = hashlib.sha256(";".join([y[3] for y in x]).encode()).hexdigest() if x else ""
-        rows.append((sum(y[0] for y in x), sum(y[1] for y in x), sum(y[2] for y in x), sum(len(y[4]) for y in x), sha))
-    at, lengths = np.array(at, np.int32), np.array([len(x) for x in found], np.int64)
-    flat = np.concatenate([np.empty(0, np.int64), *[y[4] for y in used]])
-    link_ends = np.cumsum([len(y[4]) for y in used], dtype=np.int64)
+    cells.learn(set(chain.from_iterable(parts)))
+    found = [np.fromiter(map(cells.number.__getitem__, part), np.int64, len(part)) for part in parts]
+    found = [x if cells.sizes[0, x].min() >= 0 else x[:0] for x in found]
+    sha = [hashlib.sha256(";".join(map(cells.groups.__getitem__, x.tolist())).encode()).hexdigest() if len(x) else "" for x in found]
+    every, ends = np.concatenate(found), np.cumsum([len(x) for x in found])
+    sizes = [_total(row[every], ends) for row in cells.sizes]
+    used, at = np.unique(every, return_inverse=True)
+    n = cells.sizes[3, used]
+    link_ends = np.cumsum(n)
+    flat = cells.links[np.arange(n.sum()) - np.repeat(link_ends - n, n) + np.repeat(cells.link_starts[used], n)]
     pairs, which = np.unique(flat, return_inverse=True)
     # Cells by their weighted occurrences, then pairs by those of the cells that hold them.
-    per_cell = np.zeros(len(used), np.int64)
-    np.add.at(per_cell, at, np.repeat(np.array(times, np.int64), lengths))
-    weights = np.zeros(len(pairs), np.int64)
-    np.add.at(weights, which, np.repeat(per_cell, np.diff(link_ends, prepend=0)))
-    n_a, n_b, n_groups, n_links, sha = zip(*rows, strict=True)
-    return digests[0], digests, times, n_a, n_b, n_groups, n_links, sha, at, np.cumsum(lengths), which, link_ends, pairs, weights
+    per_cell, weights = np.zeros(len(used), np.int64), np.zeros(len(pairs), np.int64)
+    np.add.at(per_cell, at, np.repeat(np.array(times, np.int64), np.diff(ends, prepend=0)))
+    np.add.at(weights, which, np.repeat(per_cell, n))
+    return digests[0], digests, times, *sizes, sha, at, ends, which, link_ends, pairs, weights
 
 
 def _digest(text: Column) -> Column:
@@ -199,16 +239,15 @@ def _measured(made: DataFrame, counts: DataFrame) -> DataFrame:
                 get = lambda name: batch[name].slice(k, 1).flatten()  # noqa: B023, E731
                 value = lambda name: get(name).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: B023, E731
                 counts, best, links = value("count"), value("best"), value("links")
-                total = lambda per_link, ends: np.diff(np.append(0, np.append(0, np.cumsum(per_link))[ends]))
                 cells, ends = value("cells"), value("ends")
-                in_text = [total(total(x[links], value("link_ends"))[cells], ends) for x in (best, counts)]
+                in_text = [_total(_total(x[links], value("link_ends"))[cells], ends) for x in (best, counts)]
                 columns = [get(c) for c in ("digest", "times", "groups_sha256", "n_a", "n_b", "n_groups", "n_links")]
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.array(x, pa.int64()) for x in in_text]], schema=arrow)
 
     return both.mapInArrow(run, schema)
 
 
-def align(docs: DataFrame, key: str, text: str, vocabularies: Vocabularies, signs: int = 4_000_000, hot: int = 2000) -> DataFrame:
+def align(docs: DataFrame, key: str, text: str, vocabularies: Vocabularies, signs: int = 2_000_000, hot: int = 2000) -> DataFrame:
     """The key, ``MEASURES`` and ``groups_sha256`` of every row of ``docs``.
 
     A text that makes up more than one in ``hot`` of all rows is one of fewer than ``hot``: these meet their

@@ -109,7 +109,7 @@ def test_cells_forget(tokens):
         parts = alignment.split(text)
         cells.learn(set(parts))
         assert "".join(parts) == " " + text
-        assert all(c in cells.known for c in parts)
+        assert all(c in cells.number for c in parts)
 
 
 def test_odd_rows(spark, odd, none):
