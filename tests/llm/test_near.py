@@ -55,9 +55,9 @@ def test_all_pairs(spark):
 
 def test_leaders_lose_no_link(spark, monkeypatch):
     """One leader a round, and bands of one register, so that most buckets mix classes."""
-    monkeypatch.setattr(near, "LEADERS", 1)
-    texts = corpus(5, families=3, size=5, words=60)
-    got = classes(spark, texts, bands=6, rows=1)
+    monkeypatch.setattr(near, "LEADERS", 2)
+    texts = corpus(5, families=3, size=4, words=60)
+    got = classes(spark, texts, bands=3, rows=1)
     assert [got[i] for i in range(len(texts))] == exact(texts)
 
 
@@ -143,3 +143,55 @@ def test_one_stays_of_near_texts_with_one_key_or_none(spark):
         assert sum(r.text in texts for r in got) == 1
     docs = spark.createDataFrame([(None, texts[0]), (5, texts[1]), (4, texts[2])], "doc_id long, text string")
     assert [r.doc_id for r in near.keep_one(docs, "doc_id", "text").collect()] == [4]
+
+
+def family(n, edits, words=300, seed=8):
+    """Texts that differ from one base in ``edits`` places each, so every two of them are about equally alike."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        text = list(base)
+        for j in rng.sample(range(words), edits):
+            text[j] = f"e{k}x{j}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_own_shares_bound_the_likeness():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 25, rng.integers(2, 20))).astype(np.uint64) for _ in range(2))
+        x, y = rng.integers(1, 6, len(a)), rng.integers(1, 6, len(b))
+        p, q = x[~np.isin(a, b)].sum() / x.sum(), y[~np.isin(b, a)].sum() / y.sum()
+        assert near.likeness((a, x), (b, y)) <= (1 - p) * (1 - q) / (1 - p * q + 1e-12) + 1e-9
+
+
+def test_a_family_below_the_threshold_costs_no_pairs(spark, monkeypatch):
+    """Twice the family gives about twice the verified pairs, and the classes of all pairs."""
+    seen = []
+    verify = near._verify
+    monkeypatch.setattr(near, "_verify", lambda pairs, *rest: seen.append(pairs.count()) or verify(pairs, *rest))
+    totals = []
+    for n in (60, 120):
+        seen.clear()
+        texts = family(n, 10)  # likeness about 0.7
+        got = classes(spark, texts)
+        assert [got[i] for i in range(n)] == list(range(n))
+        totals.append(sum(seen))
+    assert totals[1] <= 2.5 * totals[0] <= 5 * 60
+    mixed = family(25, 2) + family(25, 10, seed=9)
+    assert [classes(spark, mixed)[i] for i in range(50)] == exact(mixed)
+
+
+def test_recall_of_pairs_at_the_threshold():
+    """Texts alike by 0.8 share a bucket nearly always."""
+    rng = np.random.default_rng(9)
+    hit = 0
+    for _ in range(200):
+        one = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))
+        keep = int(len(one) * 1.6 / 1.8) + 1
+        two = np.unique(np.append(one[:keep], rng.integers(0, 2**63, len(one) - keep).astype(np.uint64)))
+        won = near.signatures([(s, np.ones(len(s), int)) for s in (one, two)], 128)
+        hit += (near.buckets(won)[0] == near.buckets(won)[1]).any()
+    assert hit >= 0.98 * 200
