@@ -38,6 +38,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CHUNK = """chunk binary, digest array<binary>, times array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>,
 n_links array<bigint>, groups_sha256 array<string>, cells array<int>, ends array<int>, links array<int>, link_ends array<int>,
 pairs array<bigint>, weights array<bigint>"""
+_BATCH = 8192
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -64,7 +65,7 @@ def _per(ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
 class Cells:
     """Tokens, groups and links of cells, remembered for up to ``most`` cells under consecutive numbers."""
 
-    def __init__(self, a: str, b: str, most: int = 300_000):
+    def __init__(self, a: str, b: str, most: int = 200_000):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -85,26 +86,40 @@ class Cells:
         names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.written = [name + after for after in ",|;" for name in names]
         self.written_size = np.array([len(x) for x in self.written], np.int64)
-        self.forget()
-
-    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
         self.sizes = np.empty((4, 0), np.int64)  # tokens of A, of B, groups, links; -1 where tokens don't give the bytes
         self.links, self.link_starts = np.empty(0, np.int64), np.zeros(1, np.int64)
 
+    def _keep(self, cells: list[str]) -> None:
+        """Forget all but these cells: what comes back is likely to come again."""
+        at = np.fromiter(map(self.number.__getitem__, cells), np.int64, len(cells))
+        links, ends = self._links(at)
+        self.number = dict(zip(cells, range(len(cells)), strict=True))
+        self.groups = [self.groups[i] for i in at.tolist()]
+        self.sizes, self.links, self.link_starts = self.sizes[:, at], links, np.append(0, ends)
+
+    def _links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of these cells one after another, and where each one's end."""
+        n = np.maximum(self.sizes[3, at], 0)
+        ends = np.cumsum(n)
+        return self.links[np.arange(n.sum()) - np.repeat(ends - n, n) + np.repeat(self.link_starts[at], n)], ends
+
     def learn(self, cells: set[str]) -> None:
         """Tokenise the cells that aren't known."""
         if len(self.number) + len(cells) > self.most:
-            self.forget()
+            self._keep([c for c in cells if c in self.number])
         new = [c for c in cells if c not in self.number]
-        if not new:
-            return
+        for at in range(0, len(new), _BATCH):  # what the tokenizers return takes far more room than what is kept of it
+            self._learn(new[at : at + _BATCH])
+
+    def _learn(self, new: list[str]) -> None:
         a = [x.ids for x in self.a.encode_batch_fast(new, add_special_tokens=False)]
         b = self.b.encode([c[1:] for c in new], num_threads=1)
         raw = [c.encode() for c in new]
-        joined = lambda ids, entries: b"".join(map(entries.__getitem__, ids))
-        good = [k for k, r in enumerate(raw) if joined(a[k], self.a_bytes) == r and joined(b[k], self.b_bytes) == r]
+        joined = lambda lists, entries: [b"".join(map(entries.__getitem__, ids)) for ids in lists]
+        same = [x == r == y for x, r, y in zip(joined(a, self.a_bytes), raw, joined(b, self.b_bytes), strict=True)]
+        good = [k for k, x in enumerate(same) if x]
         sizes = np.full((4, len(new)), -1, np.int64)
         groups, sizes[:, good], links = self._aligned([a[k] for k in good], [b[k] for k in good], np.array([len(raw[k]) for k in good], np.int64))
         texts = [""] * len(new)
@@ -167,14 +182,12 @@ def _chunk(cells: Cells, texts: list[str], digests: list[bytes], times: list[int
     every, ends = np.concatenate(found), np.cumsum([len(x) for x in found])
     sizes = [_total(row[every], ends) for row in cells.sizes]
     used, at = np.unique(every, return_inverse=True)
-    n = cells.sizes[3, used]
-    link_ends = np.cumsum(n)
-    flat = cells.links[np.arange(n.sum()) - np.repeat(link_ends - n, n) + np.repeat(cells.link_starts[used], n)]
-    pairs, which = np.unique(flat, return_inverse=True)
+    links, link_ends = cells._links(used)
+    pairs, which = np.unique(links, return_inverse=True)
     # Cells by their weighted occurrences, then pairs by those of the cells that hold them.
     per_cell, weights = np.zeros(len(used), np.int64), np.zeros(len(pairs), np.int64)
     np.add.at(per_cell, at, np.repeat(np.array(times, np.int64), np.diff(ends, prepend=0)))
-    np.add.at(weights, which, np.repeat(per_cell, n))
+    np.add.at(weights, which, np.repeat(per_cell, np.diff(link_ends, prepend=0)))
     return digests[0], digests, times, *sizes, sha, at, ends, which, link_ends, pairs, weights
 
 
@@ -247,7 +260,7 @@ def _measured(made: DataFrame, counts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def align(docs: DataFrame, key: str, text: str, vocabularies: Vocabularies, signs: int = 2_000_000, hot: int = 2000) -> DataFrame:
+def align(docs: DataFrame, key: str, text: str, vocabularies: Vocabularies, signs: int = 1_000_000, hot: int = 2000) -> DataFrame:
     """The key, ``MEASURES`` and ``groups_sha256`` of every row of ``docs``.
 
     A text that makes up more than one in ``hot`` of all rows is one of fewer than ``hot``: these meet their
