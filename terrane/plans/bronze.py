@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..sources.files import read_csv
 from ..sources.lake import Lake
-from ..streaming.ingest import ingest_json_stream
+from ..streaming.exact import ingest_once
 
 log = logging.getLogger(__name__)
 
@@ -31,15 +31,14 @@ def ingest_topic(
     """Start the stream of one topic into its bronze table; ``source`` has the message in ``value``.
 
     Messages without a readable id go to ``<table>_rejects`` as they came. Every row carries the time at
-    which it landed, from this cluster's clock.
+    which it landed, from this cluster's clock. One query reads the topic for both tables, and a repeated batch adds
+    nothing to either.
     """
     schema, id_col, table = STREAMS[topic]
     lake.create(table)
     lake.create(f"{table}_rejects")
-    return ingest_json_stream(
-        source, schema, id_col, lake.name(table), checkpoint, fmt=lake.fmt, trigger=trigger,
-        rejects=lake.name(f"{table}_rejects"), landed=schemas.LANDED,
-    )
+    lake.create(schemas.LEDGER)
+    return [ingest_once(source, lake, schema, id_col, table, checkpoint, f"{table}_rejects", trigger=trigger)]
 
 
 def count_rejects(lake: Lake) -> dict[str, int]:

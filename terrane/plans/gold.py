@@ -91,8 +91,8 @@ def refresh_fact_screenings(lake: Lake, on_fail: str = "abort", salts: int = 1)
     facts = lake.load_or_empty(table)
     stale, seen = stage_measured(marts.stale_screenings(facts, concessions), {"rows": F.count("*")})
     if seen["rows"]:
-        log.info("%s: concession revenue of %d bookings has changed", table, seen["rows"])
-        lake.publish(table, clean.replace_by_key(facts, stale, ["booking_id"]))
+        dates = lake.replace_rows(table, stale, ["booking_id"])
+        log.info("%s: concession revenue of %d bookings on %d dates has changed", table, seen["rows"], len(dates))
     fresh = clean.new_rows_only(bookings, lake.load_or_empty(table), ["booking_id"])
     append_facts(
         lake, table, marts.fact_screenings(fresh, concessions, salts), "booking_id",

@@ -345,6 +345,7 @@ SQL = {
         WHERE movement_type = 'SALE'"""),
     "fact_screenings": _q("SELECT * FROM fact_screenings"),
     "screening_refresh": _q("SELECT * FROM fact_screenings"),
+    "screening_refresh_parts": _q("SELECT * FROM fact_screenings"),
     "screening_totals": _q("SELECT * FROM screening_totals"),
     "screening_features": _q("SELECT * FROM screening_features"),
     "activity_counts": _q("SELECT * FROM activity"),

@@ -39,7 +39,11 @@ LANDED = "landing_ts"
 _LANDED = f", {LANDED} TIMESTAMP"
 _REJECTED = f"value STRING{_LANDED}"
 
+# Micro-batches taken up and written: a row without a sink when a batch starts, one per sink when it is there.
+LEDGER = "bronze.ingest_ledger"
+
 TABLES = {
+    LEDGER: f"stream STRING, batch BIGINT, sink STRING, rows BIGINT{_LANDED}",
     # bronze
     "bronze.bronze_pos_transaction_events": _typed(SALE_EVENT) + _LANDED,
     "bronze.bronze_supplier_delivery_events": _typed(DELIVERY_EVENT) + _LANDED,
@@ -119,3 +123,9 @@ EVENT_IDS = {
     "gold.fact_sales": "sale_id",
     "gold.fact_screenings": "booking_id",
 }
+
+# Partition column of the facts. A refresh replaces the dates it touches, and filters on the date prune the scan.
+PARTITIONS = {
+    "gold.fact_sales": "calendar_date",
+    "gold.fact_screenings": "calendar_date",
+}

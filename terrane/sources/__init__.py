@@ -2,6 +2,6 @@
 
 from .files import file_source, kafka_source, read_csv, show_sample
 from .lake import Lake
-from .scratch import clear_staged, stage, stage_measured
+from .scratch import clear_staged, replace_in_parts, stage, stage_measured, stage_parts
 
-__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "show_sample", "clear_staged", "stage", "stage_measured"]
+__all__ = ["Lake", "file_source", "kafka_source", "read_csv", "show_sample", "clear_staged", "replace_in_parts", "stage", "stage_measured", "stage_parts"]
