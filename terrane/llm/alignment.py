@@ -19,9 +19,11 @@ gives no row. Columns other than the named ones don't matter.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -50,7 +52,13 @@ class Vocabularies:
     b: str
 
     def open(self) -> Cells:
-        return Cells(self.a, self.b)
+        """One for the tasks of a worker, which run one after another: loading takes long, and cells come again."""
+        return _opened(self.a, self.b)
+
+
+@cache
+def _opened(a: str, b: str) -> Cells:
+    return Cells(a, b)
 
 
 def _flat(lists: list[list[int]]) -> np.ndarray:
@@ -65,7 +73,9 @@ def _per(ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
 class Cells:
     """Tokens, groups and links of cells, remembered for up to ``most`` cells under consecutive numbers."""
 
-    def __init__(self, a: str, b: str, most: int = 200_000):
+    def __init__(self, a: str, b: str, most: int = 150_000):
+        # Tasks share the cores already; threads of the tokenizer's own would only take more memory and time.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -214,14 +224,15 @@ def chunks(docs: DataFrame, text: str, vocabularies: Vocabularies, signs: int) -
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         for batch in batches:
-            for t, d, n in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if texts and size + len(t) > signs:
-                    yield row()
-                    texts, digests, times, size = [], [], [], 0
-                texts.append(t)
-                digests.append(d)
-                times.append(n)
-                size += len(t)
+            for at in range(0, batch.num_rows, 256):
+                for t, d, n in zip(*(column.to_pylist() for column in batch.slice(at, 256).columns), strict=True):
+                    if texts and size + len(t) > signs:
+                        yield row()
+                        texts, digests, times, size = [], [], [], 0
+                    texts.append(t)
+                    digests.append(d)
+                    times.append(n)
+                    size += len(t)
         if texts:
             yield row()
 

@@ -103,8 +103,7 @@ def test_test_documents(spark, tokens):
 
 
 def test_cells_forget(tokens):
-    cells = alignment.Vocabularies(V.a, V.b).open()
-    cells.most = 3
+    cells = alignment.Cells(V.a, V.b, most=3)
     for text in ("one two three", "four five six seven", "one two"):
         parts = alignment.split(text)
         cells.learn(set(parts))
