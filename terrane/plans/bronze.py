@@ -37,7 +37,7 @@ def ingest_topic(
     schema, id_col, table = STREAMS[topic]
     lake.create(table)
     lake.create(f"{table}_rejects")
-    lake.create(schemas.LEDGER)
+    lake.create(f"{table}_ledger")
     return [ingest_once(source, lake, schema, id_col, table, checkpoint, f"{table}_rejects", trigger=trigger)]
 
 

@@ -40,10 +40,14 @@ _LANDED = f", {LANDED} TIMESTAMP"
 _REJECTED = f"value STRING{_LANDED}"
 
 # Micro-batches taken up and written: a row without a sink when a batch starts, one per sink when it is there.
-LEDGER = "bronze.ingest_ledger"
+# Each event table has a ledger of its own, because streams that run side by side must not append to one folder.
+_LEDGER = f"stream STRING, batch BIGINT, sink STRING, rows BIGINT{_LANDED}"
 
 TABLES = {
-    LEDGER: f"stream STRING, batch BIGINT, sink STRING, rows BIGINT{_LANDED}",
+    "bronze.bronze_pos_transaction_events_ledger": _LEDGER,
+    "bronze.bronze_supplier_delivery_events_ledger": _LEDGER,
+    "bronze.bronze_ticket_booking_events_ledger": _LEDGER,
+    "bronze.bronze_concession_purchase_events_ledger": _LEDGER,
     # bronze
     "bronze.bronze_pos_transaction_events": _typed(SALE_EVENT) + _LANDED,
     "bronze.bronze_supplier_delivery_events": _typed(DELIVERY_EVENT) + _LANDED,

@@ -10,7 +10,7 @@ from .helpers import rows
 from .test_streaming import message, put
 
 TABLE = "bronze.bronze_pos_transaction_events"
-REJECTS = f"{TABLE}_rejects"
+REJECTS, LEDGER = f"{TABLE}_rejects", f"{TABLE}_ledger"
 
 
 def start(lake, folder):
@@ -31,7 +31,7 @@ def test_cut_off_anywhere_and_restarted(lake, tmp_path, monkeypatch, broken):
 
     def fragile(self, table, df):
         when = {"before good": TABLE, "after good": TABLE, "before bad": REJECTS, "after bad": REJECTS}.get(broken)
-        ledger = broken == "ledger" and table == schemas.LEDGER and df.where("sink is not null").count()
+        ledger = broken == "ledger" and table == LEDGER and df.where("sink is not null").count()
         if not failed and (table == when or ledger):
             failed.append(table)
             if broken.startswith("after"):
