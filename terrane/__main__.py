@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--seconds", type=int, default=100, help="stop after this time")
     to_silver = jobs.add_parser("silver", help="refresh the silver tables")
     to_silver.add_argument("--since", help="look only at events that landed then or later")
+    to_silver.add_argument("--key-bits", action="store_true", help="prove most new ids new by bitmaps kept beside the tables")
     to_gold = jobs.add_parser("gold", help="refresh the gold tables")
     to_gold.add_argument("--on-fail", choices=("abort", "warn", "quarantine"), default="abort")
     for name, text in (("preview", "print columns and first rows of a table"), ("describe", "print column names and types")):
@@ -63,7 +64,7 @@ def _run(lake: Lake, args: argparse.Namespace) -> None:
         run_for(bronze.ingest_all(lake, source_of, args.checkpoints), args.seconds)
         bronze.count_rejects(lake)
     elif args.job == "silver":
-        silver.run_bronze_to_silver(lake, args.since)
+        silver.run_bronze_to_silver(lake, args.since, args.key_bits)
     elif args.job == "gold":
         gold.run_silver_to_gold(lake, on_fail=args.on_fail)
     elif args.job == "describe":

@@ -8,6 +8,7 @@ from .inventory import (
     inventory_position, inventory_status, level_at_sale, movement_ledger, product_master,
 )
 from .joins import salted_left_join
+from .keybits import key_bits, mark_possible, merged_bits, new_rows_by_bits, slots_for
 from .link import link_entities
 from .marts import (
     activity_counts, fact_sales, fact_screenings, sales_by_name, screening_rollup,

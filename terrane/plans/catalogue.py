@@ -144,6 +144,15 @@ def new_rows_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.new_rows_only(sales, known, ["transaction_id"])
 
 
+def new_rows_by_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 by bitmaps of the known keys: only keys with a set bit are compared with the table."""
+    sales = src.sales(spark, sf_dir)
+    known = sales.where(F.col("ingestion_ts") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    slots = ops.slots_for(known.count())
+    bits = ops.key_bits(known, ["transaction_id"], slots)
+    return ops.new_rows_by_bits(sales, known, ["transaction_id"], bits, slots)
+
+
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.duplicate_keys(src.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -459,7 +468,7 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    clean_sales, line_total, current_rows, dropna_subset, join_left, join_full, new_rows_only, duplicate_keys,
+    clean_sales, line_total, current_rows, dropna_subset, join_left, join_full, new_rows_only, new_rows_by_bits, duplicate_keys,
     distinct_keys, dedupe_latest, latest_by_key, link_entities, link_min_len, link_docs, clean_bookings,
     product_master, customer_master, movement_ledger, inventory_position, revenue_summary, scd2_changed,
     scd2_apply, scd2_merge, scd2_history, scd2_full_outer, scd2_close_missing, row_hash, hash_diff_append, closure_updates,

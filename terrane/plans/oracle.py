@@ -259,6 +259,10 @@ SQL = {
         SELECT * FROM sales s WHERE NOT EXISTS (
           SELECT 1 FROM sales k WHERE k.transaction_id = s.transaction_id
             AND k.ingestion_ts < TIMESTAMP '1998-01-01')"""),
+    "new_rows_by_bits": _q("""
+        SELECT * FROM sales s WHERE NOT EXISTS (
+          SELECT 1 FROM sales k WHERE k.transaction_id = s.transaction_id
+            AND k.ingestion_ts < TIMESTAMP '1998-01-01')"""),
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "distinct_keys": _q(f"""

@@ -13,6 +13,7 @@ from ..operators import clean, inventory, link, quality, scd2
 from ..schemas import LANDED
 from ..sources.lake import Lake
 from ..sources.scratch import stage, stage_measured
+from .known import KnownKeys
 
 log = logging.getLogger(__name__)
 
@@ -47,13 +48,14 @@ def checked(rows: DataFrame, keys: list[str], name: str) -> DataFrame | None:
 
 def refresh_transactions(
     lake: Lake, events: str, table: str, id_col: str, link_key: str, ts_as: str, links: DataFrame,
-    since: datetime | str | None = None,
+    since: datetime | str | None = None, bits: bool = False,
 ) -> None:
     """Clean the events whose id is not in ``table`` yet and append them.
 
     Known ids leave before the de-duplication, so its shuffle carries new events only. With
     ``since`` only events that landed then or later are looked at, by the clock of the ingest, and older
-    files are skipped; events without a landing time are always looked at. Events whose price times
+    files are skipped; events without a landing time are always looked at. With ``bits`` bitmaps beside the table
+    prove most new ids new, and only the others are looked for in it. Events whose price times
     quantity is no amount of money go to ``<table>_rejects`` as they came.
     """
     source = lake.load(events)
@@ -62,7 +64,11 @@ def refresh_transactions(
     if since is not None:
         landed = F.col(LANDED) >= F.lit(since).cast("timestamp")
         source = stage(source.where(landed | F.col(LANDED).isNull()))
-    fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col], small=since is not None)
+    known_ids = KnownKeys(lake, table, [id_col])
+    if bits:
+        fresh = known_ids.new_rows(source)
+    else:
+        fresh = clean.new_rows_only(source, lake.load_or_empty(table), [id_col], small=since is not None)
     fresh = stage(fresh.drop(LANDED))
     broken = no_amount(F.col("unit_price_at_sale") * F.col("quantity_purchased"))
     rejected = fresh.where(broken)
@@ -74,7 +80,10 @@ def refresh_transactions(
     rows = clean.clean_transactions(fresh, id_col, link_key, links, "anime_id", ts_as)
     batch = checked(rows, [id_col], table)
     if batch is not None:
-        lake.append(table, batch)
+        if bits:
+            known_ids.append(batch)
+        else:
+            lake.append(table, batch)
 
 
 def product_links(lake: Lake) -> DataFrame:
@@ -172,16 +181,16 @@ def refresh_concessions(lake: Lake) -> None:
         lake.publish(table, rows)
 
 
-def run_bronze_to_silver(lake: Lake, since: datetime | str | None = None) -> None:
-    """All silver tables, in dependency order; ``since`` limits the event tables to later arrivals."""
+def run_bronze_to_silver(lake: Lake, since: datetime | str | None = None, bits: bool = False) -> None:
+    """All silver tables, in dependency order; ``since`` limits the event tables to later arrivals, ``bits`` keeps bitmaps of their ids."""
     links = stage(product_links(lake))
     refresh_transactions(
         lake, SALES, "silver.silver_pos_transactions_clean", "transaction_id", "product_id",
-        "transaction_ts", links, since,
+        "transaction_ts", links, since, bits,
     )
     refresh_transactions(
         lake, BOOKINGS, "silver.silver_ticket_bookings_clean", "booking_id", "screening_id",
-        "booking_ts", screening_links(lake), since,
+        "booking_ts", screening_links(lake), since, bits,
     )
     refresh_products(lake, links)
     refresh_customers(lake)
