@@ -7,7 +7,7 @@ the latest register. Registers of two texts agree with the chance of their proba
 shingles that occur once is the ordinary one.
 
 Equal texts become one node first. Registers in bands give buckets; nodes in one bucket are candidates.
-A bucket never becomes all its pairs (see ``_remaining`` and ``_own_mass``): its members are compared with a leader, links that hold join
+A bucket never becomes all its pairs (see ``_remaining`` and ``_prefixes``): its members are compared with a leader, links that hold join
 components, and only members that are still outside their bucket's largest component are compared further,
 with the members of other components. So a bucket of copies costs one comparison each, and no link between
 candidates of different components stays unseen. Verification computes the likeness from the texts.
@@ -30,7 +30,7 @@ from .common import Memo, map_texts
 from .components import components, rooted
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
-LEADERS, CROWD = 64, 4
+LEADERS, CROWD = 4096, 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -233,11 +233,14 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _own_mass(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node`` and ``own``: the share of its weight in shingles that no other of ``nodes`` has; only nodes with some.
+def _prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``bucket`` (a shingle), ``node`` and ``before``: the rarest shingles of each of ``nodes`` that a second one has too.
 
-    Shares p and q of two nodes bound their likeness: whatever the shared shingles are, it is at most
-    (1 - p)(1 - q) / (1 - pq). Shingles are counted in a shuffle by themselves, combined on the map side.
+    All shingles have one order, the rarest among ``nodes`` first; ``before`` is the share of a node's weight that
+    comes before this one. Of the shingles that two nodes share, take the first: neither shares what it has before it, and two
+    nodes can't be alike by more than the share of either one that both have. So nodes alike by ``least`` meet at a shingle
+    before which each has ``1 - least`` of its weight at most. Shingles are counted in a shuffle by themselves,
+    combined on the map side; only the order within one text is made in one task.
     """
     def start():
         memo = word_hashes()
@@ -249,32 +252,38 @@ def _own_mass(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         return listed
 
     own = map_texts(texts.join(nodes, "node", "left_semi"), "text", ["node"], "shingle array<bigint>, share array<double>", start)
-    each = own.select("node", F.explode(F.arrays_zip("shingle", "share")).alias("x")).select("node", "x.shingle", "x.share")
-    single = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("share").alias("share")).where(F.col("n") == 1)
-    return single.groupBy("node").agg(F.sum("share").alias("own"))
+    each = stage(own.select("node", F.explode(F.arrays_zip("shingle", "share")).alias("x")).select("node", "x.shingle", "x.share"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    ranked = each.join(often, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    earlier = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranked.withColumn("before", F.coalesce(F.sum("share").over(earlier), F.lit(0.0)))
+    return first.where((F.col("n") > 1) & (F.col("before") <= F.lit(1 - least + 1e-9))).select(F.col("shingle").alias("bucket"), "node", "before")
 
 
 def _within(p: Column, q: Column, least: float) -> Column:
-    """False if nodes with the own shares p and q can't be alike by ``least``."""
+    """False if nodes that do not share p and q of their weight can't be alike by ``least``.
+
+    Whatever the shared shingles are, the likeness is at most (1 - p)(1 - q) / (1 - pq).
+    """
     return (1 - p) * (1 - q) >= F.lit(least) * (1 - p * q) - F.lit(1e-9)
 
 
 def _possible(members: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``bucket``, ``node`` and ``own`` of the members that may be alike to another one of their bucket.
+    """``bucket``, ``node`` and ``before`` of the members that may be alike to another one of their bucket.
 
-    Buckets of ``CROWD`` components or more are looked at: a node leaves such a bucket if its own share and
-    the least one in the bucket rule it out. Elsewhere the own share counts as nothing. A family of texts that
-    all lie a little under ``least`` so leaves without a comparison of its members.
+    Buckets of ``CROWD`` components or more are split: their nodes meet at their rarest shingles instead (see
+    ``_prefixes``), where every pair that is alike by ``least`` still meets, and a node leaves a shingle if the share it has
+    before it and the least one there rule it out. In the other buckets that share counts as nothing. A family of
+    texts that all lie a little under ``least`` so leaves without a comparison of its members.
     """
     placed = _labelled(members, labels, "node", "label")
     apart = placed.groupBy("bucket", "label").agg(F.lit(1)).groupBy("bucket").agg(F.count("*").alias("parts"))
-    crowded = apart.where(F.col("parts") >= CROWD).select("bucket")
-    there = stage(members.join(crowded, "bucket", "left_semi"))
-    own = _own_mass(there.select("node").distinct(), texts)
-    there = stage(there.join(own, "node", "left").select("bucket", "node", F.coalesce("own", F.lit(0.0)).alias("own")))
-    least_own = there.groupBy("bucket").agg(F.min("own").alias("least_own"))
-    stays = there.join(least_own, "bucket").where(_within(F.col("own"), F.col("least_own"), least)).select("bucket", "node", "own")
-    return stage(stays.unionByName(members.join(crowded, "bucket", "left_anti").withColumn("own", F.lit(0.0))))
+    crowded = stage(apart.where(F.col("parts") >= CROWD).select("bucket"))
+    there = members.join(crowded, "bucket", "left_semi").select("node").distinct()
+    met = stage(_prefixes(there, texts, least))
+    least_there = met.groupBy("bucket").agg(F.min("before").alias("least_before"), F.count("*").alias("n")).where(F.col("n") > 1)
+    stays = met.join(least_there, "bucket").where(_within(F.col("before"), F.col("least_before"), least)).select("bucket", "node", "before")
+    return stage(stays.unionByName(members.join(crowded, "bucket", "left_anti").select("bucket", "node", F.lit(0.0).alias("before"))))
 
 
 def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
@@ -283,7 +292,7 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
     Each round takes some such members of every bucket, one at first and eight times as many in each further
     round, ``LEADERS`` at most: the first ones tie most of a large group together, and what is in one component
     needs no comparison any more. Components only ever join, so once every member outside has had its turn, any two members of one
-    bucket are in one component or have been compared. Shingles of its own and registers that differ too often rule a pair out
+    bucket are in one component or have been compared. Shares of weight that can't be shared and registers that differ too often rule a pair out
     while the bucket's members meet; the texts of the others are compared.
     """
     members = _possible(members, labels, texts, least)
@@ -292,17 +301,17 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where(F.col("parts") > 1)
-        mixed = stage(placed.join(largest, "bucket").join(sketched, "node").select("bucket", "node", "own", "label", "main", "sketch"))
+        mixed = stage(placed.join(largest, "bucket").join(sketched, "node").select("bucket", "node", "before", "label", "main", "sketch"))
         outside = mixed.where(F.col("label") != F.col("main"))
         if done is not None:
             outside = outside.join(done, ["bucket", "node"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy("node")
         nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= most + 1)
-        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("own").alias("p"), "nth"))
+        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("before").alias("p"), "nth"))
         leaders = turns.where(F.col("nth") <= most).drop("nth")
         now = leaders.select("bucket", F.col("u").alias("node"))
         pairs = (
-            mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _within(F.col("p"), F.col("own"), least) & _may_be_alike("b", "sketch", numbers, least))
+            mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _within(F.col("p"), F.col("before"), least) & _may_be_alike("b", "sketch", numbers, least))
             .select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
         )
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"))

@@ -167,6 +167,25 @@ def test_own_shares_bound_the_likeness():
         assert near.likeness((a, x), (b, y)) <= (1 - p) * (1 - q) / (1 - p * q + 1e-12) + 1e-9
 
 
+def test_pairs_at_the_threshold_meet_at_a_rare_shingle(spark):
+    """Every pair alike by 0.8 has a shingle among the prefixes of both, before which the bound holds."""
+    texts = family(40, 2, words=250) + family(40, 6, words=250, seed=3) + ["one two three"] * 2 + ["x y " * 60, "x y " * 55]
+    rows = spark.createDataFrame([(bytes([n]), t) for n, t in enumerate(texts)], "node binary, text string")
+    met = {}
+    for bucket, node, before in near._prefixes(rows.select("node"), rows, 0.8).collect():
+        assert before <= 0.2 + 1e-6
+        met.setdefault(node[0], {})[bucket] = before
+    sets = [near.shingles(t, near.word_hashes()) for t in texts]
+    linked = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if near.likeness(sets[a], sets[b]) >= 0.8:
+                linked += 1
+                common = met.get(a, {}).keys() & met.get(b, {}).keys()
+                assert any((1 - p) * (1 - q) >= 0.8 * (1 - p * q) - 1e-9 for p, q in ((met[a][s], met[b][s]) for s in common))
+    assert linked > 20
+
+
 def test_a_family_below_the_threshold_costs_no_pairs(spark, monkeypatch):
     """Twice the family gives about twice the verified pairs, and the classes of all pairs."""
     seen = []
