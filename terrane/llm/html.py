@@ -5,10 +5,12 @@ element that holds blocks is a node. A classifier with the fixed weights below g
 content; the costs of either label, softplus of the evidence with either sign, are its capacities to the two
 terminals. Smoothness edges tie blocks that follow each other, more when they are near in the DOM, and
 every node to its parent element. The maximum flow leaves the cheapest cut: nodes on the source's side are
-content. Parts whose markup says what they are (navigation, footers, forms, scripts) are tied to the sink.
+content. Parts whose markup says what they are (navigation, footers, forms, scripts) are tied to the sink, but not a form
+around most of the page's long blocks, nor the header of an entry.
 
 The text has character references decoded, each run of white space as one space, and one block a line. ``br``
-is white space; table cells and list items are blocks.
+is white space; table cells and list items are blocks. Text of buttons, labels and choices inside a block is left out of it.
+Words of scripts without spaces are counted by their letters. Time and memory grow with the page, however deep its elements.
 
 Edge cases: NULL and empty html, and pages without content give an empty text; unclosed and misplaced tags
 are closed as browsers do for paragraphs, items and cells; an unclosed comment, script, style or textarea runs to the end, what
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -43,7 +45,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|style|hidden|aria-hidden)\b(
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2"
-    " h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th"
+    " h3 h4 h5 h6 header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th"
     " thead title tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +53,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol menu dl table body div section article main aside nav header footer form".split())
 _SINK = frozenset("nav footer aside form menu button select dialog option label input search".split())
+_INLINE = frozenset("button label select option optgroup".split())
+_HEADED = frozenset("article entry post story".split())
 _BAD = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright"
     " disclaimer discussion disqus feedback footer gdpr header legal login masthead menu meta modal nav navbar navigation newsletter notice"
@@ -61,38 +65,51 @@ _BAD = frozenset(
 _GOOD = frozenset("article body content entry main post story text".split())
 _PHRASES = re.compile(r"©|\(c\) \d{4}|all rights reserved|cookie|subscribe|newsletter|sign up|log in|privacy policy|terms of (?:use|service)|read more|click here", re.I)
 
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_P, _H1, _HEADING, _TITLE = 1, 2, 4, 8
+_UNDER = {"p": _P, "h1": _H1 | _HEADING, "title": _TITLE} | dict.fromkeys("h2 h3 h4 h5 h6".split(), _HEADING)
+
 SMOOTH, PARENT, FAR = 0.8, 0.5, 24.0
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "depth", "score", "sink", "suspect", "chars", "holds", "text", "link", "words")
+    __slots__ = ("tag", "parent", "depth", "score", "sink", "suspect", "form", "chars", "prose", "titled", "above", "inside", "under", "text", "link", "words")
 
     def __init__(self, tag: str, parent: _Node | None):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
-        self.score, self.sink, self.suspect, self.chars, self.holds = 0.0, False, False, 0, False
+        self.score, self.sink, self.suspect, self.form = 0.0, False, False, False
+        # Of the text below: its length, that of its long blocks, whether an h1 or an article holds some of it.
+        self.chars, self.prose, self.titled, self.above = 0, 0, False, False
+        # Of the elements above: whether one is an article, and marks of headings and paragraphs, this one included.
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.under = (parent.under if parent else 0) | _UNDER.get(tag, 0)
         self.text, self.link, self.words = "", 0, 0
 
 
 def _describe(node: _Node, attrs: str) -> None:
     """Evidence from the tag and its attributes."""
-    inside = node.parent
-    in_article = False
-    while inside and not in_article:
-        in_article, inside = inside.tag in ("article", "main"), inside.parent
     if node.tag in ("article", "main"):
         node.score += 2.5
-    if node.tag in _SINK or (node.tag == "header" and not in_article):
-        node.suspect = True
+    node.form = node.tag == "form"
+    node.suspect = node.tag in _SINK and not node.form
+    header = node.tag == "header" and not node.inside
+    headed = False
     for name, a, b, c in _ATTRIBUTE.findall(attrs) if attrs.strip() else ():
         value = a or b or c
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value.lower() == "true") or (name.lower() == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
             node.sink = True
         elif name.lower() != "style":
             named = {x.lower() for x in _NAME.findall(value)}
-            if named & _BAD and node.tag not in ("article", "main", "body", "html", "h1"):
-                node.suspect = True
+            bad = named & _BAD
+            headed = headed or bool(named & _HEADED)
+            if "header" in bad and named & _HEADED:
+                bad = bad - {"header"}
+            if bad and node.tag not in ("article", "main", "body", "html", "h1"):
+                node.form = node.form or "form" in bad
+                node.suspect = node.suspect or bad != {"form"}
             if named & _GOOD:
                 node.score += 1.5
+    node.suspect = node.suspect or (header and not headed)
 
 
 def read(html: str) -> list[_Node]:
@@ -101,20 +118,27 @@ def read(html: str) -> list[_Node]:
     blocks: list[_Node] = []
     parts: list[str] = []
     linked = at = links = 0
+    opened = Counter()
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            block = _Node("#text", now)
-            block.text, block.link, block.words = text, min(linked, len(text)), text.count(" ") + 1
+            owner = now
+            while owner.tag in _INLINE:  # what was said before it
+                owner = owner.parent
+            block = _Node("#text", owner)
+            block.text, block.link = text, min(linked, len(text))
+            block.words = max(text.count(" ") + 1, 0 if text.isascii() else len(_UNSPACED.findall(text)) // 3)
             blocks.append(block)
         parts.clear()
         linked = 0
 
     def say(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and now.tag in _INLINE:
+            parts.append(" ")
+        elif raw:
             raw = unescape(raw)
             parts.append(raw)
             if links:
@@ -123,13 +147,17 @@ def read(html: str) -> list[_Node]:
     def close(tags: frozenset | set, scope: frozenset = frozenset()) -> None:
         """Back to the parent of the nearest open element of ``tags``, if it is in scope."""
         nonlocal now
+        if not any(opened[x] for x in tags):
+            return
         seek = now
         while seek is not root and seek.tag not in tags:
             if seek.tag in scope:
                 return
             seek = seek.parent
         if seek is not root:
-            now = seek.parent
+            while now is not seek.parent:
+                opened[now.tag] -= 1
+                now = now.parent
 
     unended: set[str] = set()
     while found := _TOKEN.search(html, at):
@@ -153,9 +181,11 @@ def read(html: str) -> list[_Node]:
             parts.append("")
         elif tag == "br":
             parts.append(" ")
-        elif tag in _BLOCK or tag in _SINK:
+        elif tag in _BLOCK or tag in _SINK or tag in _INLINE:
             if tag in _BLOCK:
                 flush()
+                if now.tag == "label":  # one that nothing has ended
+                    close({"label"})
                 links = 0
             if ends:
                 close({tag})
@@ -166,6 +196,7 @@ def read(html: str) -> list[_Node]:
                         close(_CLOSES[tag], _SCOPE if tag in ("li", "dt", "dd", "option") else frozenset({"table"}))
                 if tag not in _VOID:
                     now = _Node(tag, now)
+                    opened[tag] += 1
                     _describe(now, found["attrs"] or "")
     say(html[at:])
     flush()
@@ -174,34 +205,39 @@ def read(html: str) -> list[_Node]:
 
 def _judge(blocks: list[_Node]) -> None:
     """Evidence of each block; suspect elements become sinks unless they hold most of the page or its article."""
-    total = sum(len(b.text) for b in blocks)
+    elements, seen = [], set()
     for b in blocks:
-        up, main = b.parent, False
-        while up:
-            up.chars += len(b.text)
-            main = main or up.tag in ("article", "main")
-            up.holds = up.holds or (main and up.tag not in ("article", "main")) or b.parent.tag == "h1" and up.tag in ("form", "div", "section")
+        b.parent.chars += len(b.text)
+        b.parent.titled = b.parent.titled or b.parent.tag == "h1"
+        b.parent.prose += len(b.text) if b.words >= 15 and 2 * b.link < len(b.text) else 0
+        up = b.parent
+        while up and id(up) not in seen:
+            seen.add(id(up))
+            elements.append(up)
             up = up.parent
+    elements.sort(key=lambda e: e.depth)
+    for e in reversed(elements[1:]):
+        up = e.parent
+        up.chars, up.prose = up.chars + e.chars, up.prose + e.prose
+        up.titled, up.above = up.titled or e.titled, up.above or e.above or e.tag in ("article", "main")
+    total, prose = (elements[0].chars, elements[0].prose) if elements else (0, 0)
+    for e in elements:
+        holds = (e.above and e.tag not in ("article", "main")) or (e.titled and e.tag in ("form", "div", "section"))
+        most = holds and e.chars > 0.3 * total
+        e.sink = e.sink or (e.parent is not None and e.parent.sink) or (e.suspect and not most) or (e.form and not most and 2 * e.prose <= prose)
     for b in blocks:
-        up, tags = b.parent, set()
-        while up:
-            tags.add(up.tag)
-            if up.sink or (up.suspect and not (up.holds and up.chars > 0.3 * total)):
-                b.sink = True
-            up = up.parent
-        b.sink = b.sink or "title" in tags
-        heading = any(t in tags for t in ("h1", "h2", "h3", "h4", "h5", "h6"))
+        b.sink = b.parent.sink or bool(b.under & _TITLE)
         b.score = 1.1 * math.log1p(b.words) - 2.2 - 6.0 * b.link / len(b.text)
         if b.text.rstrip("\"'”’»)")[-1:] in ".!?…:;。！？":
             b.score += 1.0
-        if "p" in tags:
+        if b.under & _P:
             b.score += 0.7
-        if "h1" in tags:
+        if b.under & _H1:
             b.score += 2.0
-        elif heading:
+        elif b.under & _HEADING:
             b.score += 0.8
         if b.words < 40 and _PHRASES.search(b.text):
-            b.score -= 0.5 if tags & {"article", "main"} else 2.5
+            b.score -= 0.5 if b.inside else 2.5
 
 
 def max_flow(edges: list[dict[int, float]], source: int, sink: int) -> set[int]:

@@ -3,6 +3,7 @@
 import html as escapes
 import itertools
 import re
+import time
 
 import duckdb
 import pytest
@@ -109,3 +110,30 @@ def test_formulas_objects_and_open_heads():
     for tag in ("script", "style", "textarea"):
         assert html.main_text(f"<article>{BODY[0]}<{tag}>{BODY[1]}</article>") == BOTH.split("\n")[0]
     assert html.main_text("<article>" + f"<iframe>{BODY[0]}" * 20_000).count("\n") == 19_999
+
+
+LONG = "This is a long sentence of the article that says quite a lot about many things, and it goes on."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<p>{LONG} <button>Share this page</button>And more.</p><p><label>Email</label> <input>{LONG}</p>", f"{LONG} And more.\n{LONG}"),
+    (f"<body><form><div><p>{LONG}</p><p>{LONG}</p></div><label>Name</label><button>Go</button></form></body>", f"{LONG}\n{LONG}"),
+    (f"<form><label>Search the site</label><input><button>Find</button></form><p>{LONG}</p>", LONG),
+    (f"<p>{LONG}<select><option>One<option>Two</select> Yes.</p>", f"{LONG} Yes."),
+    (f"<header class='entry-header'><h1>Head</h1></header><div class='entry-content'><p>{LONG}</p></div>", f"Head\n{LONG}"),
+    (f"<div class='article-header'><h1>Head</h1></div><p>{LONG}</p><header class='site-header'><h1>Blog</h1></header>", f"Head\n{LONG}"),
+    (f"<div>{'日本語の文章がここにあります。' * 6}</div>", "日本語の文章がここにあります。" * 6),
+    (f"<div><label>Name<p>{LONG}</p></div>", LONG),
+])
+def test_parts_inside_and_around_articles(page, text):
+    assert html.main_text(page) == text
+
+
+def test_deep_pages_take_linear_time():
+    def seconds(n):
+        start = time.process_time()
+        assert html.main_text("<div>some words here " * n + f"<p>{LONG}").endswith(LONG)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(50_000) < 25 * max(seconds(5_000), 0.05)
