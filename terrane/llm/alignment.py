@@ -3,7 +3,8 @@
 Rows of equal text meet in a shuffle by the text itself; one of them is tokenised, and its multiplicity
 weighs what it adds to the counts. Both tokenizers see a space and the text. Where a single space stands
 between signs that are no white space, neither has a token across it, so a text is cut there into cells, which often
-repeat; a task remembers the tokens and links of cells. Inside a cell, offsets where tokens
+repeat; a task remembers the tokens and links of cells. New cells go to tokenizer A several at a time,
+laid end to end. Inside a cell, offsets where tokens
 of both end cut groups, and two tokens are linked if their bytes overlap.
 
 Texts go in chunks of a bounded number of signs (a longer text is a chunk of its own). A chunk carries the distinct id
@@ -34,13 +35,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..sources import stage
+from .common import spelling
 
 # A space that follows a sign and comes before one: no token of either kind reaches across it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _CHUNK = """chunk binary, digest array<binary>, times array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>,
 n_links array<bigint>, groups_sha256 array<string>, cells array<int>, ends array<int>, links array<int>, link_ends array<int>,
 pairs array<bigint>, weights array<bigint>"""
-_BATCH = 8192
+_BATCH, _RUN = 8192, 64
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
@@ -73,7 +75,7 @@ def _per(ends: np.ndarray, marks: np.ndarray) -> np.ndarray:
 class Cells:
     """Tokens, groups and links of cells, remembered for up to ``most`` cells under consecutive numbers."""
 
-    def __init__(self, a: str, b: str, most: int = 150_000):
+    def __init__(self, a: str, b: str, most: int = 250_000):
         # Tasks share the cores already; threads of the tokenizer's own would only take more memory and time.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
@@ -84,16 +86,17 @@ class Cells:
         # Byte-level entries: printable Latin-1 signs stand for themselves, the other bytes for 256 and up in their order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         sign = {chr(x): x for x in plain} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in set(plain))}
-        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
         for entry, i in self.a.get_vocab(with_added_tokens=False).items():
-            self.a_bytes[i] = bytes([sign[c] for c in entry]) if all(c in sign for c in entry) else b""
-        self.b_bytes = [
+            a_bytes[i] = bytes([sign[c] for c in entry]) if all(c in sign for c in entry) else b""
+        b_bytes = [
             bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
-        self.a_size, self.b_size = (np.array([len(x) for x in found], np.int64) for found in (self.a_bytes, self.b_bytes))
+        self.a_size, self.b_size = (np.array([len(x) for x in found], np.int64) for found in (a_bytes, b_bytes))
+        self.a_spelt, self.b_spelt = spelling(a_bytes), spelling(b_bytes)
         # An id and what follows it: another of its side, the other side, or the next group.
-        names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        names = [str(i) for i in range(max(len(a_bytes), len(b_bytes)))]
         self.written = [name + after for after in ",|;" for name in names]
         self.written_size = np.array([len(x) for x in self.written], np.int64)
         self.number: dict[str, int] = {}
@@ -124,31 +127,56 @@ class Cells:
             self._learn(new[at : at + _BATCH])
 
     def _learn(self, new: list[str]) -> None:
-        a = [x.ids for x in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        b = self.b.encode([c[1:] for c in new], num_threads=1)
-        raw = [c.encode() for c in new]
-        joined = lambda lists, entries: [b"".join(map(entries.__getitem__, ids)) for ids in lists]
-        same = [x == r == y for x, r, y in zip(joined(a, self.a_bytes), raw, joined(b, self.b_bytes), strict=True)]
-        good = [k for k, x in enumerate(same) if x]
+        odd = {c for c in new if c[1:2].isspace() or c[-1].isspace()}
+        plain = [c for c in new if c not in odd] if odd else new
+        new = [*plain, *odd]
+        length = np.array([len(c.encode()) for c in new], np.int64)
+        raw = np.frombuffer("".join(new).encode(), np.uint8)
+        a, n_a = self._a_ids(new, len(plain), length)
+        found = self.b.encode([c[1:] for c in new], num_threads=1)
+        b, n_b = _flat(found), np.array([len(x) for x in found], np.int64)
+        good = _spelt(a, n_a, self.a_size, self.a_spelt, length, raw) & _spelt(b, n_b, self.b_size, self.b_spelt, length, raw)
         sizes = np.full((4, len(new)), -1, np.int64)
-        groups, sizes[:, good], links = self._aligned([a[k] for k in good], [b[k] for k in good], np.array([len(raw[k]) for k in good], np.int64))
-        texts = [""] * len(new)
-        for k, text in zip(good, groups, strict=True):
-            texts[k] = text
+        groups, sizes[:, good], links = self._aligned(a[np.repeat(good, n_a)], n_a[good], b[np.repeat(good, n_b)], n_b[good], length[good])
+        texts = iter(groups)
+        self.groups += [next(texts) if x else "" for x in good.tolist()]
         per_cell = np.maximum(sizes[3], 0)
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.groups += texts
         self.sizes = np.concatenate([self.sizes, sizes], 1)
         self.link_starts = np.append(self.link_starts, self.link_starts[-1] + np.cumsum(per_cell))
         self.links = np.append(self.links, links)
 
-    def _aligned(self, a: list[list[int]], b: list[list[int]], length: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def _a_ids(self, cells: list[str], plain: int, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A, one cell's after another's, and how many each cell has.
+
+        The first ``plain`` cells have signs behind their space and at their end, so no token reaches from one into the next, and
+        ``_RUN`` of them are encoded as one text. If its tokens' bytes don't end where its cells do, its cells are encoded by themselves.
+        """
+        encoded = lambda texts: [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        runs = [slice(at, min(at + _RUN, plain)) for at in range(0, plain, _RUN)]
+        ids, counts, alone = [], [], []
+        for run, found in zip(runs, encoded(["".join(cells[run]) for run in runs]), strict=True):
+            found = np.array(found, np.int64)
+            ends, cell_ends = np.cumsum(self.a_size[found]), np.cumsum(length[run])
+            last = np.searchsorted(ends, cell_ends)
+            if len(ends) and ends[-1] == cell_ends[-1] and (ends[last] == cell_ends).all():
+                ids.append(found)
+                counts.append(np.diff(last, prepend=-1))
+            else:
+                alone.append((len(ids), run))
+                ids.append(None)
+                counts.append(None)
+        for at, run in [*alone, (len(ids), slice(plain, len(cells)))]:
+            each = encoded(cells[run])
+            ids[at:at + 1], counts[at:at + 1] = [_flat(each)], [np.array([len(x) for x in each], np.int64)]
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, length: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Of cells laid end to end: groups as text, the four sizes, and the links (a << 32 | b).
 
         Every cell's end is an end of both, so nothing reaches from one cell into the next.
         """
-        n_a, n_b = (np.array([len(x) for x in found], np.int64) for found in (a, b))
-        a, b, cell_ends = _flat(a), _flat(b), np.cumsum(length)
+        cell_ends = np.cumsum(length)
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         # The tokens of a group in their written order: those of A, then those of B.
@@ -182,6 +210,14 @@ def _total(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.append(0, np.cumsum(values))[ends], prepend=0)
 
 
+def _spelt(ids: np.ndarray, n: np.ndarray, size: np.ndarray, spell, length: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """For each cell, whether its ``n`` ids have the bytes of ``raw``, where cells of ``length`` bytes follow each other."""
+    good = _total(size[ids], np.cumsum(n)) == length
+    differ = spell(ids[np.repeat(good, n)]) != raw[np.repeat(good, length)]
+    good[good] = _total(differ, np.cumsum(length[good])) == 0
+    return good
+
+
 def _chunk(cells: Cells, texts: list[str], digests: list[bytes], times: list[int]) -> tuple:
     """One row of the schema ``_CHUNK``."""
     parts = [split(x) for x in texts]

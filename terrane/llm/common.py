@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,19 @@ def map_texts(
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
+def spelling(entries: Sequence[bytes]) -> Callable[[np.ndarray], np.ndarray]:
+    """Function from an array of token ids to their bytes, one after another."""
+    flat, size = np.frombuffer(b"".join(entries), np.uint8), np.array([len(x) for x in entries], np.int64)
+    start = np.cumsum(size) - size
+
+    def spell(ids: np.ndarray) -> np.ndarray:
+        n = size[ids]
+        ends = np.cumsum(n)
+        return flat[np.repeat(start[ids] - ends + n, n) + np.arange(n.sum())]
+
+    return spell
+
+
 class Memo(dict):
     """Bounded cache of a pure function of one value; it starts anew when it is full."""
 

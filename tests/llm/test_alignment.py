@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -117,3 +118,16 @@ def test_odd_rows(spark, odd, none):
     assert all((r.n_a == 0) == (r.groups_sha256 == "") for r in got)
     assert sum(r.n_a == 0 for r in got) == 3
     assert alignment.align(none, "doc_id", "text", V).count() == 0
+
+
+def test_cells_at_once_are_cells_by_themselves():
+    cells = [" one", " two\n", "  three", " é日", " <|endoftext|>", " four", "\tx", " a▁b", " five"]
+    together, alone = alignment.Cells(V.a, V.b), alignment.Cells(V.a, V.b)
+    together._learn(cells)
+    for c in cells:
+        alone._learn([c])
+    for c in cells:
+        i, j = together.number[c], alone.number[c]
+        assert together.groups[i] == alone.groups[j]
+        assert together.sizes[:, i].tolist() == alone.sizes[:, j].tolist()
+        assert together._links(np.array([i]))[0].tolist() == alone._links(np.array([j]))[0].tolist()
