@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, spelling
 
 MARK = "▁"
 _UNIT = re.compile(r" *[^ ]+| +")
@@ -141,16 +141,18 @@ class Lattices:
         left = np.repeat(self.end, lengths) - np.arange(len(points))
         # A space is the marker; the marker itself is a character outside the vocabulary.
         code = np.where(points == 0x20, ord(MARK), np.where(points == ord(MARK), 0x200000, points)).astype(np.uint64) + np.uint64(1)
-        longest = lookup.length
-        # grid[c, longest - n]: the token that takes the n characters from c on, or -1.
-        grid = np.full((len(points), longest), -1, np.int32)
         h, at = np.zeros(len(points), np.uint64), np.arange(len(points))
-        for n in range(1, longest + 1):
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # by length: nodes that a piece starts at, and the piece
+        for n in range(1, lookup.length + 1):
             at = at[left[at] >= n]
             h[at] = h[at] * _BASE + code[at + n - 1]
-            grid[at, longest - n] = lookup.find(h[at])
+            token = lookup.find(h[at])
+            hit = token >= 0
+            found.append((at[hit], token[hit]))
         self.spelled: list[list[int]] = []
-        bare = np.flatnonzero(grid[:, -1] < 0)
+        there = np.zeros(len(points), bool)
+        there[found[0][0]] = True
+        bare = np.flatnonzero(~there)
         values, which = np.unique(points[bare], return_inverse=True)
         spelled = []
         for x in values.tolist():
@@ -158,26 +160,39 @@ class Lattices:
             spelled.append(ids[0] if len(ids) == 1 else len(v.pieces) + len(self.spelled))
             if len(ids) > 1:
                 self.spelled.append(ids)
-        grid[bare, -1] = np.array(spelled, np.int32)[which]
-        weights = np.concatenate([v.weights, [sum(v.weights[i] for i in ids) for ids in self.spelled], [-np.inf]])
+        found[0] = tuple(map(np.concatenate, zip(found[0], (bare, np.array(spelled, np.int32)[which]), strict=True)))
+        weights = np.concatenate([v.weights, [sum(v.weights[i] for i in ids) for ids in self.spelled]])
+        arcs = np.zeros(len(points), np.int64)
+        for nodes, _ in found:
+            arcs[nodes] += 1
+        self.first = np.append(0, np.cumsum(arcs))
+        node = np.repeat(np.arange(len(points)), arcs)
+        self.token, self.span = np.empty(len(node), np.int32), np.empty(len(node), np.int32)
+        free = self.first[:-1].copy()
+        for n in range(lookup.length, 0, -1):
+            nodes, token = found[n - 1]
+            self.token[free[nodes]], self.span[free[nodes]] = token, n
+            free[nodes] += 1
         # Mass of all paths from a node to its word's end, nearest the end first. Sums are taken relative to
-        # the path that starts with one character, which is always there.
+        # the path that starts with one character, which is always there and the last of a node's arcs.
         mass = np.zeros(len(points) + 1)
         order = np.argsort(left, kind="stable")
+        number = arcs[order]
+        upto = np.cumsum(number)
+        listed = np.repeat(self.first[order] - (upto - number), number) + np.arange(len(node))
+        target = node + self.span
+        target[left[node] == self.span] = len(points)  # the word's end, whose mass is one
+        target, value = target[listed], weights[self.token[listed]]
         for a, b in zip(*_runs(left[order]), strict=True):
-            nodes, r = order[a:b], int(left[order[a]])
-            rest = mass[nodes + 1] if r > 1 else 0.0
-            usual = weights[grid[nodes, -1]] + rest
-            total = np.ones(len(nodes))
-            for n in range(2, min(longest, r) + 1):
-                total += np.exp(weights[grid[nodes, longest - n]] + (mass[nodes + n] if n < r else 0.0) - usual)
-            mass[nodes] = usual + np.log(total)
-        there = np.flatnonzero(grid.ravel() >= 0)
-        node, self.span = there // longest, longest - there % longest
-        self.token = grid.ravel()[there]
-        self.arc_log = weights[self.token] + np.where(left[node] == self.span, 0.0, mass[node + self.span]) - mass[node]
+            lo, hi = upto[a] - number[a], upto[b - 1]
+            value[lo:hi] += mass[target[lo:hi]]
+            usual = value[upto[a:b] - 1]
+            total = np.add.reduceat(np.exp(value[lo:hi] - np.repeat(usual, number[a:b])), upto[a:b] - number[a:b] - lo)
+            mass[order[a:b]] = usual + np.log(total)
+        self.arc_log = np.empty(len(node))
+        self.arc_log[listed] = value
+        self.arc_log -= mass[node]
         self.arc_p = np.exp(self.arc_log)
-        self.first = np.append(0, np.cumsum(np.bincount(node, minlength=len(points))))
         total = np.append(0.0, np.cumsum(self.arc_p))
         self.upto = total[1:] - total[self.first[node]]
 
@@ -389,7 +404,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
     kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64())]))
 
     def start():
-        sample, raw = sampler(shipped.value, k), shipped.value.raw().__getitem__
+        sample, spell = sampler(shipped.value, k), spelling(shipped.value.raw())
 
         def batches(texts):
             begin, chars = 0, 0
@@ -404,7 +419,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
             texts, seeds = ([x[c] for x in found if x["text"] is not None] for c in ("text", "seed"))
             samples = [s for part in batches(texts) for s in (sample(texts[part], seeds[part]) if texts[part] else [])]
             spaced = (f" {x}".encode() if x else b"" for x in texts)
-            same = iter([all(b"".join(map(raw, s[0].tolist())) == x for s in row) for x, row in zip(spaced, samples, strict=True)])
+            same = iter([all(spell(s[0]).tobytes() == x for s in row) for x, row in zip(spaced, samples, strict=True)])
             flat = [s for row in samples for s in row]
             ids = pa.ListArray.from_arrays(
                 pa.array(np.append(0, np.cumsum([len(s[0]) for s in flat], dtype=np.int64)), pa.int32()),
