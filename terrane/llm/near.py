@@ -30,7 +30,8 @@ from .common import Memo, map_texts
 from .components import components, rooted
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
-LEADERS, CROWD = 4096, 4
+LEADERS, CROWD, APART = 4096, 4, 16
+WIDE, EARLIER = 16, 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -233,26 +234,35 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``bucket`` (a shingle), ``node`` and ``before``: the rarest shingles of each of ``nodes`` that a second one has too.
-
-    All shingles have one order, the rarest among ``nodes`` first; ``before`` is the share of a node's weight that
-    comes before this one. Of the shingles that two nodes share, take the first: neither shares what it has before it, and two
-    nodes can't be alike by more than the share of either one that both have. So nodes alike by ``least`` meet at a shingle
-    before which each has ``1 - least`` of its weight at most. Shingles are counted in a shuffle by themselves,
-    combined on the map side; only the order within one text is made in one task.
-    """
+def _shares(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node``, its shingles, the share of its weight that each has, and a sketch of ``32 * WIDE`` registers."""
     def start():
         memo = word_hashes()
 
         def listed(rows):
             found = [shingles(x, memo) for x in rows]
-            return [s.view(np.int64).tolist() for s, _ in found], [(c / c.sum()).tolist() for _, c in found]
+            wide = iter(sketches(signatures([x for x in found if len(x[0])], 32 * WIDE)).tolist())
+            return [s.view(np.int64).tolist() for s, _ in found], [(c / c.sum()).tolist() for _, c in found], [next(wide) if len(s) else [] for s, _ in found]
 
         return listed
 
-    own = map_texts(texts.join(nodes, "node", "left_semi"), "text", ["node"], "shingle array<bigint>, share array<double>", start)
-    each = stage(own.select("node", F.explode(F.arrays_zip("shingle", "share")).alias("x")).select("node", "x.shingle", "x.share"))
+    return map_texts(texts.join(nodes, "node", "left_semi"), "text", ["node"], "shingle array<bigint>, share array<double>, sketch array<bigint>", start)
+
+
+def _prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    return _rarest(stage(_shares(nodes, texts)), least)
+
+
+def _rarest(shares: DataFrame, least: float) -> DataFrame:
+    """``bucket`` (a shingle), ``node`` and ``before``: the rarest shingles of each node of ``shares`` that a second one has too.
+
+    All shingles have one order, the rarest among these nodes first; ``before`` is the share of a node's weight that
+    comes before this one. Of the shingles that two nodes share, take the first: neither shares what it has before it, and two
+    nodes can't be alike by more than the share of either one that both have. So nodes alike by ``least`` meet at a shingle
+    before which each has ``1 - least`` of its weight at most. Shingles are counted in a shuffle by themselves,
+    combined on the map side; only the order within one text is made in one task.
+    """
+    each = shares.select("node", F.explode(F.arrays_zip("shingle", "share")).alias("x")).select("node", "x.shingle", "x.share")
     often = each.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     ranked = each.join(often, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
     earlier = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
@@ -268,22 +278,43 @@ def _within(p: Column, q: Column, least: float) -> Column:
     return (1 - p) * (1 - q) >= F.lit(least) * (1 - p * q) - F.lit(1e-9)
 
 
-def _possible(members: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``bucket``, ``node`` and ``before`` of the members that may be alike to another one of their bucket.
+def _possible(members: DataFrame, labels: DataFrame, sketched: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``bucket``, ``node``, ``before``, ``earlier`` and ``sketch`` of the members that may be alike to another one of their bucket.
 
-    Buckets of ``CROWD`` components or more are split: their nodes meet at their rarest shingles instead (see
-    ``_prefixes``), where every pair that is alike by ``least`` still meets, and a node leaves a shingle if the share it has
-    before it and the least one there rule it out. In the other buckets that share counts as nothing. A family of
-    texts that all lie a little under ``least`` so leaves without a comparison of its members.
+    Buckets of ``CROWD`` components or more, or with ``APART`` members or more outside the largest, are split: their nodes
+    meet at their rarest shingles instead (see ``_rarest``), where every pair that is alike by ``least`` still meets, and a
+    node leaves a shingle if the share it has before it and the least one there rule it out. ``earlier`` has the first
+    shingles of a node's prefix that come before this one, ``EARLIER`` at most: two nodes that have one of them in common
+    have met there, so they are compared at the first shingle they share, not at each. In the other buckets that share
+    counts as nothing. A family of texts that all lie a little under ``least`` so leaves without a comparison of its members.
     """
-    placed = _labelled(members, labels, "node", "label")
-    apart = placed.groupBy("bucket", "label").agg(F.lit(1)).groupBy("bucket").agg(F.count("*").alias("parts"))
-    crowded = stage(apart.where(F.col("parts") >= CROWD).select("bucket"))
+    sizes = _labelled(members, labels, "node", "label").groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    apart = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), (F.sum("n") - F.max("n")).alias("outside"))
+    crowded = stage(apart.where((F.col("parts") >= CROWD) | (F.col("outside") >= APART)).select("bucket"))
     there = members.join(crowded, "bucket", "left_semi").select("node").distinct()
-    met = stage(_prefixes(there, texts, least))
+    shares = stage(_shares(there, texts))
+    order = Window.partitionBy("node").orderBy("before")
+    nth = _rarest(shares, least).withColumn("nth", F.row_number().over(order))
+    earlier = F.collect_list(F.when(F.col("nth") <= EARLIER, F.col("bucket"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    met = stage(nth.withColumn("earlier", earlier).drop("nth"))
     least_there = met.groupBy("bucket").agg(F.min("before").alias("least_before"), F.count("*").alias("n")).where(F.col("n") > 1)
-    stays = met.join(least_there, "bucket").where(_within(F.col("before"), F.col("least_before"), least)).select("bucket", "node", "before")
-    return stage(stays.unionByName(members.join(crowded, "bucket", "left_anti").select("bucket", "node", F.lit(0.0).alias("before"))))
+    stays = met.join(least_there, "bucket").where(_within(F.col("before"), F.col("least_before"), least)).join(shares, "node")
+    others = members.join(crowded, "bucket", "left_anti").join(sketched, "node").withColumn("before", F.lit(0.0)).withColumn("earlier", F.array().cast("array<bigint>"))
+    columns = ["bucket", "node", "before", "earlier", "sketch"]
+    return stage(stays.select(columns).unionByName(others.select(columns)))
+
+
+def _meet(mixed: DataFrame, leaders: DataFrame, numbers: int, least: float) -> DataFrame:
+    """The pairs (u, v) of a leader and a member of another component of its bucket that may be alike.
+
+    Of two members outside the largest component the lesser one is the leader, and neither a shingle before this
+    one brought them together: rows of split buckets name each pair once, those of the others once a bucket.
+    """
+    once = ((F.col("label") == F.col("main")) | (F.col("u") < F.col("node"))) & ~F.arrays_overlap("e", "earlier")
+    # The members of one bucket have sketches of one size.
+    alike = F.when(F.size("b") == numbers, _may_be_alike("b", "sketch", numbers, least)).otherwise(_may_be_alike("b", "sketch", WIDE, least))
+    found = mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _within(F.col("p"), F.col("before"), least) & alike & once)
+    return found.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
 
 
 def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
@@ -292,28 +323,25 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
     Each round takes some such members of every bucket, one at first and eight times as many in each further
     round, ``LEADERS`` at most: the first ones tie most of a large group together, and what is in one component
     needs no comparison any more. Components only ever join, so once every member outside has had its turn, any two members of one
-    bucket are in one component or have been compared. Shares of weight that can't be shared and registers that differ too often rule a pair out
-    while the bucket's members meet; the texts of the others are compared.
+    bucket are in one component or have been compared. A member that has had its turn has met all of its bucket and meets
+    nobody again, and of two members outside, the lesser one meets the other. Shares of weight that can't be shared and
+    registers that differ too often rule a pair out while the bucket's members meet; the texts of the others are compared.
     """
-    members = _possible(members, labels, texts, least)
+    members = _possible(members, labels, sketched, texts, least)
     known, done, most = tested, None, 1
     while True:
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where(F.col("parts") > 1)
-        mixed = stage(placed.join(largest, "bucket").join(sketched, "node").select("bucket", "node", "before", "label", "main", "sketch"))
+        waiting = placed if done is None else placed.join(done, ["bucket", "node"], "left_anti")
+        mixed = stage(waiting.join(largest, "bucket").select("bucket", "node", "before", "earlier", "label", "main", "sketch"))
         outside = mixed.where(F.col("label") != F.col("main"))
-        if done is not None:
-            outside = outside.join(done, ["bucket", "node"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy("node")
         nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= most + 1)
-        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("before").alias("p"), "nth"))
+        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("before").alias("p"), F.col("earlier").alias("e"), "nth"))
         leaders = turns.where(F.col("nth") <= most).drop("nth")
         now = leaders.select("bucket", F.col("u").alias("node"))
-        pairs = (
-            mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _within(F.col("p"), F.col("before"), least) & _may_be_alike("b", "sketch", numbers, least))
-            .select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
-        )
+        pairs = _meet(mixed, leaders, numbers, least).distinct()
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"))
         links = stage(_verify(pairs, texts, least))
         if not links.isEmpty():

@@ -203,6 +203,19 @@ def test_a_family_below_the_threshold_costs_no_pairs(spark, monkeypatch):
     assert [classes(spark, mixed)[i] for i in range(50)] == exact(mixed)
 
 
+def test_members_of_a_crowded_bucket_meet_once(spark, monkeypatch):
+    """A dense family on both sides of the threshold: no pair is named at each shingle that both prefixes have."""
+    named = []
+    meet = near._meet
+    monkeypatch.setattr(near, "CROWD", 2)
+    monkeypatch.setattr(near, "_meet", lambda *given: (named.extend(tuple(map(bytes, r)) for r in meet(*given).collect()), meet(*given))[1])
+    texts = [" ".join(t.split()[:100]) for t in family(30, 7) + family(30, 9, seed=4)]
+    got = classes(spark, texts)
+    assert [got[i] for i in range(60)] == exact(texts)
+    assert len(set(got.values())) > 1
+    assert len(named) == len(set(named)) > 20
+
+
 def test_recall_of_pairs_at_the_threshold():
     """Texts alike by 0.8 share a bucket nearly always."""
     rng = np.random.default_rng(9)
