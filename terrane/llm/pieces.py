@@ -12,7 +12,8 @@ probabilities, 1 - exp(-exp(log p - threshold)). Their logarithms are returned:
 has a chance below the range of a double.
 
 Pieces never reach over the start of a run of spaces, so the lattice of a text is a chain of lattices of its
-words; those of a batch's distinct words are built once, and all words of a batch descend together in numpy.
+words; a task builds those of distinct words once and keeps them from batch to batch, up to a bound, and all words of a
+batch descend together in numpy.
 Noise is a hash of the row's seed, the path, the word and the step, so a row's samples don't depend on
 its neighbours or on a repeated task.
 
@@ -28,7 +29,6 @@ repeated results.
 from __future__ import annotations
 
 import heapq
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,9 +39,8 @@ from pyspark.sql import functions as F
 from .common import map_texts, spelling
 
 MARK = "▁"
-_UNIT = re.compile(r" *[^ ]+| +")
 _BASE, _ODD, _STEP = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_SLOT_BITS = 20
+_SLOT_BITS = 18
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -85,49 +84,55 @@ def load(path: str, sharpness: float = 1.0) -> Vocabulary:
     return Vocabulary(tuple(model.id_to_piece(i) if plain[i] else None for i in ids), sharpness * logs, tuple(byte_ids[b] for b in range(256)))
 
 
-class _Numbers(dict):
-    def __missing__(self, key):
-        self[key] = value = len(self)
-        return value
-
-
 class _Lookup:
-    """Pieces by a rolling hash of their characters: two direct tables, the second for clashes of the first."""
+    """Pieces, and what pieces begin with, by a rolling hash of their characters.
+
+    Direct tables: what clashes in one is in the next. A place holds the piece's id, -2 if pieces only begin so, -1 if it is free.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.length = max(len(p) for p in vocabulary.pieces if p)
-        self.tables = [(np.zeros(1 << _SLOT_BITS, np.uint64), np.full(1 << _SLOT_BITS, -1, np.int32)) for _ in range(2)]
+        known: dict[str, int] = {}
         for at, piece in enumerate(vocabulary.pieces):
             if piece:
-                h = 0
-                for c in piece:
-                    h = (h * int(_BASE) + ord(c) + 1) % 2**64
-                for k, (hashes, ids) in enumerate(self.tables):
-                    slot = int(self._slot(np.array([h], np.uint64), k)[0])
-                    if ids[slot] < 0:
-                        hashes[slot], ids[slot] = h, at
-                        break
-                else:
-                    raise ValueError("more than two pieces share a slot")
+                known.setdefault(piece, at)
+        for piece in list(known):
+            for n in range(len(piece) - 1, 0, -1):
+                if known.setdefault(piece[:n], -2) == -2 and n > 1 and piece[: n - 1] in known:
+                    break
+        size = np.fromiter(map(len, known), np.int64, len(known))
+        points = np.frombuffer("".join(known).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        begin, h, ids = np.cumsum(size) - size, np.zeros(len(size), np.uint64), np.fromiter(known.values(), np.int32, len(known))
+        for n in range(self.length):
+            on = np.flatnonzero(size > n)
+            h[on] = h[on] * _BASE + points[begin[on] + n]
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(h):
+            slot = self._slot(h, len(self.tables))
+            _, placed = np.unique(slot, return_index=True)
+            table = np.zeros(1 << _SLOT_BITS, np.uint64), np.full(1 << _SLOT_BITS, -1, np.int32)
+            table[0][slot[placed]], table[1][slot[placed]] = h[placed], ids[placed]
+            self.tables.append(table)
+            h, ids = np.delete(h, placed), np.delete(ids, placed)
 
     @staticmethod
     def _slot(h: np.ndarray, k: int) -> np.ndarray:
-        return ((h ^ h >> np.uint64(29)) * (_ODD if k == 0 else _STEP) >> np.uint64(64 - _SLOT_BITS)).astype(np.intp)
+        return ((h ^ h >> np.uint64(29)) * np.uint64((int(_ODD) + 2 * k * int(_STEP)) % 2**64) >> np.uint64(64 - _SLOT_BITS)).astype(np.intp)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        hashes, ids = self.tables[0]
-        slot = self._slot(h, 0)
-        out = np.where(hashes[slot] == h, ids[slot], -1)
-        miss = np.flatnonzero((out < 0) & (ids[slot] >= 0))
-        hashes, ids = self.tables[1]
-        slot = self._slot(h[miss], 1)
-        out[miss] = np.where(hashes[slot] == h[miss], ids[slot], -1)
+        """The ids; -2 where pieces only begin so, -1 where none does."""
+        out, todo = np.full(len(h), -1, np.int32), np.arange(len(h))
+        for k, (hashes, ids) in enumerate(self.tables):
+            slot = self._slot(h[todo], k)
+            there, same = ids[slot], hashes[slot] == h[todo]
+            out[todo[same]] = there[same]
+            todo = todo[(there != -1) & ~same]
         return out
 
 
 class Lattices:
-    """Lattices of the distinct words of a batch. A node is a character; its longest arc comes first.
+    """Lattices of distinct words. A node is a character; its longest arc comes first.
 
     ``token`` of an arc is a piece id, or beyond them a place in ``spelled``, byte ids of a character.
     """
@@ -141,7 +146,7 @@ class Lattices:
         left = np.repeat(self.end, lengths) - np.arange(len(points))
         # A space is the marker; the marker itself is a character outside the vocabulary.
         code = np.where(points == 0x20, ord(MARK), np.where(points == ord(MARK), 0x200000, points)).astype(np.uint64) + np.uint64(1)
-        h, at = np.zeros(len(points), np.uint64), np.arange(len(points))
+        self.pieces, h, at = len(v.pieces), np.zeros(len(points), np.uint64), np.arange(len(points))
         found: list[tuple[np.ndarray, np.ndarray]] = []  # by length: nodes that a piece starts at, and the piece
         for n in range(1, lookup.length + 1):
             at = at[left[at] >= n]
@@ -149,6 +154,7 @@ class Lattices:
             token = lookup.find(h[at])
             hit = token >= 0
             found.append((at[hit], token[hit]))
+            at = at[token != -1]  # pieces that are longer begin so
         self.spelled: list[list[int]] = []
         there = np.zeros(len(points), bool)
         there[found[0][0]] = True
@@ -167,7 +173,7 @@ class Lattices:
             arcs[nodes] += 1
         self.first = np.append(0, np.cumsum(arcs))
         node = np.repeat(np.arange(len(points)), arcs)
-        self.token, self.span = np.empty(len(node), np.int32), np.empty(len(node), np.int32)
+        self.token, self.span = np.empty(len(node), np.int32), np.empty(len(node), np.int16)
         free = self.first[:-1].copy()
         for n in range(lookup.length, 0, -1):
             nodes, token = found[n - 1]
@@ -176,10 +182,10 @@ class Lattices:
         # Mass of all paths from a node to its word's end, nearest the end first. Sums are taken relative to
         # the path that starts with one character, which is always there and the last of a node's arcs.
         mass = np.zeros(len(points) + 1)
-        order = np.argsort(left, kind="stable")
+        order = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")
         number = arcs[order]
         upto = np.cumsum(number)
-        listed = np.repeat(self.first[order] - (upto - number), number) + np.arange(len(node))
+        listed = _ranges(self.first[order], number)
         target = node + self.span
         target[left[node] == self.span] = len(points)  # the word's end, whose mass is one
         target, value = target[listed], weights[self.token[listed]]
@@ -192,10 +198,86 @@ class Lattices:
         self.arc_log = np.empty(len(node))
         self.arc_log[listed] = value
         self.arc_log -= mass[node]
-        self.arc_p = np.exp(self.arc_log)
-        total = np.append(0.0, np.cumsum(self.arc_p))
+        total = np.append(0.0, np.cumsum(np.exp(self.arc_log)))
         self.upto = total[1:] - total[self.first[node]]
 
+    def extend(self, other: Lattices) -> None:
+        """Put the words of another one behind those that are here."""
+        nodes, arcs = len(self.first) - 1, len(self.token)
+        self.start, self.end = np.append(self.start, other.start + nodes), np.append(self.end, other.end + nodes)
+        self.first = np.append(self.first, other.first[1:] + arcs)
+        self.token = np.append(self.token, np.where(other.token < self.pieces, other.token, other.token + np.int32(len(self.spelled))))
+        self.spelled = self.spelled + other.spelled
+        for name in ("span", "arc_log", "upto"):
+            setattr(self, name, np.append(getattr(self, name), getattr(other, name)))
+
+
+    def only(self, words: np.ndarray) -> None:
+        """Drop all words but these, which get new numbers in their order."""
+        size = self.end[words] - self.start[words]
+        nodes = _ranges(self.start[words], size)
+        self.end = np.cumsum(size)
+        self.start = self.end - size
+        number = self.first[nodes + 1] - self.first[nodes]
+        arcs = _ranges(self.first[nodes], number)
+        self.first = np.append(0, np.cumsum(number))
+        for name in ("token", "span", "arc_log", "upto"):
+            setattr(self, name, getattr(self, name)[arcs])
+        far = self.token >= self.pieces
+        used, which = np.unique(self.token[far], return_inverse=True)
+        self.token[far] = self.pieces + which
+        self.spelled = [self.spelled[i] for i in (used - self.pieces).tolist()]
+
+
+class _Words:
+    """Numbers and lattices of words, kept from batch to batch.
+
+    When they would have more than ``most`` bytes, only those stay that the batch has again.
+    """
+
+    def __init__(self, lookup: _Lookup, most: int = 3_000_000):
+        self.lookup, self.most = lookup, most
+        self.numbers: dict[bytes, int] = {}
+        self.net: Lattices | None = None
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of each text's words; a word starts with a run of spaces, and every text at a space of its own."""
+        spaced = [f" {x}".encode() if x else b"" for x in texts]
+        flat = np.frombuffer(b"".join(spaced), np.uint8)
+        ends = np.cumsum([len(x) for x in spaced])
+        cut = flat == 0x20
+        cut[1:] &= ~cut[:-1]
+        cut[[e - len(x) for e, x in zip(ends.tolist(), spaced, strict=True) if x]] = True
+        cuts = np.flatnonzero(cut)
+        if not len(cuts):
+            return [np.empty(0, np.int64) for _ in texts]
+        offsets = pa.py_buffer(np.append(cuts, len(flat)).astype(np.int64))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, offsets, pa.py_buffer(flat)]).dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter((self.numbers.get(w, -1) for w in words), np.int64, len(words))
+        fresh = np.flatnonzero(number < 0)
+        new = [words[i] for i in fresh.tolist()]
+        if new and self.net and self.net.end[-1] + sum(map(len, new)) > self.most:
+            again = np.flatnonzero(number >= 0)
+            self.net.only(number[again])
+            number[again] = np.arange(len(again))
+            self.numbers = {words[i]: at for at, i in enumerate(again.tolist())}
+        if new:
+            built = Lattices([w.decode() for w in new], self.lookup)
+            number[fresh] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            self.numbers.update(zip(new, number[fresh].tolist(), strict=True))
+            if self.net:
+                self.net.extend(built)
+            else:
+                self.net = built
+        return np.split(number[coded.indices.to_numpy()], np.searchsorted(cuts, ends[:-1]))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal neighbours."""
@@ -223,14 +305,12 @@ class _Path:
 class _Search:
     """Samples of one batch of texts."""
 
-    def __init__(self, texts: list[str], seeds: list[int], k: int, lookup: _Lookup):
+    def __init__(self, texts: list[str], seeds: list[int], k: int, words: _Words):
         self.k, self.texts = k, texts
-        numbers = _Numbers()
-        of_word = numbers.__getitem__
-        self.words = [np.fromiter(map(of_word, _UNIT.findall(" " + x)), np.int64) if x else np.empty(0, np.int64) for x in texts]
-        self.net = Lattices(list(numbers), lookup) if numbers else None
+        self.words = words.of(texts)
+        self.net = words.net
         self.seeds = np.array([s & 0xFFFFFFFFFFFFFFFF for s in seeds], np.uint64)
-        self.pieces = len(lookup.v.pieces)
+        self.pieces = len(words.lookup.v.pieces)
 
     def descend(self, turns: list[tuple[int, int, int, int, float, float]]) -> dict[int, tuple]:
         """Follow one path in each of several texts, from a turn: (text, path number, word, node, log p, value).
@@ -259,8 +339,10 @@ class _Search:
             while len(on):
                 arc[on] += 1
                 on = on[(arc[on] < last[on]) & (u[on] > net.upto[arc[on]])]
-            taken.append((active, step, arc, node, log_p[active], draw))
-            log_p[active] += net.arc_log[arc]
+            so_far = log_p[active]
+            chosen = net.arc_log[arc]
+            log_p[active] = so_far + chosen
+            taken.append((active, step, arc, node, so_far, chosen, draw))
             count[active] = step + 1
             place[active] = node + net.span[arc]
             active = active[place[active] < stop[active]]
@@ -273,12 +355,13 @@ class _Search:
         tokens = np.empty(count.sum(), np.int64)
         value = np.array([t[5] for t in turns])
         sets: list[tuple] = []
-        for occurrence, step_, arc, node, so_far, draw in taken:
+        for occurrence, step_, arc, node, so_far, chosen, draw in taken:
             tokens[at[occurrence] + step_] = net.token[arc]
-            other = np.flatnonzero(net.arc_p[arc] < 1 - 1e-12)
+            p = np.exp(chosen)
+            other = np.flatnonzero(p < 1 - 1e-12)
             o = occurrence[other]
             here = before[o] + so_far[other]
-            rest = here + np.log1p(-net.arc_p[arc[other]])
+            rest = here + np.log1p(-p[other])
             low = ((draw[other] & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32
             top = value[owner[o]]
             sets.append((owner[o], rest - np.log(np.exp(rest - top) - np.log(low)), word[o], node[other], here, arc[other]))
@@ -347,13 +430,14 @@ class _Search:
         minus, word, node, here, gone, parent = heapq.heappop(heap)
         arcs = np.arange(net.first[node], net.first[node + 1])
         arcs = arcs[[a not in gone for a in arcs.tolist()]]
-        share = net.arc_p[arcs] / net.arc_p[arcs].sum()
+        p = np.exp(net.arc_log[arcs])
+        share = p / p.sum()
         draw = _mix(self.seeds[i : i + 1] + np.array([number], np.uint64) * _ODD + np.uint64(7))[0]
         u = (int(draw >> np.uint64(32)) + 0.5) / 2**32
         pick = min(int(np.searchsorted(np.cumsum(share), u)), len(arcs) - 1)
         arc = int(arcs[pick])
         if len(arcs) > 1:
-            rest = here + float(np.log(max(net.arc_p[np.delete(arcs, pick)].sum(), 1e-300)))
+            rest = here + float(np.log(max(np.delete(p, pick).sum(), 1e-300)))
             low = (int(draw & np.uint64(0xFFFFFFFF)) + 0.5) / 2**32
             heapq.heappush(heap, (-float(rest - np.log(np.exp(rest + minus) - np.log(low))), word, node, here, (*gone, arc), parent))
         # The tokens of the parent's path up to this node, then the arc.
@@ -363,7 +447,7 @@ class _Search:
             reached += self._length(int(old.tokens[at]))
             at += 1
         prefix[i] = (np.append(old.tokens[:at], net.token[arc]), old.starts)
-        return (i, number, word, int(node + net.span[arc]), here + float(net.arc_log[arc]), -minus)
+        return (i, number, word, node + int(net.span[arc]), here + float(net.arc_log[arc]), -minus)
 
     def _length(self, token: int) -> int:
         return self.lengths[token] if token < self.pieces else 1
@@ -376,11 +460,11 @@ class _Search:
 
 def sampler(vocabulary: Vocabulary, k: int):
     """Function from texts and seeds to samples: for each text (ids, log-probability, log-inclusion) of each path."""
-    lookup = _Lookup(vocabulary)
+    words = _Words(_Lookup(vocabulary))
     lengths = [len(p) if p else 1 for p in vocabulary.pieces]
 
     def sample(texts: list[str], seeds: list[int]):
-        search = _Search(texts, seeds, k, lookup)
+        search = _Search(texts, seeds, k, words)
         search.lengths = lengths
         return search.run()
 

@@ -87,3 +87,35 @@ def test_rows(spark, odd, none, vocabulary):
     back = pieces.decode(rows.selectExpr("doc_id", "text AS given", "samples[0].ids AS ids"), "ids", vocabulary, ["given"]).collect()
     assert all(r.given == r.text for r in back)
     assert pieces.encode(none.drop("samples"), "doc_id", "text", vocabulary, ["doc_id"]).count() == 0
+
+
+def test_words_are_built_once_and_kept(vocabulary, monkeypatch):
+    """Later batches build lattices of new words only; a bound drops words, and changes no sample."""
+    built = []
+    lattices = pieces.Lattices
+    monkeypatch.setattr(pieces, "Lattices", lambda words, lookup: built.extend(words) or lattices(words, lookup))
+    batches = [["the old cat 日本"], ["the  old dog €x", "", "the old cat 日本"], ["a dog €x  ", "日本 the"], ["the old cat"]]
+    sample = pieces.sampler(vocabulary, 2)
+    whole = [sample(texts, [5] * len(texts)) for texts in batches]
+    assert len(built) == len(set(built)) == 9
+    monkeypatch.setattr(pieces._Words.__init__, "__defaults__", (25,))
+    small = pieces.sampler(vocabulary, 2)
+    for texts, wanted in zip(batches, whole, strict=True):
+        got = small(texts, [5] * len(texts))
+        assert [[s[0].tolist() for s in row] for row in got] == [[s[0].tolist() for s in row] for row in wanted]
+    assert len(built) > 2 * 9
+
+
+def test_lookup_knows_pieces_and_their_beginnings(vocabulary):
+    lookup = pieces._Lookup(vocabulary)
+    ids = {p: i for i, p in reversed(list(enumerate(vocabulary.pieces))) if p}
+    starts = {p[:n] for p in ids for n in range(1, len(p))}
+    probes = [*ids, *starts, "zzqx", "\x07", "▁日本語の"]
+    hashes = []
+    for probe in probes:
+        h = 0
+        for c in probe:
+            h = (h * int(pieces._BASE) + ord(c) + 1) % 2**64
+        hashes.append(h)
+    expected = [ids.get(p, -2 if p in starts else -1) for p in probes]
+    assert lookup.find(np.array(hashes, np.uint64)).tolist() == expected
