@@ -30,8 +30,9 @@ from .common import Memo, map_texts
 from .components import components, rooted
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
-LEADERS, CROWD, APART = 4096, 4, 16
-WIDE, EARLIER = 16, 16
+LEADERS, TURNS, TIES = 4096, 64, (4, 16, 64)
+CROWD, APART = 4, 16
+WIDE, EARLIER = 32, 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -310,25 +311,34 @@ def _meet(mixed: DataFrame, leaders: DataFrame, numbers: int, least: float) -> D
     Of two members outside the largest component the lesser one is the leader, and neither a shingle before this
     one brought them together: rows of split buckets name each pair once, those of the others once a bucket.
     """
-    once = ((F.col("label") == F.col("main")) | (F.col("u") < F.col("node"))) & ~F.arrays_overlap("e", "earlier")
+    of_main = (F.col("label") == F.col("main")) | (F.col("a") == F.col("main"))
+    once = (of_main | (F.col("u") < F.col("node"))) & ~F.arrays_overlap("e", "earlier")
     # The members of one bucket have sketches of one size.
     alike = F.when(F.size("b") == numbers, _may_be_alike("b", "sketch", numbers, least)).otherwise(_may_be_alike("b", "sketch", WIDE, least))
     found = mixed.join(leaders, "bucket").where((F.col("a") != F.col("label")) & _within(F.col("p"), F.col("before"), least) & alike & once)
     return found.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"))
 
 
+def _first(members: DataFrame, most: int, *order: Column) -> DataFrame:
+    """The first ``most`` of ``members`` in each bucket, with their place ``nth`` and the names that ``_meet`` gives to leaders."""
+    nth = members.withColumn("nth", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where(F.col("nth") <= most)
+    return nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("before").alias("p"), F.col("earlier").alias("e"), "nth")
+
+
 def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
     """Compare what is outside the largest component of its bucket with the members of other components.
 
-    Each round takes some such members of every bucket, one at first and eight times as many in each further
-    round, ``LEADERS`` at most: the first ones tie most of a large group together, and what is in one component
-    needs no comparison any more. Components only ever join, so once every member outside has had its turn, any two members of one
-    bucket are in one component or have been compared. A member that has had its turn has met all of its bucket and meets
-    nobody again, and of two members outside, the lesser one meets the other. Shares of weight that can't be shared and
+    Each round takes some such members of every bucket, ``TURNS`` at first and eight times as many in each further
+    round, ``LEADERS`` at most; what is in one component needs no comparison any more. Components only ever join, so once
+    every member outside has had its turn, any two members of one bucket are in one component or have been compared. A
+    member that has had its turn has met all of its bucket and meets nobody again, and of two members outside, the lesser
+    one meets the other. While a bucket has more members outside than have their turn, rounds come first in which
+    those outside meet members of the largest component, drawn by a hash, as many as ``TIES`` says: most that belong
+    to a large group join it by a few comparisons each, and have no turn any more. Shares of weight that can't be shared and
     registers that differ too often rule a pair out while the bucket's members meet; the texts of the others are compared.
     """
     members = _possible(members, labels, sketched, texts, least)
-    known, done, most = tested, None, 1
+    known, done, most, ties = tested, None, min(LEADERS, TURNS), list(TIES)
     while True:
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
@@ -336,11 +346,11 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
         waiting = placed if done is None else placed.join(done, ["bucket", "node"], "left_anti")
         mixed = stage(waiting.join(largest, "bucket").select("bucket", "node", "before", "earlier", "label", "main", "sketch"))
         outside = mixed.where(F.col("label") != F.col("main"))
-        turn = Window.partitionBy("bucket").orderBy("node")
-        nth = outside.withColumn("nth", F.row_number().over(turn)).where(F.col("nth") <= most + 1)
-        turns = stage(nth.select("bucket", F.col("node").alias("u"), F.col("label").alias("a"), F.col("sketch").alias("b"), F.col("before").alias("p"), F.col("earlier").alias("e"), "nth"))
-        leaders = turns.where(F.col("nth") <= most).drop("nth")
-        now = leaders.select("bucket", F.col("u").alias("node"))
+        turns = stage(_first(outside, most + 1, F.col("node")))
+        more = not turns.where(F.col("nth") > most).isEmpty()
+        tying = ties.pop(0) if more and ties else 0
+        drawn = F.xxhash64("node", F.lit(tying))
+        leaders = stage(_first(mixed.where(F.col("label") == F.col("main")), tying, drawn, F.col("node"))) if tying else turns.where(F.col("nth") <= most)
         pairs = _meet(mixed, leaders, numbers, least).distinct()
         pairs = stage(pairs.join(known, ["u", "v"], "left_anti"))
         links = stage(_verify(pairs, texts, least))
@@ -350,7 +360,9 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
             # The nodes of a component that joins another move with it, its root as well.
             everyone = labels.unionByName(moved.select(F.col("label").alias("node"), "label"))
             labels = stage(everyone.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
-        if turns.where(F.col("nth") > most).isEmpty():
+        if not more:
             return labels
-        done = now if done is None else stage(done.unionByName(now))
-        known, most = stage(known.unionByName(pairs)), min(LEADERS, 8 * most)
+        known = stage(known.unionByName(pairs))
+        if not tying:
+            now = leaders.select("bucket", F.col("u").alias("node"))
+            done, most = now if done is None else stage(done.unionByName(now)), min(LEADERS, 8 * most)
