@@ -1,7 +1,7 @@
 """Near-duplicate classes against all pairs, and the parts of the method."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -227,3 +227,16 @@ def test_recall_of_pairs_at_the_threshold():
         won = near.signatures([(s, np.ones(len(s), int)) for s in (one, two)], 128)
         hit += (near.buckets(won)[0] == near.buckets(won)[1]).any()
     assert hit >= 0.98 * 200
+
+
+def test_the_largest_component_gathers_its_members_first(spark, monkeypatch):
+    """While more members are outside than have their turn, they meet few members of the largest component of their bucket."""
+    rounds = []
+    meet = near._meet
+    monkeypatch.setattr(near, "TURNS", 2)
+    monkeypatch.setattr(near, "_meet", lambda mixed, leaders, *rest: rounds.append(leaders.join(mixed.select("bucket", "main").distinct(), "bucket").collect()) or meet(mixed, leaders, *rest))
+    texts = family(14, 4) + family(14, 9, seed=4)
+    got = classes(spark, texts, bands=12, rows=1)
+    assert [got[i] for i in range(len(texts))] == exact(texts)
+    assert rounds[0] and all(r.a == r.main for r in rounds[0])
+    assert all(n <= near.TIES[0] for n in Counter(r.bucket for r in rounds[0]).values())
