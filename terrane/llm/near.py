@@ -7,10 +7,12 @@ the latest register. Registers of two texts agree with the chance of their proba
 shingles that occur once is the ordinary one.
 
 Equal texts become one node first. Registers in bands give buckets; nodes in one bucket are candidates.
-A bucket never becomes all its pairs (see ``_remaining`` and ``_prefixes``): its members are compared with a leader, links that hold join
+Of buckets with the same members one is kept. A bucket of fewer than ``CROWD`` members meets in one task (see ``_links`` and
+``_joined``), the pairs that look most alike first; a pair in one component by then is not compared. A larger bucket is
+spread and never becomes all its pairs (see ``_remaining`` and ``_prefixes``): its members are compared with a leader, links that hold join
 components, and only members that are still outside their bucket's largest component are compared further,
 with the members of other components. So a bucket of copies costs one comparison each, and no link between
-candidates of different components stays unseen. Verification computes the likeness from the texts.
+candidates of different components stays unseen. Verification computes the likeness from all shingles of both texts.
 
 Edge cases: NULL texts are alone, each with its own key as class; texts without a word are only copies
 of equal ones; a text of fewer than ``SHINGLE`` words has one shingle of all of them; repeated rows are
@@ -19,7 +21,10 @@ copies; a NULL key has the class of its text's other rows, or NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +36,7 @@ from .components import components, rooted
 
 SHINGLE, BANDS, ROWS = 5, 25, 5
 LEADERS, TURNS, TIES = 4096, 64, (4, 16, 64)
-CROWD, APART = 4, 16
+CROWD, APART = 2048, 16
 WIDE, EARLIER = 32, 16
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -108,13 +113,18 @@ def sketches(won: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(parts, 2).view(np.int64)
 
 
-def _may_be_alike(a: str, b: str, numbers: int, least: float) -> Column:
-    """False if too many registers differ for a likeness of ``least``: five standard deviations above the mean.
+def _most_differ(numbers: int, least: float) -> int:
+    """How many registers of texts alike by ``least`` differ in their two bits at most: five standard deviations above the mean.
 
     Registers that differ show it in their two bits three times out of four.
     """
     differ, n = (1 - least) * 0.75, 32 * numbers
-    most = int(n * differ + 5 * (n * differ * (1 - differ)) ** 0.5)
+    return int(n * differ + 5 * (n * differ * (1 - differ)) ** 0.5)
+
+
+def _may_be_alike(a: str, b: str, numbers: int, least: float) -> Column:
+    """False if too many registers differ for a likeness of ``least``."""
+    most = _most_differ(numbers, least)
     def pairs(k: int) -> Column:
         x = F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))
         return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
@@ -168,6 +178,87 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return map_texts(both, "_both", ["u", "v"], "likeness double", start).where(F.col("likeness") >= least).select("u", "v")
 
 
+def _met(n: int, owner: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Whether two of ``n`` members have one of these buckets in common; ``owner`` names the member that has a bucket."""
+    met = np.zeros((n, n), bool)
+    order = np.argsort(bucket, kind="stable")
+    owner, cuts = owner[order], np.flatnonzero(np.diff(bucket[order])) + 1
+    for both in np.split(owner, cuts):
+        if len(both) > 1:
+            met[np.ix_(both, both)] = True
+    return met
+
+
+def _joined(sketch: np.ndarray, met: np.ndarray, likeness_of: Callable[[int, int], float], least: float) -> list[tuple[int, int]]:
+    """Links that tie the members of one bucket together as all its pairs would, but for those that have ``met``.
+
+    ``sketch`` has a row for each member. Pairs that look most alike come first, and what is in one component already needs
+    no comparison, so a family alike by more than ``least`` costs little more than one comparison for each member.
+    """
+    n, most = len(sketch), _most_differ(sketch.shape[1], least)
+    block, found = max(1, (1 << 15) // n), []
+    for a in range(0, n - 1, block):
+        x = sketch[a : a + block, None] ^ sketch[None, a + 1 :]
+        differ = np.bitwise_count((x | x >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(2, dtype=np.int32)
+        i, j = np.nonzero((differ <= most) & ~met[a : a + block, a + 1 :] & (np.arange(len(x))[:, None] <= np.arange(x.shape[1])[None]))
+        found.append((differ[i, j].astype(np.int16), (i + a).astype(np.int32), (j + a + 1).astype(np.int32)))
+    differ, i, j = map(np.concatenate, zip(*found, strict=True))
+    order = np.argsort(differ, kind="stable")
+    i, j, label, links = i[order], j[order], np.arange(n), []
+    while len(i):
+        for a, b in zip(i[:n].tolist(), j[:n].tolist(), strict=True):
+            if label[a] != label[b] and likeness_of(a, b) >= least:
+                links.append((a, b))
+                label[label == label[b]] = label[a]
+        i, j = i[n:], j[n:]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    return links
+
+
+def _links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (u, v) that tie together what the pairs of each bucket would; ``members`` has ``bucket`` and ``node``.
+
+    The rows of a bucket meet in one task with their shingles, so ``CROWD`` bounds what a task holds. Two members are compared
+    in the first of the buckets that both are in.
+    """
+    lists = members.groupBy("node").agg(F.collect_list("bucket").alias("all"))
+    rows = lists.join(sets, "node").select(F.explode("all").alias("bucket"), "node", "all", "shingle", "times", "sketch")
+
+    def whole(batch: pa.RecordBatch, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The links of the buckets between these cuts of sorted rows."""
+        bucket = batch.column("bucket").to_numpy()
+        flat = {c: (batch.column(c).flatten().to_numpy(), np.append(0, np.cumsum(batch.column(c).value_lengths().to_numpy()))) for c in ("all", "shingle", "times", "sketch")}
+        (every, each), (shingle, at), (times, _) = flat["all"], flat["shingle"], flat["times"]
+        sketch = flat["sketch"][0].view(np.uint64).reshape(-1, WIDE)
+        shingle = shingle.view(np.uint64)
+        left, right = [], []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            owner, others = np.repeat(np.arange(b - a), np.diff(each[a : b + 1])), every[each[a] : each[b]]
+            before = others < bucket[a]
+
+            def alike(i: int, j: int) -> float:
+                return likeness(*[(shingle[at[k] : at[k + 1]], times[at[k] : at[k + 1]]) for k in (a + i, a + j)])
+
+            for i, j in _joined(sketch[a:b], _met(b - a, owner[before], others[before]), alike, least):
+                left.append(a + i)
+                right.append(a + j)
+        node = batch.column("node")
+        yield pa.RecordBatch.from_arrays([node.take(pa.array(x, pa.int64())) for x in (left, right)], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # its end may go on in the next batch
+        for batch in batches:
+            batch = pa.concat_batches([last, batch]) if last is not None else batch
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(batch.column("bucket").to_numpy())) + 1])
+            yield from whole(batch, cuts)
+            last = batch.slice(cuts[-1])
+        if last is not None and last.num_rows:
+            yield from whole(last, np.array([0, last.num_rows]))
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "u binary, v binary")
+
+
 def _node(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
@@ -194,24 +285,38 @@ def node_classes(docs: DataFrame, key: str, text: str, least: float = 0.8, bands
     signed = stage(map_texts(given, "text", ["node", "key"], "buckets array<bigint>, sketch array<bigint>", start))
     nodes = stage(signed.groupBy("node").agg(F.min("key").alias("key"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")))
     each = nodes.select("node", F.explode("buckets").alias("bucket"))
-    shared = each.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where(F.col("n") > 1).select("bucket", "leader")
-    members = stage(each.join(shared, "bucket"))
+    sizes = each.groupBy("bucket").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)]).where(F.col("n") > 1)
+    # Of buckets with the same members one is enough.
+    shared = sizes.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    members = stage(each.join(shared, "bucket").select("bucket", "node", "n"))
     # Texts of the candidates only, one for each node. Copies are told apart by their key before they meet.
     doc = F.struct("node", "key").alias("doc")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(doc)
-    texts = stage(given.withColumn("doc", doc).join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).select("node", "text"))
-
-    # Each node first meets the leader with which it shares most buckets.
-    star = members.where(F.col("node") != F.col("leader")).groupBy(F.col("leader").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
-    nearest = stage(star.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v"))
-    labels = rooted(stage(_verify(nearest, texts, least)))
-    labels = _remaining(members.select("bucket", "node"), labels, nearest, nodes.select("node", "sketch"), numbers, texts, least)
+    texts = given.withColumn("doc", doc).join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).select("node", "text")
+    crowded = F.col("n") >= min(CROWD, TURNS**2)
+    spread = members.where(crowded).select("bucket", "node")
+    alone = spread.isEmpty()
+    links = stage(_links(members.where(~crowded), _sets(texts if alone else (texts := stage(texts))), least))
+    if not alone:
+        tied = _spread(spread, nodes.select("node", "sketch"), numbers, texts, least)
+        links = links.unionByName(tied.select(F.col("label").alias("u"), F.col("node").alias("v")))
+    labels = components(links)
 
     named = nodes.select("node", "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_key = named.groupBy("label").agg(F.min("key").alias("class_id"), F.min_by("node", F.struct(F.col("key").isNull(), "key", "node")).alias("first"))
     return named.join(least_key, "label").select("node", "key", "class_id", (F.col("node") == F.col("first")).alias("first"))
 
 
+def _spread(members: DataFrame, sketched: DataFrame, numbers: int, texts: DataFrame, least: float) -> DataFrame:
+    """``node`` and ``label``, its component, by the links of buckets whose members don't meet in one task."""
+    # Each node first meets the leader with which it shares most buckets.
+    led = members.join(members.groupBy("bucket").agg(F.min("node").alias("leader")), "bucket")
+    star = led.where(F.col("node") != F.col("leader")).groupBy(F.col("leader").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("n"))
+    nearest = stage(star.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v"))
+    labels = rooted(stage(_verify(nearest, texts, least)))
+    return _remaining(members, labels, nearest, sketched, numbers, texts, least)
+
+
 def classes(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     """``docs`` with ``class_id``; ``how`` goes to ``node_classes``."""
     found = node_classes(docs, key, text, **how)
@@ -235,19 +340,28 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(labels.select(F.col("node").alias(node), F.col("label").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _shares(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node``, its shingles, the share of its weight that each has, and a sketch of ``32 * WIDE`` registers."""
+def _sets(texts: DataFrame) -> DataFrame:
+    """``node``, its shingles, ``times`` that each occurs, and a sketch of ``32 * WIDE`` registers."""
     def start():
         memo = word_hashes()
 
         def listed(rows):
             found = [shingles(x, memo) for x in rows]
             wide = iter(sketches(signatures([x for x in found if len(x[0])], 32 * WIDE)).tolist())
-            return [s.view(np.int64).tolist() for s, _ in found], [(c / c.sum()).tolist() for _, c in found], [next(wide) if len(s) else [] for s, _ in found]
+            ends = pa.array(np.append(0, np.cumsum([len(s) for s, _ in found])), pa.int32())
+            hashes, counts = (np.concatenate([x[k] for x in found]) if found else np.empty(0) for k in (0, 1))
+            return pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), [next(wide) if len(s) else [] for s, _ in found]
 
         return listed
 
-    return map_texts(texts.join(nodes, "node", "left_semi"), "text", ["node"], "shingle array<bigint>, share array<double>, sketch array<bigint>", start)
+    return map_texts(texts, "text", ["node"], "shingle array<bigint>, times array<bigint>, sketch array<bigint>", start)
+
+
+def _shares(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node``, its shingles, the share of its weight that each has, and a sketch of ``32 * WIDE`` registers."""
+    sets = _sets(texts.join(nodes, "node", "left_semi"))
+    total = F.aggregate("times", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return sets.select("node", "shingle", F.transform("times", lambda x: x / total).alias("share"), "sketch")
 
 
 def _prefixes(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -338,13 +452,12 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
     registers that differ too often rule a pair out while the bucket's members meet; the texts of the others are compared.
     """
     members = _possible(members, labels, sketched, texts, least)
-    known, done, most, ties = tested, None, min(LEADERS, TURNS), list(TIES)
+    known, most, ties = tested, min(LEADERS, TURNS), list(TIES)
     while True:
         placed = _labelled(members, labels, "node", "label")
         sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where(F.col("parts") > 1)
-        waiting = placed if done is None else placed.join(done, ["bucket", "node"], "left_anti")
-        mixed = stage(waiting.join(largest, "bucket").select("bucket", "node", "before", "earlier", "label", "main", "sketch"))
+        mixed = stage(placed.join(largest, "bucket").select("bucket", "node", "before", "earlier", "label", "main", "sketch"))
         outside = mixed.where(F.col("label") != F.col("main"))
         turns = stage(_first(outside, most + 1, F.col("node")))
         more = not turns.where(F.col("nth") > most).isEmpty()
@@ -363,6 +476,7 @@ def _remaining(members: DataFrame, labels: DataFrame, tested: DataFrame, sketche
         if not more:
             return labels
         known = stage(known.unionByName(pairs))
+        # A bucket that is in one component stays so: only the others go on, without those that have had their turn.
+        members = mixed.drop("label", "main")
         if not tying:
-            now = leaders.select("bucket", F.col("u").alias("node"))
-            done, most = now if done is None else stage(done.unionByName(now)), min(LEADERS, 8 * most)
+            members, most = members.join(leaders.select("bucket", F.col("u").alias("node")), ["bucket", "node"], "left_anti"), min(LEADERS, 8 * most)

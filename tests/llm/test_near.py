@@ -240,3 +240,54 @@ def test_the_largest_component_gathers_its_members_first(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == exact(texts)
     assert rounds[0] and all(r.a == r.main for r in rounds[0])
     assert all(n <= near.TIES[0] for n in Counter(r.bucket for r in rounds[0]).values())
+
+
+def test_members_of_a_bucket_meet_in_one_task(spark, monkeypatch):
+    """Families on both sides of the threshold: classes of all pairs, and few staged tables; no texts are joined to pairs."""
+    staged = []
+    stage = near.stage
+    monkeypatch.setattr(near, "stage", lambda df: staged.append(df.columns) or stage(df))
+    monkeypatch.setattr(near, "_verify", None)
+    texts = family(25, 2) + family(25, 9, seed=9) + corpus(3, families=3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # buckets go on from batch to batch
+    try:
+        got = classes(spark, texts)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [got[i] for i in range(len(texts))] == exact(texts)
+    assert len(staged) == 4
+
+
+def test_spread_and_other_buckets_give_the_classes_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near, "CROWD", 8)
+    texts = family(14, 3) + family(3, 2, seed=9)
+    got = classes(spark, texts)
+    assert [got[i] for i in range(len(texts))] == exact(texts)
+
+
+def test_links_of_a_bucket():
+    """The components of all pairs from few comparisons; pairs that have met are left out."""
+    rng = np.random.default_rng(5)
+    memo = near.word_hashes()
+    sets = [near.shingles(t, memo) for t in family(20, 2) + family(20, 9, seed=4)]
+    sets = [sets[i] for i in rng.permutation(len(sets))]
+    sketch = near.sketches(near.signatures(sets, 32 * near.WIDE)).view(np.uint64)
+    asked = []
+
+    def alike(i, j):
+        asked.append((i, j))
+        return near.likeness(sets[i], sets[j])
+
+    def parts(links):
+        label = list(range(len(sets)))
+        for a, b in links:
+            label = [label[a] if x == label[b] else x for x in label]
+        return [label.index(x) for x in label]
+
+    every = [(i, j) for j in range(len(sets)) for i in range(j) if near.likeness(sets[i], sets[j]) >= 0.8]
+    none_met = near._met(len(sets), np.arange(2), np.array([5, 6]))
+    assert parts(near._joined(sketch, none_met, alike, 0.8)) == parts(every)
+    assert len(every) >= 190 and len(asked) == len(set(asked))
+    met = near._met(len(sets), np.array([*range(len(sets)), 0, 1]), np.array([7] * len(sets) + [3, 3]))
+    assert met.all() and near._joined(sketch, met, alike, 0.8) == []
