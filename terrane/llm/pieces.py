@@ -140,6 +140,7 @@ class Lattices:
     def __init__(self, words: list[str], lookup: _Lookup):
         v = lookup.v
         lengths = np.fromiter(map(len, words), np.int64, len(words))
+        self.room: dict[str, np.ndarray] = {}
         self.end = np.cumsum(lengths)
         self.start = self.end - lengths
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -204,16 +205,22 @@ class Lattices:
     def extend(self, other: Lattices) -> None:
         """Put the words of another one behind those that are here."""
         nodes, arcs = len(self.first) - 1, len(self.token)
-        self.start, self.end = np.append(self.start, other.start + nodes), np.append(self.end, other.end + nodes)
-        self.first = np.append(self.first, other.first[1:] + arcs)
-        self.token = np.append(self.token, np.where(other.token < self.pieces, other.token, other.token + np.int32(len(self.spelled))))
+        token = np.where(other.token < self.pieces, other.token, other.token + np.int32(len(self.spelled)))
+        more = {"start": other.start + nodes, "end": other.end + nodes, "first": other.first[1:] + arcs, "token": token}
+        for name, new in {**more, "span": other.span, "arc_log": other.arc_log, "upto": other.upto}.items():
+            here = getattr(self, name)
+            n = len(here) + len(new)
+            # Room for twice as much, whose pages take no memory before they are used.
+            if len(self.room.get(name, ())) < n:
+                self.room[name] = np.empty(2 * n, here.dtype)
+                self.room[name][: len(here)] = here
+            self.room[name][len(here) : n] = new
+            setattr(self, name, self.room[name][:n])
         self.spelled = self.spelled + other.spelled
-        for name in ("span", "arc_log", "upto"):
-            setattr(self, name, np.append(getattr(self, name), getattr(other, name)))
-
 
     def only(self, words: np.ndarray) -> None:
         """Drop all words but these, which get new numbers in their order."""
+        self.room = {}
         size = self.end[words] - self.start[words]
         nodes = _ranges(self.start[words], size)
         self.end = np.cumsum(size)
@@ -235,7 +242,7 @@ class _Words:
     When they would have more than ``most`` bytes, only those stay that the batch has again.
     """
 
-    def __init__(self, lookup: _Lookup, most: int = 3_000_000):
+    def __init__(self, lookup: _Lookup, most: int = 2_000_000):
         self.lookup, self.most = lookup, most
         self.numbers: dict[bytes, int] = {}
         self.net: Lattices | None = None
@@ -355,7 +362,8 @@ class _Search:
         tokens = np.empty(count.sum(), np.int64)
         value = np.array([t[5] for t in turns])
         sets: list[tuple] = []
-        for occurrence, step_, arc, node, so_far, chosen, draw in taken:
+        for step_ in range(len(taken)):
+            (occurrence, _, arc, node, so_far, chosen, draw), taken[step_] = taken[step_], None
             tokens[at[occurrence] + step_] = net.token[arc]
             p = np.exp(chosen)
             other = np.flatnonzero(p < 1 - 1e-12)
@@ -365,7 +373,8 @@ class _Search:
             low = ((draw[other] & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32
             top = value[owner[o]]
             sets.append((owner[o], rest - np.log(np.exp(rest - top) - np.log(low)), word[o], node[other], here, arc[other]))
-        columns = [np.concatenate([s[i] for s in sets]) if sets else np.empty(0) for i in range(6)]
+        columns = [np.concatenate(x) for x in zip(*sets, strict=True)] if sets else [np.empty(0)] * 6
+        sets.clear()
         # The k best sets of each text, the best first.
         whose, worth = columns[0].astype(np.intp), columns[1].copy()
         best: list[list[int]] = [[] for _ in turns]
@@ -477,7 +486,7 @@ def decoder(vocabulary: Vocabulary):
     return lambda ids: b"".join([raw[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: list[str], k: int = 2, seed: int = 0, batch_chars: int = 2_500_000) -> DataFrame:
+def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: list[str], k: int = 2, seed: int = 0, batch_chars: int = 1_000_000) -> DataFrame:
     """The ``keep`` columns, ``samples``, an array of (ids, log_prob, log_inclusion), and ``round_trip``.
 
     Samples depend on the row's key, its text and ``seed``. ``round_trip`` says whether every sample decodes

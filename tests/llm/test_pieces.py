@@ -119,3 +119,15 @@ def test_lookup_knows_pieces_and_their_beginnings(vocabulary):
         hashes.append(h)
     expected = [ids.get(p, -2 if p in starts else -1) for p in probes]
     assert lookup.find(np.array(hashes, np.uint64)).tolist() == expected
+
+
+def test_kept_words_are_not_copied_with_every_batch(vocabulary):
+    """New words go into room behind the kept ones; texts are searched together up to a million characters."""
+    words = pieces._Words(pieces._Lookup(vocabulary))
+    words.of([" ".join(f"alpha{i} €{i}" for i in range(500))])
+    words.of(["the first new words"])
+    before = {name: getattr(words.net, name) for name in ("first", "token", "span", "arc_log", "upto")}
+    words.of(["then some others 日本"])
+    assert all(np.shares_memory(kept, getattr(words.net, name)) for name, kept in before.items())
+    assert all(len(getattr(words.net, name)) > len(kept) for name, kept in before.items())
+    assert pieces.encode.__defaults__[-1] <= 1_000_000
