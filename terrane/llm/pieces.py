@@ -239,10 +239,11 @@ class Lattices:
 class _Words:
     """Numbers and lattices of words, kept from batch to batch.
 
-    When they would have more than ``most`` bytes, only those stay that the batch has again.
+    When they would have more than ``most`` bytes, only those stay that the batch has again. A byte's lattice takes some
+    hundred bytes, in every worker of an executor, and words that are frequent come again soon.
     """
 
-    def __init__(self, lookup: _Lookup, most: int = 2_000_000):
+    def __init__(self, lookup: _Lookup, most: int = 250_000):
         self.lookup, self.most = lookup, most
         self.numbers: dict[bytes, int] = {}
         self.net: Lattices | None = None
@@ -486,7 +487,7 @@ def decoder(vocabulary: Vocabulary):
     return lambda ids: b"".join([raw[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: list[str], k: int = 2, seed: int = 0, batch_chars: int = 1_000_000) -> DataFrame:
+def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: list[str], k: int = 2, seed: int = 0, batch_chars: int = 250_000) -> DataFrame:
     """The ``keep`` columns, ``samples``, an array of (ids, log_prob, log_inclusion), and ``round_trip``.
 
     Samples depend on the row's key, its text and ``seed``. ``round_trip`` says whether every sample decodes
@@ -529,7 +530,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: Vocabulary, keep: l
 
     given = docs.withColumn("_given", F.struct(F.col(text).alias("text"), F.xxhash64(F.col(key), F.lit(seed)).alias("seed")))
     added = "samples array<struct<ids: array<int>, log_prob: double, log_inclusion: double>>, round_trip boolean"
-    return map_texts(given, "_given", keep, added, start, rows=768)
+    return map_texts(given, "_given", keep, added, start)
 
 
 def decode(rows: DataFrame, ids: str, vocabulary: Vocabulary, keep: list[str]) -> DataFrame:

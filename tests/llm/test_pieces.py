@@ -1,6 +1,7 @@
 """Sampled segmentations: round trips, distinctness, and the distribution of sampling without replacement."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -131,3 +132,21 @@ def test_kept_words_are_not_copied_with_every_batch(vocabulary):
     assert all(np.shares_memory(kept, getattr(words.net, name)) for name, kept in before.items())
     assert all(len(getattr(words.net, name)) > len(kept) for name, kept in before.items())
     assert pieces.encode.__defaults__[-1] <= 1_000_000
+
+
+def test_memory_of_a_task_does_not_grow_with_its_rows(spark, vocabulary, monkeypatch):
+    """A task holds a batch of texts, its paths and few kept words, though most words are new."""
+    taken = {}
+    monkeypatch.setattr(pieces, "map_texts", lambda docs, text, keep, added, start, rows=256: taken.update(start=start, rows=rows))
+    pieces.encode(spark.createDataFrame([(1, "x")], "doc_id long, text string"), "doc_id", "text", vocabulary, ["doc_id"])
+    encoded, rng = taken["start"](), np.random.default_rng(3)
+    letters = rng.integers(97, 123, (900, 400, 8)).astype(np.uint8)
+    letters[:, :, 0] = 0x20
+    found = [{"text": x.tobytes().decode(), "seed": i} for i, x in enumerate(letters)]
+    tracemalloc.start()
+    for at in range(0, len(found), taken["rows"]):
+        samples, same = encoded(found[at : at + taken["rows"]])
+        assert all(same) and set(samples.value_lengths().to_pylist()) == {2}
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120_000_000
